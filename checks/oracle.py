@@ -50,11 +50,11 @@ _TABLES = {
  cast(printf('%.4f', decline_ratio) as double) as decline_ratio, total_transactions
  from (select *, case
  when decline_ratio > 0.8 then 'High volume of failed transactions detected: ' || decline_count || '/' || total_transactions
- || ' declined (ratio: ' || printf('%.2f', decline_ratio * 100.0) || '%, avg amount: $' || printf('%.2f', avg_amount) || ')'
+ || ' declined (ratio: ' || printf('%.2f', decline_ratio * 100.0) || '%, avg amount: $' || printf('%.2f', round(avg_amount, 9)) || ')'
  when decline_ratio > 0.5 then 'Elevated decline rate: ' || decline_count || '/' || total_transactions
  || ' declined (ratio: ' || printf('%.2f', decline_ratio * 100.0) || '%)'
  else 'Anomalous transaction pattern detected: ' || total_transactions || ' transactions, ' || decline_count
- || ' declined, avg amount $' || printf('%.2f', avg_amount) end as description from fd)""",
+ || ' declined, avg amount $' || printf('%.2f', round(avg_amount, 9)) end as description from fd)""",
     "up": "select distinct 'WH' || substr(transaction_id, 4) as log_id from t where status = 'DECLINED'",
     "kb": """select * from (values ('05', 'Do Not Honor', 'The issuing bank has blocked this transaction without providing a specific reason.'),
  ('14', 'Invalid Card Number', 'The card number provided does not pass the Luhn check or is unknown to the issuing network.'),

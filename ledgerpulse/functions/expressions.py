@@ -127,7 +127,8 @@ def alert_type(risk_block_count="risk_block_count", decline_ratio="decline_ratio
 
 def alert_description(ratio="decline_ratio", declined="decline_count",
                       total="total_transactions", average="avg_amount") -> Column:
-    r, d, t, a = _c(ratio), _c(declined), _c(total), _c(average)
+    r, d, t = _c(ratio), _c(declined), _c(total)
+    a = F.round(_c(average), 9)  # takes out the noise of the summation order
     counts = F.concat(d.cast("string"), F.lit("/"), t.cast("string"), F.lit(" declined (ratio: "),
                       fixed(r * F.lit(100.0), 2), F.lit("%"))
     money = F.concat(F.lit("avg amount $"), fixed(a, 2))

@@ -35,16 +35,18 @@ def alert_documents(alerts: DataFrame) -> DataFrame:
 def alert_messages(merchants: DataFrame, alerts: DataFrame) -> DataFrame:
     """One line per alert of every merchant, or the no-alert line.
 
-    Lines stay separate rows: a merchant with very many alerts is never
-    gathered into one string.
+    Lines stay separate rows, and the alerts meet the merchants in a semi join
+    from their own side, so a merchant with very many alerts is neither
+    gathered into one string nor into one task.
     """
-    found = alerts.select("merchant_id", "window_start", "detected_at", "description")
+    known = merchants.select("merchant_id").distinct()
     stamp = iso_timestamp(F.coalesce("window_start", "detected_at"), zulu=True)
-    return merchants.select("merchant_id").join(found, "merchant_id", "left").select(
-        "merchant_id",
-        F.when(F.col("description").isNotNull(),
-               F.concat(F.lit("ALERT FOUND: ["), stamp, F.lit("] - "), F.col("description")))
-        .otherwise(F.concat(F.lit("No active ML alerts for "), F.col("merchant_id"), F.lit("."))).alias("message"))
+    found = alerts.join(known, "merchant_id", "left_semi").select("merchant_id", F.concat(
+        F.lit("ALERT FOUND: ["), F.coalesce(stamp, F.lit("unknown time")), F.lit("] - "),
+        F.coalesce("description", F.lit("Anomaly detected"))).alias("message"))
+    quiet = known.join(alerts.select("merchant_id").distinct(), "merchant_id", "left_anti").select(
+        "merchant_id", F.concat(F.lit("No active ML alerts for "), F.col("merchant_id"), F.lit(".")).alias("message"))
+    return found.unionAll(quiet)
 
 
 def alerts_since(alerts: DataFrame, last_seen) -> DataFrame:

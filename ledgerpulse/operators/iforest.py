@@ -67,7 +67,7 @@ class IsolationForestModel:
     _packed: tuple | None = field(default=None, repr=False)
 
     def _arrays(self) -> tuple:
-        """All trees as flat arrays; a leaf points to itself."""
+        """All trees as flat arrays; a leaf points to itself, a right child follows the left one."""
         if self._packed is None:
             table = self.nodes.sort_values(["tree", "node"]).reset_index(drop=True)
             start = table.groupby("tree")["node"].transform("size").groupby(table["tree"]).first().cumsum()
@@ -76,31 +76,31 @@ class IsolationForestModel:
             position = np.arange(len(table))
             leaf = table["feature"].to_numpy() < 0
             self._packed = (
-                np.where(leaf, 0, table["feature"]).astype(np.int32),
+                np.where(leaf, 0, table["feature"]).astype(np.intp),
                 np.where(leaf, np.inf, table["threshold"]),
-                np.where(leaf, position, first + table["left"]).astype(np.int32),
-                np.where(leaf, position, first + table["right"]).astype(np.int32),
+                np.where(leaf, position, first + table["left"]).astype(np.intp),
                 table["depth"].to_numpy() + average_path(table["size"]),
-                np.array(sorted(base.values()), dtype=np.int32),
+                np.array(sorted(base.values()), dtype=np.intp),
                 int(table["depth"].max()),
             )
         return self._packed
 
     def _score_column(self) -> Column:
-        feature, cut, left, right, length, roots, height = self._arrays()
+        feature, cut, left, length, roots, height = self._arrays()
         norm = float(average_path(self.sample_size)) or 1.0
 
         def score_block(block: np.ndarray) -> np.ndarray:
-            at = np.broadcast_to(roots, (len(block), len(roots)))
-            row = np.arange(len(block))[:, None]
+            at = np.tile(roots, (len(block), 1))
+            start = (np.arange(len(block)) * block.shape[1])[:, None]
+            flat = np.nan_to_num(block).ravel()
             for _ in range(height):
-                at = np.where(block[row, feature[at]] <= cut[at], left[at], right[at])
-            return np.exp2(-length[at].mean(axis=1) / norm)
+                at = left.take(at) + (flat.take(start + feature.take(at)) > cut.take(at))
+            return np.exp2(-length.take(at).mean(axis=1) / norm)
 
         @pandas_udf("double")
         def score(*columns: pd.Series) -> pd.Series:
             block = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            parts = [score_block(block[i:i + 2048]) for i in range(0, len(block), 2048)]
+            parts = [score_block(block[i:i + 1024]) for i in range(0, len(block), 1024)]
             return pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
         return score(*[F.col(c).cast("double") for c in self.features])
@@ -194,7 +194,9 @@ class IsolationForest:
         limit = int(_HASH_RANGE * min(1.0, 1.5 * psi / pool + 20.0 / pool))
         mix = lambda t: F.pmod(F.xxhash64(F.lit(self.seed), F.col("_draw"), t), F.lit(_HASH_RANGE))
         trees = F.filter(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), lambda t: mix(t) < limit)
-        pairs = self._pool(df, total).select("*", F.explode(trees).alias("tree"))
+        tasks = min(self.n_trees, df.sparkSession.sparkContext.defaultParallelism)
+        # one group per tree: few bytes, so the number of tasks is set by hand
+        pairs = self._pool(df, total).select("*", F.explode(trees).alias("tree")).repartition(tasks, "tree")
         ranked = F.row_number().over(Window.partitionBy("tree").orderBy(mix(F.col("tree")), "_draw"))
         drawn = pairs.withColumn("_rank", ranked).filter(F.col("_rank") <= psi)
         features, seed = list(self.features), self.seed

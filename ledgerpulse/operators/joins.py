@@ -2,7 +2,10 @@
 
 No join here carries a broadcast hint on a table that grows. Spark broadcasts
 a side by its own size check, adaptive execution does so from measured
-sizes, and splits the partitions of a hot key otherwise.
+sizes, and splits the partitions of a hot key where it may: either side of an
+inner join, the left side of a left, semi or anti join. Right sides are
+therefore reduced to distinct keys or one row per key first, or spread by
+`spread_left_join`.
 """
 
 from __future__ import annotations
@@ -31,12 +34,46 @@ def decline_knowledge(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "code string, title string, meaning string")
 
 
-def transactions_with_logs(transactions: DataFrame, logs: DataFrame) -> DataFrame:
-    """Left join on transaction_id; columns of both sides get `_wh` on the log side."""
+def hot_keys(df: DataFrame, key: str, at_least: int = 1_000_000, share: float = 0.001) -> list:
+    """Keys that hold about `at_least` rows or more, found in a sample of the key column.
+
+    The sample only decides how a join is spread, never which rows it returns.
+    With the defaults a key counts as hot from 1,000 sampled rows on.
+    """
+    counts = df.select(key).filter(F.col(key).isNotNull()).sample(share, seed=11).groupBy(key).agg(F.count("*").alias("n"))
+    found = counts.filter(F.col("n") >= max(1.0, at_least * share)).orderBy(F.desc("n")).limit(1000)
+    return [row[0] for row in found.collect()]
+
+
+def spread_left_join(left: DataFrame, right: DataFrame, key: str, hot: list, parts: int = 64) -> DataFrame:
+    """Left join whose hot right-hand keys are spread over `parts` tasks.
+
+    Adaptive execution cannot split the right side of a left join. A hot key
+    has partners by definition, so its rows take an inner join on (key, salt):
+    right rows get one salt each, the few left rows get all of them.
+    """
+    if not hot:
+        return left.join(right, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    calm = left.filter(~is_hot).join(right.filter(~is_hot), key, "left")
+    salted = right.filter(is_hot).withColumn(
+        "_salt", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int"))
+    copied = left.filter(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    matched = copied.join(salted, [key, "_salt"]).drop("_salt")
+    unmatched = left.filter(is_hot).join(right.select(key).filter(is_hot).distinct(), key, "left_anti")
+    return calm.unionByName(matched).unionByName(unmatched, allowMissingColumns=True).select(calm.columns)
+
+
+def transactions_with_logs(transactions: DataFrame, logs: DataFrame, hot: list | None = None) -> DataFrame:
+    """Left join on transaction_id; columns of both sides get `_wh` on the log side.
+
+    `hot` names transactions with a great many logs; by default they are looked for.
+    """
     renamed = logs.select(*[
         F.col(c).alias(f"{c}_wh") if c in transactions.columns and c != "transaction_id" else F.col(c)
         for c in logs.columns])
-    return transactions.join(renamed, "transaction_id", "left")
+    found = hot_keys(logs, "transaction_id") if hot is None else hot
+    return spread_left_join(transactions, renamed, "transaction_id", found)
 
 
 def merged_view(transactions: DataFrame, logs: DataFrame) -> DataFrame:
@@ -89,7 +126,7 @@ def orphan_counts(transactions: DataFrame, logs: DataFrame, merchants: DataFrame
     """Keys without a partner, one row per direction."""
     def missing(name, left, right, key):
         keys = left.select(key).filter(F.col(key).isNotNull()).distinct()
-        lost = keys.join(right.select(key), key, "left_anti")
+        lost = keys.join(right.select(key).distinct(), key, "left_anti")
         return lost.agg(F.count("*").alias("orphans")).select(F.lit(name).alias("check_name"), "orphans")
     return (missing("txn_without_log", transactions, logs, "transaction_id")
             .unionAll(missing("log_without_txn", logs, transactions, "transaction_id"))

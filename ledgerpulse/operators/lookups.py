@@ -47,7 +47,7 @@ def find_all(requests: DataFrame, table: DataFrame, key: str) -> DataFrame:
 def not_found(requests: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Distinct requested keys that the table lacks, with the error text."""
     wanted = requests.select(key).filter(F.col(key).isNotNull()).distinct()
-    return wanted.join(table, key, "left_anti").select(
+    return wanted.join(table.select(key).distinct(), key, "left_anti").select(
         key, F.concat(F.lit("'"), F.col(key), F.lit("' not found.")).alias("detail"))
 
 
@@ -78,7 +78,7 @@ def update_http_status(logs: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def unmatched_updates(logs: DataFrame, updates: DataFrame) -> DataFrame:
-    return updates.join(logs, "log_id", "left_anti")
+    return updates.join(logs.select("log_id").distinct(), "log_id", "left_anti")
 
 
 def retry_outcomes(requests: DataFrame, logs: DataFrame) -> DataFrame:

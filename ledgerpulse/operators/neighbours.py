@@ -18,44 +18,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerpulse.operators.ranking import top_n_per_key
+from ledgerpulse.session import cut_lineage
 
 CELL_ROWS = 2_000
 MAX_CELLS = 16_384
 SAMPLE_ROWS = 100_000
 QUERIES_PER_TASK = 4_000
+MAX_TASKS = 4_096
 
 
 class CellTree:
     """Axis-aligned cells as flat arrays; negative children are cell numbers."""
 
-    def __init__(self, sample: np.ndarray, cells: int) -> None:
+    def __init__(self, sample: np.ndarray, rows_per_cell: float) -> None:
         self.axis, self.cut, self.left, self.right = [], [], [], []
         self.cells = 0
         self.depth = 0
-        self._split(sample, cells, 0)
+        self._split(sample, max(rows_per_cell, 1.0), 0)
         self.arrays = tuple(np.array(a) for a in (self.axis, self.cut, self.left, self.right))
 
     def _leaf(self) -> int:
         self.cells += 1
         return -self.cells
 
-    def _split(self, points: np.ndarray, cells: int, depth: int) -> int:
+    @staticmethod
+    def _choose(points: np.ndarray) -> tuple[int, float] | None:
+        """Axis and cut that halve the points best, the widest axis first."""
+        for axis in np.argsort(-points.std(axis=0)):
+            values = points[:, axis]
+            cut = float(np.median(values))
+            if cut >= values.max():
+                lower = values[values < cut]
+                if not len(lower):
+                    continue
+                cut = float(lower.max())
+            return int(axis), cut
+        return None
+
+    def _split(self, points: np.ndarray, rows_per_cell: float, depth: int) -> int:
         self.depth = max(self.depth, depth)
-        if cells <= 1 or len(points) < 2:
+        choice = self._choose(points) if len(points) > rows_per_cell else None
+        if choice is None:
             return self._leaf()
-        axis = int(np.argmax(points.max(axis=0) - points.min(axis=0)))
-        cut = float(np.median(points[:, axis]))
+        axis, cut = choice
         below = points[:, axis] <= cut
-        if below.all():
-            cut = float(points[:, axis].min())
-            below = points[:, axis] <= cut
-            if below.all():
-                return self._leaf()
         node = len(self.axis)
         for store, value in ((self.axis, axis), (self.cut, cut), (self.left, 0), (self.right, 0)):
             store.append(value)
-        self.left[node] = self._split(points[below], cells // 2, depth + 1)
-        self.right[node] = self._split(points[~below], cells - cells // 2, depth + 1)
+        self.left[node] = self._split(points[below], rows_per_cell, depth + 1)
+        self.right[node] = self._split(points[~below], rows_per_cell, depth + 1)
         return node
 
     def home(self, points: np.ndarray) -> np.ndarray:
@@ -108,7 +119,9 @@ def nearest(queries: DataFrame, reference: DataFrame, features: list[str], k: in
     distance (to 12 decimals of its square) go by coordinates.
     """
     total = reference.count()
-    tree = CellTree(_sample(reference, features, total), max(1, min(MAX_CELLS, math.ceil(total / CELL_ROWS))))
+    sample = _sample(reference, features, total)
+    cells = max(1, min(MAX_CELLS, math.ceil(total / CELL_ROWS)))
+    tree = CellTree(sample, len(sample) / cells)
 
     @pandas_udf("int")
     def home(*columns: pd.Series) -> pd.Series:
@@ -121,7 +134,8 @@ def nearest(queries: DataFrame, reference: DataFrame, features: list[str], k: in
 
     point: list[Column] = [F.col(c) for c in features]
     placed = reference.select(*point, "w", home(*point).alias("cell"))
-    first = _search_cells(queries.select(*point, home(*point).alias("cell")), placed, features, k).persist()
+    first = _search_cells(queries.select(*point, home(*point).alias("cell")), placed, features, k)
+    first = cut_lineage(first)
     # radius of the k-th candidate; null if the cell held fewer than k points
     worst = first.groupBy(*features, "cell").agg(
         F.when(F.count("dist") >= k, F.max("dist")).alias("radius"))
@@ -146,11 +160,11 @@ def _search_cells(queries: DataFrame, placed: DataFrame, features: list[str], k:
     A query whose cell holds no point comes back once with a null distance.
     """
     spark = queries.sparkSession
-    queries = queries.persist()
+    queries = cut_lineage(queries)
     load = queries.groupBy("cell").count().collect()  # one row per cell, at most MAX_CELLS
-    salts = spark.createDataFrame(
-        [(r["cell"], max(1, math.ceil(r["count"] / QUERIES_PER_TASK))) for r in load], "cell int, salts int")
-    salts = F.broadcast(salts)
+    split = [(r["cell"], max(1, math.ceil(r["count"] / QUERIES_PER_TASK))) for r in load]
+    tasks = max(1, min(sum(n for _, n in split), MAX_TASKS))
+    salts = F.broadcast(spark.createDataFrame(split, "cell int, salts int"))
     asked = queries.join(salts, "cell").select(
         *features, "cell", F.pmod(F.xxhash64(*features), F.col("salts")).cast("int").alias("salt"))
     stored = placed.join(salts, "cell").select(
@@ -188,5 +202,7 @@ def _search_cells(queries: DataFrame, placed: DataFrame, features: list[str], k:
             ).assign(cell=key[0], w=weight[col], d2=d2[row, col], dist=np.sqrt(d2[row, col])))
         return pd.concat(parts)[columns]
 
+    # few bytes but much arithmetic: the number of tasks follows the work
+    asked, stored = (side.repartition(tasks, "cell", "salt") for side in (asked, stored))
     return (asked.groupBy("cell", "salt").cogroup(stored.groupBy("cell", "salt"))
             .applyInPandas(search, f"{fields}, cell int, w long, d2 double, dist double"))

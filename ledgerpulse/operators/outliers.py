@@ -19,6 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ledgerpulse.operators.neighbours import distinct_points, nearest
 from ledgerpulse.operators.quantiles import exact_quantiles
+from ledgerpulse.session import cut_lineage
 
 
 @dataclass
@@ -264,20 +265,20 @@ class LocalOutlierFactor(OutlierModel):
         if total < 2:
             raise ValueError("local outlier factor needs at least two training rows")
         self.k = min(self.k, total - 1)
-        self.reference = distinct_points(train, self.features).persist()
-        table = self._neighbour_table(self.reference, leave_out_self=True).persist()
-        self.reach = table.groupBy(*self.features).agg(F.max("dist").alias("k_distance")).persist()
-        self.density = self._density(table, self.reach).persist()
+        # every step is stored once, so the plan of the next one stays small
+        self.reference = cut_lineage(distinct_points(train, self.features))
+        table = cut_lineage(self._neighbour_table(self.reference, leave_out_self=True))
+        self.reach = cut_lineage(table.groupBy(*self.features).agg(F.max("dist").alias("k_distance")))
+        self.density = cut_lineage(self._density(table, self.reach))
         factors = self._factor(table, self.density)
         rows = train.select(*[F.col(c).cast("double").alias(c) for c in self.features])
-        scored = rows.join(factors, self.features).select("outlier_score").persist()
+        scored = cut_lineage(rows.join(factors, self.features).select("outlier_score"))
         self.threshold = exact_quantiles(scored, "outlier_score", [1.0 - contamination])[0]
-        scored.unpersist()
         return self
 
     def with_score(self, df: DataFrame) -> DataFrame:
         points = distinct_points(df, self.features)
-        table = self._neighbour_table(points, leave_out_self=False).persist()
+        table = cut_lineage(self._neighbour_table(points, leave_out_self=False))
         factors = self._factor(table, self._density(table, self.reach))
         return df.withColumns({c: F.col(c).cast("double") for c in self.features}).join(factors, self.features)
 

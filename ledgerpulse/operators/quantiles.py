@@ -1,8 +1,10 @@
 """Exact order statistics without sorting or gathering the column.
 
 Spark's exact percentile keeps every distinct value of a group in one task.
-Here each pass is a histogram between two bounds; the bucket that holds the
-wanted rank gives the next bounds, until few enough values remain.
+Here each round brackets the wanted ranks with an approximate percentile,
+whose sketches merge across tasks, and counts exactly what lies on either
+side. What remains between the brackets is a few thousandths of the rows, so
+two or three rounds leave few enough values to look at.
 """
 
 from __future__ import annotations
@@ -12,78 +14,64 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
 SMALL = 20_000
+ACCURACY = 10_000
 
 
-def _narrow(values: DataFrame, rank: int, low: float, high: float, count: int) -> float:
-    """Value at 0-based `rank` among the `count` values within [low, high]."""
-    while low < high:
-        inside = values.filter(F.col("v").between(low, high))
-        if count <= SMALL:
-            found = sorted(r[0] for r in inside.collect())
-            return found[rank]
-        width = (high - low) / BUCKETS
-        bucket = F.least(F.floor((F.col("v") - low) / width), F.lit(BUCKETS - 1))
-        table = (inside.groupBy(bucket.alias("b"))
-                 .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                 .orderBy("b").collect())
-        for row in table:
-            if rank < row["n"]:
-                if (row["lo"], row["hi"]) == (low, high):  # bounds too close to split further
-                    return _by_value(inside, rank)
-                low, high, count = row["lo"], row["hi"], row["n"]
-                break
-            rank -= row["n"]
-    return low
+def _select(values: DataFrame, ranks: list[int], count: int) -> dict[int, float]:
+    """Value at each 0-based rank among the `count` values."""
+    if not ranks:
+        return {}
+    if count <= SMALL:
+        ordered = sorted(row[0] for row in values.collect())
+        return {r: ordered[r] for r in ranks}
+    margin = 2.0 / ACCURACY
+    low, high = values.agg(F.percentile_approx("v", [
+        max(0.0, min(ranks) / count - margin), min(1.0, max(ranks) / count + margin)], ACCURACY)).first()[0]
+    v = F.col("v")
+    # the pieces below, at and between the brackets, in rising order
+    pieces = [v < low, v == low, (v > low) & (v < high), (v == high) & F.lit(high > low), v > high]
+    sizes = values.agg(*[F.count_if(p) for p in pieces]).first()
+    found: dict[int, float] = {}
+    start = 0
+    for piece, size, same in zip(pieces, sizes, (None, low, None, high, None)):
+        inside = [r for r in ranks if start <= r < start + size]
+        if same is not None:
+            found.update(dict.fromkeys(inside, same))
+        else:
+            part = _select(values.filter(piece), [r - start for r in inside], size)
+            found.update({r + start: x for r, x in part.items()})
+        start += size
+    return found
 
 
-def _by_value(values: DataFrame, rank: int) -> float:
-    """Fallback for neighbouring doubles: only a handful of distinct values remain."""
-    for row in values.groupBy("v").agg(F.count("*").alias("n")).orderBy("v").toLocalIterator():
-        if rank < row["n"]:
-            return row["v"]
-        rank -= row["n"]
-    raise IndexError("rank beyond the values")
+def _column(df: DataFrame, column) -> DataFrame:
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def order_statistics(df: DataFrame, column, ranks: list[int]) -> list[float]:
-    """Values at the given 0-based ranks of the non-null, non-NaN values.
-
-    Reads `df` once per pass: persist it first when it is costly to compute.
-    """
-    value = (F.col(column) if isinstance(column, str) else column).cast("double")
-    values = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    low, high, count = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    if ranks and (not count or max(ranks) >= count or min(ranks) < 0):
+    """Values at the given 0-based ranks. Reads `df` a few times: persist it if it is costly."""
+    values = _column(df, column)
+    count = values.count()
+    if ranks and (max(ranks) >= count or min(ranks) < 0):
         raise ValueError("rank outside the data")
-    cache: dict[int, float] = {}
-    return [cache.setdefault(r, _narrow(values, r, low, high, count)) if r not in cache else cache[r] for r in ranks]
+    found = _select(values, sorted(set(ranks)), count)
+    return [found[r] for r in ranks]
 
 
 def exact_quantiles(df: DataFrame, column, probabilities: list[float]) -> list[float | None]:
     """Linearly interpolated quantiles; None for an empty column."""
-    value = (F.col(column) if isinstance(column, str) else column).cast("double")
-    values = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    low, high, count = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    values = _column(df, column)
+    count = values.count()
     if not count:
         return [None] * len(probabilities)
-    if count <= SMALL:  # one small collect serves every probability
-        ordered = sorted(r[0] for r in values.collect())
-        pick = ordered.__getitem__
-    else:
-        known: dict[int, float] = {}
-
-        def pick(rank):
-            if rank not in known:
-                known[rank] = _narrow(values, rank, low, high, count)
-            return known[rank]
     result = []
     for p in probabilities:
         position = (count - 1) * p
         below = math.floor(position)
-        above = min(below + 1, count - 1)
         weight = position - below
-        a = pick(below)
-        result.append(a if weight == 0 else a + (pick(above) - a) * weight)
+        found = _select(values, [below] if weight == 0 else [below, below + 1], count)
+        low = found[below]
+        result.append(low if weight == 0 else low + (found[below + 1] - low) * weight)
     return result

@@ -23,4 +23,4 @@ def key_set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame
 
 def is_subset(left: DataFrame, right: DataFrame, key: str) -> bool:
     keys = left.select(key).filter(F.col(key).isNotNull()).distinct()
-    return keys.join(right.select(key), key, "left_anti").isEmpty()
+    return keys.join(right.select(key).distinct(), key, "left_anti").isEmpty()

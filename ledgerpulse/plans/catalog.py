@@ -6,6 +6,8 @@ whole tables it needs and returns a DataFrame.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from ledgerpulse.plans import comparison, views
 from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, numeric_columns
 from ledgerpulse.session import fresh_folder
 from ledgerpulse.sources import messages
+from ledgerpulse.sources.alert_table import read_alerts
 from ledgerpulse.streaming import scoring, windows
 
 QUERIES: dict = {}
@@ -777,10 +780,9 @@ def _passages(spark, d):
 
 def _topics(spark, d):
     """One query vector per label: the mean of its vectors."""
-    cells = views.table(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("place", "x"))
-    means = cells.groupBy("label", "place").agg(F.avg("x").alias("x"))
-    packed = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("cells"))
-    return packed.select(F.col("label").alias("query_id"), F.transform("cells", lambda c: c["x"]).alias("embedding"))
+    vectors = views.table(spark, d, "embeddings").select("label", array_to_vector("embedding").alias("v"))
+    return vectors.groupBy(F.col("label").alias("query_id")).agg(
+        vector_to_array(Summarizer.mean(F.col("v"))).alias("embedding"))
 
 
 @query
@@ -883,7 +885,6 @@ def stream_scoring(spark, d):
     stream = messages.as_messages(_event_stream(spark, d).selectExpr(*columns))
     out, mark = fresh_folder(spark, "stream-alerts"), fresh_folder(spark, "stream-alerts-checkpoint")
     scoring.start_scoring(stream, fixed_forest(), out, mark, availableNow=True).awaitTermination()
-    from ledgerpulse.sources.alert_table import read_alerts
     found = read_alerts(spark, out)
     return _rounded(found, "anomaly_score").select(
         F.get_json_object("payload_json", "$.transaction_id").alias("transaction_id"), "merchant_id", "source", "anomaly_score")

@@ -25,6 +25,7 @@ def build_session(app: str = "ledgerpulse", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():

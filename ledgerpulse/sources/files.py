@@ -82,8 +82,7 @@ def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """All `*.md` files below a folder, one row per file: source, text."""
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"docs directory not found: '{folder}'.")
-    docs = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.md").text(folder)
+    docs = (spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
             .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text")))
     if docs.isEmpty():
         raise ValueError(f"No Markdown files found in '{folder}'.")
