@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.expressions import (
@@ -82,8 +82,9 @@ def overloads(transactions: DataFrame, logs: DataFrame, window: str = "1 hour",
               .agg(F.count("*").alias("txns"),
                    F.sum(F.coalesce("log_count", F.lit(0))).alias("logs"),
                    F.sum(F.coalesce("overload_count", F.lit(0))).alias("overloaded")))
-    mean = volume.groupBy("merchant_id").agg(F.avg("txns").alias("mean_txns"))
-    found = (volume.join(mean, "merchant_id")
+    # one row per merchant and window by now, so a merchant's group is bounded by the time span
+    mean = F.avg("txns").over(Window.partitionBy("merchant_id"))
+    found = (volume.withColumn("mean_txns", mean)
              .withColumn("overload_share", safe_divide("overloaded", "logs"))
              .filter((F.col("txns") >= F.col("mean_txns") * volume_factor) & (F.col("overloaded") >= at_least)
                      & (F.col("overload_share") >= min_overload_share)))

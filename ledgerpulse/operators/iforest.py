@@ -214,7 +214,7 @@ class IsolationForest:
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
         model = self.grow(df)
-        self._set_threshold(model, model.with_score(df).select("anomaly_score"))
+        self._set_threshold(model, model.with_score(df).select("anomaly_score")).unpersist()
         return model
 
     def fit_predict(self, df: DataFrame) -> tuple[IsolationForestModel, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerpulse.operators.alerts import window_alerts
 from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel
 from ledgerpulse.schemas import LIVE_FEATURES, REDUCED_FEATURES, WINDOW_FEATURES, numeric_columns, require_columns
+from ledgerpulse.session import cut_lineage
 
 
 class MerchantHealthMonitor:
@@ -25,7 +26,13 @@ class MerchantHealthMonitor:
         return self.model is not None
 
     def train_and_predict(self, features: DataFrame) -> DataFrame:
-        """Feature rows with anomaly_score, decision, prediction (1/0) and label (-1/1)."""
+        """Feature rows with anomaly_score, decision, prediction (1/0) and label (-1/1).
+
+        The features are stored once: fitting reads them several times, and
+        each reading would otherwise aggregate the raw transactions again.
+        """
+        require_columns(features, WINDOW_FEATURES, "features_df")
+        features = cut_lineage(features)
         key = tuple(c for c in ("merchant_id", "timestamp") if c in features.columns)
         forest = IsolationForest(WINDOW_FEATURES, contamination=self.contamination, seed=self.random_state,
                                  key=key if len(key) == 2 else ())
@@ -40,8 +47,9 @@ class MerchantHealthMonitor:
 def detect_anomalies(features: DataFrame, contamination: float = 0.1, random_state: int = 42,
                      key: tuple[str, ...] = ()) -> DataFrame:
     """Features of the reduced variant with `prediction` 1 for anomalies."""
+    require_columns(features, REDUCED_FEATURES, "features_df")
     forest = IsolationForest(REDUCED_FEATURES, contamination=contamination, seed=random_state, key=key)
-    return forest.fit_predict(features)[1].drop("label")
+    return forest.fit_predict(cut_lineage(features))[1].drop("label")
 
 
 def train_live_model(live_features: DataFrame, contamination: float = 0.05, random_state: int = 42,

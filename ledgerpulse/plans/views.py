@@ -60,6 +60,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def webhook_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log per transaction, but none for every fiftieth, so left joins meet nulls."""
     events = table(spark, sf_dir, "events").where("event_id % 50 <> 7").selectExpr("*", f"{HTTP_STATUS} as http_status")
     return events.selectExpr(
         f"concat('WH-', {_number_text('event_id')}) as log_id",
