@@ -63,8 +63,8 @@ _TABLES = {
  ('57', 'Transaction Not Permitted', 'The card is not allowed for this merchant category (MCC).'),
  ('91', 'Issuer Switch Inoperative', 'The issuing bank''s network is temporarily unavailable.'),
  ('93', 'Risk Block', 'The transaction has been flagged and blocked by internal fraud velocity rules.')) v(code, title, meaning)""",
-    "rt": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, transaction_id) as rank from t""",
-    "rl": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, log_id) as rank from lm""",
+    "rt": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, transaction_id)::int as rank from t""",
+    "rl": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, log_id)::int as rank from lm""",
     "pr": """select transaction_id, status, cast(coalesce(decline_code = '93_Risk_Block', false) or coalesce(http_status = 401, false) as int) as y_true,
  case when status = 'DECLINED' or coalesce(http_status >= 401, false) then 1 else 0 end as y_pred from j""",
     "cc": """select lang as model, count(*) filter (quality = 0 and toxic = 1) as tp, count(*) filter (quality = 0 and toxic = 0) as fp,
@@ -125,7 +125,7 @@ _TABLES = {
  from tr""",
     "tp": """select label as query_id, list(x order by place) as v from (
  select label, place, avg(embedding[place]::double) as x from embeddings, range(1, 65) r(place) group by 1, 2) group by 1""",
-    "hit": """select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as rank from (
+    "hit": """select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from (
  select query_id, vec_id, list_inner_product(v, embedding::double[]) as score from tp, embeddings)""",
 }
 
@@ -238,6 +238,8 @@ ORACLES: dict[str, str] = {
     "alerts_by_merchant": _sql("m al", """select m.merchant_id, coalesce('ALERT FOUND: [' || strftime(window_start, '%Y-%m-%dT%H:%M:%SZ')
  || '] - ' || description, 'No active ML alerts for ' || m.merchant_id || '.') as message
  from m left join (select * from al where decline_ratio > 0.6) a on a.merchant_id = m.merchant_id"""),
+    "new_alerts": _sql("al", """select merchant_id, window_start, description from al
+ where decline_ratio > 0.6 and window_start > timestamp '2024-01-15'"""),
     "merchant_lookup": _sql("m", """select * from m where merchant_id in
  (select 'merchant_id_' || (user_id + (event_id % 3) * 150000) from events)"""),
     "merchant_not_found": _sql("m", """select distinct merchant_id, '''' || merchant_id || ''' not found.' as detail
@@ -325,7 +327,7 @@ ORACLES: dict[str, str] = {
  order by "timestamp" desc, log_id limit 10"""),
     "retry_preview": _sql("rl", "select merchant_id, rank, log_id, http_status, event_type from rl where rank <= 5"),
     "first_success_per_merchant": _sql("t", """select * from (select merchant_id, row_number() over (partition by merchant_id
- order by "timestamp", transaction_id) as rank, transaction_id from t where status = 'SUCCESS') where rank <= 5"""),
+ order by "timestamp", transaction_id)::int as rank, transaction_id from t where status = 'SUCCESS') where rank <= 5"""),
     "first_declines": _sql("t", """select transaction_id, "timestamp" from t where status = 'DECLINED'
  order by "timestamp", transaction_id limit 50"""),
     "sequential_ids": f"""select o_orderkey, o_orderdate, 'TXN-' || {_ID.format(n='rn')} as transaction_id

@@ -6,6 +6,8 @@ whole tables it needs and returns a DataFrame.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -22,8 +24,8 @@ from ledgerpulse.operators.outliers import (
     Gaussian, Scaler, fit_elliptic_envelope, fit_linear_autoencoder, fit_local_outlier_factor, fit_one_class_svm,
 )
 from ledgerpulse.plans import comparison, views
-from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, numeric_columns
-from ledgerpulse.session import fresh_folder
+from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, WINDOW_FEATURES, numeric_columns
+from ledgerpulse.session import cut_lineage, fresh_folder
 from ledgerpulse.sources import messages
 from ledgerpulse.sources.alert_table import read_alerts
 from ledgerpulse.streaming import scoring, windows
@@ -119,6 +121,15 @@ def alerts_by_merchant(spark, d):
     return alerts.alert_messages(_merchants(spark, d), _rule_alerts(spark, d))
 
 
+@query
+def new_alerts(spark, d):
+    """Alerts that came in after the last look; the window start stands for the arrival."""
+    arrived = _rule_alerts(spark, d).withColumn("detected_at", F.col("window_start"))
+    last_look = datetime(2024, 1, 15, tzinfo=timezone.utc)
+    return alerts.alerts_since(arrived, last_look).select(
+        "merchant_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "description")
+
+
 # ---- lookups and update ----------------------------------------------------
 
 def _requests(spark, d):
@@ -825,6 +836,18 @@ def kb_search_documents(spark, d):
     return _rounded(retrieval.top_k(asked, retrieval.embed(model, chunks)), "score")
 
 
+@query
+def kb_answers_for_codes(spark, d):
+    """One question per decline code and delivery status seen, answered from the chunked documents."""
+    docs = views.table(spark, d, "documents").select("doc_id", "source", "text")
+    chunks = retrieval.chunk_documents(docs).withColumn("vec_id", F.concat_ws("-", "doc_id", "chunk_no"))
+    model = retrieval.fit_embedder(chunks)
+    asked = _joined(spark, d).select(ex.field_query({
+        "decline_code": F.col("decline_code"), "http_status": F.col("http_status")}).alias("text")).distinct()
+    asked = retrieval.embed(model, asked.withColumn("query_id", F.col("text")))
+    return retrieval.answers(asked, retrieval.top_k(asked, retrieval.embed(model, chunks)), chunks)
+
+
 # ---- transcripts -----------------------------------------------------------
 
 @query
@@ -888,3 +911,13 @@ def stream_scoring(spark, d):
     found = read_alerts(spark, out)
     return _rounded(found, "anomaly_score").select(
         F.get_json_object("payload_json", "$.transaction_id").alias("transaction_id"), "merchant_id", "source", "anomaly_score")
+
+
+@query
+def stream_window_alerts(spark, d):
+    """Closed daily windows of the stream scored by a model fitted on the stored features."""
+    model = IsolationForest(WINDOW_FEATURES, key=("merchant_id", "timestamp")).fit(cut_lineage(_day_features(spark, d)))
+    stream = windows.streaming_features(_event_stream(spark, d).selectExpr(*views.transaction_columns()), "1 day")
+    out, mark = fresh_folder(spark, "window-alerts"), fresh_folder(spark, "window-alerts-checkpoint")
+    windows.start_window_alerts(stream, model, out, mark, availableNow=True).awaitTermination()
+    return _rounded(read_alerts(spark, out).drop("detected_at"), "anomaly_score")

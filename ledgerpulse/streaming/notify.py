@@ -9,10 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerpulse.sources.alert_table import alert_arrivals
 
-# Fixed value: the banner text.
-MESSAGE = ("⚠️ Subbi Alert: A real-time anomaly was just detected by the ML Watcher. "
-           "Ask me to investigate!")
-
 
 def start_notifications(spark: SparkSession, alert_path: str, checkpoint: str,
                         notify: Callable[[int], None], **trigger) -> StreamingQuery:

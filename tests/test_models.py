@@ -38,7 +38,7 @@ def test_exact_quantiles(spark, small, values):
     before, quantiles.SMALL = quantiles.SMALL, small
     try:
         probabilities = [0.0, 0.05, 0.5, 0.9, 1.0]
-        assert quantiles.exact_quantiles(df, "x", probabilities) == pytest.approx(np.quantile(values, probabilities), abs=1e-9)
+        assert quantiles.exact_quantiles(df, "x", probabilities) == pytest.approx(np.quantile(values, probabilities), rel=1e-9, abs=1e-9)
         assert quantiles.order_statistics(df, "x", [0, len(values) - 1]) == [min(values), max(values)]
     finally:
         quantiles.SMALL = before

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import make_txns
 from ledgerpulse import schemas
-from ledgerpulse.operators import alerts
+from ledgerpulse.operators import alerts, retrieval
 from ledgerpulse.operators.features import window_features
 from ledgerpulse.operators.iforest import IsolationForest, fixed_forest
 from ledgerpulse.sources import alert_table, files, messages
@@ -68,15 +68,23 @@ def test_markdown_folder(spark, tmp_path):
     assert sorted((os.path.basename(r.source), r.text) for r in rows) == [("a.md", "# Ä\n\nline"), ("b.md", "b")]
 
 
+def test_chunk_table_is_stored_and_reloaded(spark, tmp_path):
+    docs = spark.createDataFrame([("a.md", "word " * 300)], "source string, text string")
+    chunks = retrieval.chunk_documents(docs)
+    files.save_table(chunks, str(tmp_path / "chunks"))
+    again = files.load_table(spark, str(tmp_path / "chunks"), chunks.schema)
+    assert again.count() > 1 and again.exceptAll(chunks).isEmpty()
+
+
 def test_ingest(spark):
-    good = [{"transaction_id": "TXN-ABC123", "merchant_id": "MERCH-001", "amount": 1500.5, "status": "SUCCESS", "metadata": {"gateway": "razorpay"}},
+    good = [{"transaction_id": "TXN-ABC123", "merchant_id": "MERCH-001", "amount": 1500.5, "status": "SUCCESS", "metadata": {"gateway": "g1"}},
             {"transaction_id": "TXN-FAIL999", "merchant_id": "MERCH-002", "amount": 500.0, "status": "FAILED", "error_code": "INSUFFICIENT_FUNDS", "currency": "USD"}]
     bad = [{"transaction_id": "TXN-BAD", "merchant_id": "MERCH-003", "amount": 100.0}, {"merchant_id": "m", "amount": 1, "status": "S"},
            {"transaction_id": "t", "merchant_id": "m", "amount": 0, "status": "S"}, {"transaction_id": "t", "merchant_id": "m", "status": "S"}]
     texts = [json.dumps(x) for x in good + bad] + ["not json", None]
     parsed = messages.parse_ingest(spark.createDataFrame([(t,) for t in texts], "value string"))
     accepted = {r.transaction_id: r for r in messages.accepted(parsed).collect()}
-    assert accepted["TXN-ABC123"].currency == "INR" and accepted["TXN-ABC123"].metadata == {"gateway": "razorpay"}
+    assert accepted["TXN-ABC123"].currency == "INR" and accepted["TXN-ABC123"].metadata == {"gateway": "g1"}
     assert accepted["TXN-FAIL999"].currency == "USD" and accepted["TXN-FAIL999"].error_code == "INSUFFICIENT_FUNDS"
     assert accepted["TXN-ABC123"].message == "Payment event for transaction TXN-ABC123 acknowledged."
     problems = sorted(r.problem for r in messages.rejected(parsed).collect())
