@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.expressions import RISK_BLOCK_CODE, is_delivered, is_failed, safe_pct
@@ -126,54 +126,57 @@ def burst_span(transactions: DataFrame, *by: str) -> DataFrame:
 
 # ---- merchant diagnostics --------------------------------------------------
 
-def _frequency_lines(newest: DataFrame, key: str, template: str, out: str) -> DataFrame:
-    """Per merchant one text block: values by falling count, then by recency.
+def _newest(value) -> Column:
+    """(rank, value) pairs of one merchant's newest rows, in order of rank; nulls left out."""
+    return F.sort_array(F.collect_list(F.when(value.isNotNull() & (value != ""), F.struct("rank", value.alias("value")))))
 
-    Each merchant contributes at most the inspected number of rows.
-    """
-    counts = (newest.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-              .groupBy("merchant_id", key).agg(F.count("*").alias("n"), F.min("rank").alias("seen")))
-    entry = F.struct((-F.col("n")).alias("order_n"), F.col("seen"),
-                     F.format_string(template, F.col(key).cast("string"), F.col("n")).alias("line"))
-    return (counts.groupBy("merchant_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-            .select("merchant_id", F.array_join(F.transform("entries", lambda e: e["line"]), "\n").alias(out)))
+
+def _frequency_text(pairs: str, before: str, after: str) -> Column:
+    """Lines by falling count, then by recency; null if there is nothing to count."""
+    values = F.array_distinct(F.transform(pairs, lambda p: p["value"]))
+    def entry(value):
+        same = F.filter(pairs, lambda p: p["value"] == value)
+        return F.struct((-F.size(same)).alias("order_n"), same[0]["rank"].alias("seen"), value.alias("value"))
+    lines = F.transform(F.sort_array(F.transform(values, entry)), lambda e: F.concat(
+        F.lit(before), e["value"], F.lit(": "), (-e["order_n"]).cast("string"), F.lit(after)))
+    return F.when(F.size(pairs) > 0, F.array_join(lines, "\n"))
 
 
 def merchant_diagnostics(merchants: DataFrame, transactions: DataFrame, logs: DataFrame,
                          inspected: int = 50, shown: int = 5) -> DataFrame:
-    """A report for every merchant over its newest transactions and logs."""
-    newest_txns = recent_transactions_all(transactions, inspected)
-    newest_logs = recent_logs_all(transactions, logs, inspected)
-    txn_totals = success_counts(newest_txns, "merchant_id")
-    log_totals = newest_logs.groupBy("merchant_id").agg(F.count("*").alias("log_total"))
-    codes = _frequency_lines(newest_txns, "decline_code", "  • %s: %d occurrences", "code_lines")
-    statuses = _frequency_lines(newest_logs, "http_status", "  • HTTP %s: %d deliveries", "status_lines")
-    entry = F.struct("rank", F.concat(
-        F.lit("  • log_id="), F.col("log_id"), F.lit("  http_status="), F.col("http_status").cast("string"),
-        F.lit("  event_type="), F.col("event_type")).alias("line"))
-    recent = (newest_logs.filter(F.col("rank") <= shown).groupBy("merchant_id")
-              .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-              .select("merchant_id", F.array_join(F.transform("entries", lambda e: e["line"]), "\n").alias("recent_lines")))
-    joined = merchants.select("merchant_id")
-    for part in (txn_totals, log_totals, codes, statuses, recent):
-        joined = joined.join(part, "merchant_id", "left")
+    """A report for every merchant over its newest transactions and logs.
+
+    Each table is ranked and summed up once. What is gathered per merchant is
+    at most the `inspected` newest rows.
+    """
+    txns = recent_transactions_all(transactions, inspected).groupBy("merchant_id").agg(
+        F.count("*").alias("total"), F.count_if(_success()).alias("success_count"),
+        _newest(F.col("decline_code")).alias("codes"))
+    line = F.concat(F.lit("  • log_id="), F.col("log_id"), F.lit("  http_status="), F.col("http_status").cast("string"),
+                    F.lit("  event_type="), F.col("event_type"))
+    deliveries = recent_logs_all(transactions, logs, inspected).groupBy("merchant_id").agg(
+        F.count("*").alias("log_total"), _newest(F.col("http_status").cast("string")).alias("statuses"),
+        F.sort_array(F.collect_list(F.when(F.col("rank") <= shown, F.struct("rank", line.alias("line"))))).alias("recent"))
+    joined = (merchants.select("merchant_id").join(txns, "merchant_id", "left")
+              .join(deliveries, "merchant_id", "left"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    failed = zero("total") - zero("success_count")
+    code_lines = _frequency_text("codes", "  • ", " occurrences")
     text = F.concat_ws(
         "\n",
         F.concat(F.lit("Diagnostic report for "), F.col("merchant_id"), F.lit(" (last "), zero("total").cast("string"),
                  F.lit(" transactions, last "), zero("log_total").cast("string"), F.lit(" webhook logs):")),
         F.lit(""),
         F.concat(F.lit("Transaction breakdown: "), zero("success_count").cast("string"), F.lit(" SUCCESS, "),
-                 zero("non_success_count").cast("string"), F.lit(" DECLINED.")),
-        F.when(F.col("code_lines").isNotNull(), F.concat(F.lit("Decline code frequency:\n"), F.col("code_lines")))
-        .otherwise(F.lit("No decline codes recorded in this window.")),
+                 failed.cast("string"), F.lit(" DECLINED.")),
+        F.coalesce(F.concat(F.lit("Decline code frequency:\n"), code_lines),
+                   F.lit("No decline codes recorded in this window.")),
         F.lit(""),
         F.lit("Webhook HTTP status frequency:"),
-        F.coalesce("status_lines", F.lit("  (no webhook logs found)")),
+        F.coalesce(_frequency_text("statuses", "  • HTTP ", " deliveries"), F.lit("  (no webhook logs found)")),
         F.lit(""),
         F.lit("Most-recent webhook log entries (for retry reference):"),
-        F.coalesce("recent_lines", F.lit("  (none)")))
+        F.when(F.size("recent") > 0, F.array_join(F.transform("recent", lambda r: r["line"]), "\n")).otherwise(F.lit("  (none)")))
     return joined.select(
         "merchant_id", zero("total").alias("total"), zero("success_count").alias("success_count"),
-        zero("non_success_count").alias("non_success_count"), zero("log_total").alias("log_total"),
-        text.alias("report"))
+        failed.alias("non_success_count"), zero("log_total").alias("log_total"), text.alias("report"))
