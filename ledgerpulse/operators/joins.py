@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerpulse.functions.expressions import decline_code_number
 from ledgerpulse.operators.lookups import first_per_key
+from ledgerpulse.operators.sets import key_sides
 
 # Meaning of each decline code in the support documents.
 DECLINE_MEANINGS = {
@@ -124,11 +125,10 @@ def decline_explanations(transactions: DataFrame) -> DataFrame:
 
 def orphan_counts(transactions: DataFrame, logs: DataFrame, merchants: DataFrame) -> DataFrame:
     """Keys without a partner, one row per direction."""
-    def missing(name, left, right, key):
-        keys = left.select(key).filter(F.col(key).isNotNull()).distinct()
-        lost = keys.join(right.select(key).distinct(), key, "left_anti")
-        return lost.agg(F.count("*").alias("orphans")).select(F.lit(name).alias("check_name"), "orphans")
-    return (missing("txn_without_log", transactions, logs, "transaction_id")
-            .unionAll(missing("log_without_txn", logs, transactions, "transaction_id"))
-            .unionAll(missing("txn_without_merchant", transactions, merchants, "merchant_id"))
-            .unionAll(missing("merchant_without_txn", merchants, transactions, "merchant_id")))
+    def missing(left, right, key, left_name, right_name):
+        alone = key_sides(left, right, key).agg(
+            F.count_if(~F.col("in_right")).alias(f"{left_name}_without_{right_name}"),
+            F.count_if(~F.col("in_left")).alias(f"{right_name}_without_{left_name}"))
+        return alone.unpivot([], alone.columns, "check_name", "orphans")
+    return (missing(transactions, logs, "transaction_id", "txn", "log")
+            .unionAll(missing(transactions, merchants, "merchant_id", "txn", "merchant")))

@@ -13,12 +13,21 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
+def key_sides(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Every non-null key once, with `in_left` and `in_right`.
+
+    Both directions come from one shuffle of keys that are combined on the map side.
+    """
+    def marked(df, in_left):
+        return df.select(key, F.lit(in_left).alias("in_left"), F.lit(not in_left).alias("in_right"))
+    return (marked(left, True).unionAll(marked(right, False)).filter(F.col(key).isNotNull())
+            .groupBy(key).agg(F.bool_or("in_left").alias("in_left"), F.bool_or("in_right").alias("in_right")))
+
+
 def key_set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys found on one side only, with the side. Empty means equal sets."""
-    a = left.select(key).filter(F.col(key).isNotNull()).distinct()
-    b = right.select(key).filter(F.col(key).isNotNull()).distinct()
-    only = lambda x, y, side: x.join(y, key, "left_anti").withColumn("only_in", F.lit(side))
-    return only(a, b, "left").unionAll(only(b, a, "right"))
+    sides = key_sides(left, right, key).filter(F.col("in_left") != F.col("in_right"))
+    return sides.select(key, F.when(F.col("in_left"), "left").otherwise("right").alias("only_in"))
 
 
 def is_subset(left: DataFrame, right: DataFrame, key: str) -> bool:

@@ -42,9 +42,18 @@ def raw_messages(spark: SparkSession, source_kind: str = "kafka", path: str | No
     raise ValueError(f"unknown source kind '{source_kind}'")
 
 
+def _parsed(schema) -> Column:
+    """The text as struct `event`.
+
+    Exploding a one-element array keeps the parse in its own step: later
+    filters read its fields instead of parsing the text once per field.
+    """
+    return F.explode(F.array(F.from_json("value", schema))).alias("event")
+
+
 def parse_live_events(messages: DataFrame) -> DataFrame:
     """JSON text to event columns; text that is no JSON gives null fields."""
-    return messages.select("value", F.from_json("value", LIVE_EVENT).alias("event")).select("value", "event.*")
+    return messages.select("value", _parsed(LIVE_EVENT)).select("value", "event.*")
 
 
 def as_messages(df: DataFrame) -> DataFrame:
@@ -70,9 +79,7 @@ def publish(df: DataFrame, sink_kind: str = "kafka", path: str | None = None) ->
 
 def parse_ingest(messages: DataFrame) -> DataFrame:
     """Payload text to columns plus `problem`, null for a valid event."""
-    # exploding a one-element array keeps the parse in its own step, so that the
-    # checks below read its fields instead of parsing the text once per field
-    parsed = messages.select("*", F.explode(F.array(F.from_json("value", INGEST_EVENT))).alias("event"))
+    parsed = messages.select("*", _parsed(INGEST_EVENT))
     event = lambda name: F.col(f"event.{name}")
     readable = F.coalesce(F.json_object_keys("value").isNotNull(), F.lit(False))
     problem = (F.when(~readable, F.lit("not a JSON object"))
