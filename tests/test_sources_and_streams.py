@@ -192,3 +192,14 @@ def test_source_kinds(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ['{"x":"a","y":null}'] * 2
     with pytest.raises(ValueError):
         messages.publish(df, "smoke")
+
+
+def test_shared_folder_comes_from_the_session(spark, tmp_path):
+    from ledgerpulse.session import checkpoint_root, fresh_folder
+    assert checkpoint_root(spark) == checkpoint_root(spark)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert checkpoint_root(spark) == str(tmp_path)
+        assert fresh_folder(spark, "a") != fresh_folder(spark, "a") and fresh_folder(spark, "a").startswith(f"{tmp_path}/a-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
