@@ -194,12 +194,15 @@ def test_source_kinds(spark, tmp_path):
         messages.publish(df, "smoke")
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
+def test_shared_folder_comes_from_the_session(spark):
+    from types import SimpleNamespace
+
     from ledgerpulse.session import checkpoint_root, fresh_folder
-    assert checkpoint_root(spark) == checkpoint_root(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert checkpoint_root(spark) == str(tmp_path)
-        assert fresh_folder(spark, "a") != fresh_folder(spark, "a") and fresh_folder(spark, "a").startswith(f"{tmp_path}/a-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert checkpoint_root(spark) == checkpoint_root(spark)  # a temporary one, in local mode
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs:///shared/"}[key]))
+    assert checkpoint_root(named) == "hdfs:///shared/"
+    assert fresh_folder(named, "a").startswith("hdfs:///shared/a-") and fresh_folder(named, "a") != fresh_folder(named, "a")
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(cluster)
