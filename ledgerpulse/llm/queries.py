@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from ledgerpulse.llm.decontaminate import op7_benchmark_decontamination
+from ledgerpulse.llm.fingerprints import op5_document_fingerprints
+from ledgerpulse.llm.hmm import op6_lm_scoring
+from ledgerpulse.llm.langid import op2_language_id
+from ledgerpulse.llm.licenses import op3_license_scan
 from ledgerpulse.llm.line_dedup import op8_line_dedup
+from ledgerpulse.llm.packing import op10_best_fit_packing
+from ledgerpulse.llm.quality import op9_quality_classifier
+from ledgerpulse.llm.token_files import op4_token_files
 
 QUERIES = {f.__name__: f for f in (
-    op7_benchmark_decontamination, op8_line_dedup)}
+    op2_language_id, op3_license_scan, op4_token_files, op5_document_fingerprints, op6_lm_scoring,
+    op7_benchmark_decontamination, op8_line_dedup, op9_quality_classifier, op10_best_fit_packing)}
 
 _PLAIN_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
     r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
