@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerpulse.session import fresh_folder
 
+#: Bits of a filter sent to all tasks.
+FILTER_BITS = 1 << 26
 #: A-Z become a-z; everything else up to 0x7F that is no letter or digit separates words.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -37,3 +43,51 @@ def plain_words(text: str | None) -> list[bytes]:
 def held_out(modulus: int, remainder: int, key: str = "doc_id") -> Column:
     """True for rows whose crc32 of the id as text leaves the remainder; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def likely_in(ids: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test for ids that lets all of `ids` through and few others: one bit per hash of an id.
+
+    The bits are at most `FILTER_BITS` however many ids there are; with very many ids the test lets more
+    and more others through, so it may only stand before an exact join.
+    """
+    spark = ids.sparkSession
+    bits = min(FILTER_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits))
+    words = (ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toPandas())
+    held = np.zeros(bits // 64, np.int64)
+    held[words["word"]] = words["bits"]
+    sent = spark.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def test(places: pd.Series) -> pd.Series:
+        p = places.to_numpy(np.int64)
+        return pd.Series((sent.value[p >> 6] >> (p & 63) & 1).astype(bool))
+
+    return lambda column: test(F.pmod(F.xxhash64(F.coalesce(column.cast("long"), F.lit(0))), F.lit(bits)))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node each node of the edges (a, b) reaches.
+
+    Alternates large-star and small-star steps until the edges stand still. Neighbours are only reduced
+    to their minimum, so a node with very many edges is combined on the map side.
+    """
+    edges = stored(edges.filter("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct(), "edges")
+    mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    while True:
+        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = stored(small, "edges")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == mark:
+            break
+        mark = now
+    roots = edges.select(F.col("b").alias("node")).distinct()
+    return (edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            .unionByName(roots.join(edges.select(F.col("a").alias("node")), "node", "left_anti").withColumn("component", F.col("node"))))

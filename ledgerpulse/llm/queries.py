@@ -8,17 +8,33 @@ from ledgerpulse.llm.hmm import op6_lm_scoring
 from ledgerpulse.llm.langid import op2_language_id
 from ledgerpulse.llm.licenses import op3_license_scan
 from ledgerpulse.llm.line_dedup import op8_line_dedup
+from ledgerpulse.llm.ngram_join import op1_ngram_jaccard_join
 from ledgerpulse.llm.packing import op10_best_fit_packing
 from ledgerpulse.llm.quality import op9_quality_classifier
 from ledgerpulse.llm.token_files import op4_token_files
 
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_license_scan, op4_token_files, op5_document_fingerprints, op6_lm_scoring,
+    op1_ngram_jaccard_join, op2_language_id, op3_license_scan, op4_token_files, op5_document_fingerprints, op6_lm_scoring,
     op7_benchmark_decontamination, op8_line_dedup, op9_quality_classifier, op10_best_fit_packing)}
 
 _PLAIN_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
     r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
+OP1 = r"""
+with recursive docs as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+grams as (select distinct r, array_to_string(w[i:i + 4], ' ') as g
+          from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from docs where len(w) > 0)),
+sizes as (select r, count(*) as n from grams group by r),
+shared as (select a.r as x, b.r as y, count(*) as o from grams a join grams b on a.g = b.g and a.r <> b.r group by a.r, b.r),
+links as (select x, y from shared join sizes p on p.r = x join sizes q on q.r = y where 100 * o >= 80 * (p.n + q.n - o)),
+reach(r, s) as (select r, r from docs union select reach.r, links.y from reach join links on links.x = reach.s)
+select d.doc_id, coalesce(n, 0) as n_shingles, min(t.doc_id) as component_id
+from docs d left join sizes using (r) join reach on reach.r = d.r join docs t on t.r = reach.s
+group by d.r, d.doc_id, n
+"""
+
 OP7 = f"""
 with docs as (select row_number() over () as r, doc_id, {_PLAIN_WORDS} as w from documents),
 items as (select distinct item_id, {_PLAIN_WORDS} as w from benchmark where item_id is not null),
@@ -51,4 +67,4 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by r, doc_id
 """
 
-ORACLES = {"op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
+ORACLES = {"op1_ngram_jaccard_join": OP1, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
