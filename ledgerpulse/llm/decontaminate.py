@@ -171,17 +171,17 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     blocks = _blocks(benchmark)
     first, second = next(blocks), next(blocks, None)
     if second is None:
-        return docs.withColumn("found", _finder(spark, first, window, clean)("text"))
-    rows = stored(docs.drop("found").withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
+        return docs.drop("found").withColumn("found", _finder(spark, first, window, clean)("text"))
+    rows = stored(docs.drop("found").withColumn("_benchmark_row", F.monotonically_increasing_id()), "decontaminate")
     parts = None
     for block in [first, second]:
-        part = rows.select("_row", _finder(spark, block, window, False)("text").alias("f"))
+        part = rows.select("_benchmark_row", _finder(spark, block, window, False)("text").alias("f"))
         parts = part if parts is None else parts.unionByName(part)
     for block in blocks:
-        parts = parts.unionByName(rows.select("_row", _finder(spark, block, window, False)("text").alias("f")))
-    merged = parts.groupBy("_row").agg(
-        F.max("f.n_words").alias("n_words"), F.flatten(F.collect_list("f.hits")).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("f.items"))).alias("items"))
+        parts = parts.unionByName(rows.select("_benchmark_row", _finder(spark, block, window, False)("text").alias("f")))
+    merged = parts.groupBy("_benchmark_row").agg(
+        F.max("f.n_words").alias("_n"), F.flatten(F.collect_list("f.hits")).alias("_hits"),
+        F.array_distinct(F.flatten(F.collect_list("f.items"))).alias("_items"))
 
     @F.pandas_udf(_FOUND)
     def merge(texts: pd.Series, n_words: pd.Series, hits: pd.Series, items: pd.Series) -> pd.DataFrame:
@@ -197,8 +197,8 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         cut_spans(text, joined) if clean and text is not None else None))
         return pd.DataFrame(out, columns=["n_words", "hits", "items", "cleaned"])
 
-    return (rows.join(merged, "_row")
-            .withColumn("found", merge.asNondeterministic()("text", "n_words", "hits", "items"))
+    return (rows.join(merged, "_benchmark_row")
+            .withColumn("found", merge.asNondeterministic()("text", "_n", "_hits", "_items"))
             .select(*[c for c in docs.columns if c != "found"], "found"))
 
 

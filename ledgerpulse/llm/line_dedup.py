@@ -199,7 +199,7 @@ def drop_lines(docs: DataFrame, counts: DataFrame, min_chars: int = MIN_CHARS) -
     spark = docs.sparkSession
     counts = stored(counts, "line-counts")
     sent = _probe(spark, counts)
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept", "_row", "_keys")]
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept", "_line_row", "_line_keys")]
 
     @F.pandas_udf("array<binary>")
     def suspects(texts: pd.Series) -> pd.Series:
@@ -235,17 +235,17 @@ def drop_lines(docs: DataFrame, counts: DataFrame, min_chars: int = MIN_CHARS) -
         return pd.DataFrame(rows, columns=["n_lines", "n_dropped", "kept"])
 
     def finish(rows: DataFrame, lost) -> DataFrame:
-        cut = rows.select(*names, without.asNondeterministic()("text", lost).alias("_cut"))
-        return cut.select(*names, "_cut.n_lines", "_cut.n_dropped", "_cut.kept")
+        cut = rows.select(*names, without.asNondeterministic()("text", lost).alias("_line_cut"))
+        return cut.select(*names, "_line_cut.n_lines", "_line_cut.n_dropped", "_line_cut.kept")
 
-    probed = stored(docs.select(*names).withColumn("_row", F.monotonically_increasing_id())
-                    .withColumn("_keys", F.when(F.col("doc_id").isNotNull(), suspects.asNondeterministic()("text"))), "line-suspects")
-    lost = (probed.filter(F.size("_keys") > 0).select("_row", "doc_id", F.explode("_keys").alias("key"))
+    probed = stored(docs.select(*names).withColumn("_line_row", F.monotonically_increasing_id())
+                    .withColumn("_line_keys", F.when(F.col("doc_id").isNotNull(), suspects.asNondeterministic()("text"))), "line-suspects")
+    lost = (probed.filter(F.size("_line_keys") > 0).select("_line_row", "doc_id", F.explode("_line_keys").alias("key"))
             .join(counts, "key").filter(F.col("doc_id") != F.col("keeper"))
-            .groupBy("_row").agg(F.collect_list("key").alias("_lost")))
+            .groupBy("_line_row").agg(F.collect_list("key").alias("_line_lost")))
     none = F.lit(None).cast("array<binary>")
-    touched = finish(probed.filter(F.size("_keys") > 0).join(lost, "_row", "left"), F.col("_lost"))
-    return touched.unionByName(finish(probed.filter("_keys is null or size(_keys) = 0"), none))
+    touched = finish(probed.filter(F.size("_line_keys") > 0).join(lost, "_line_row", "left"), F.col("_line_lost"))
+    return touched.unionByName(finish(probed.filter("_line_keys is null or size(_line_keys) = 0"), none))
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

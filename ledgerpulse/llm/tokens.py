@@ -16,11 +16,14 @@ import re
 import numpy as np
 
 #: Pieces remembered by a worker; beyond it the later half, rarer words as a rule, is forgotten.
-KEPT_PIECES = 250_000
+KEPT_PIECES = 700_000
 #: Texts whose pieces are held at a time.
 BATCH_TEXTS = 200
 _CUT = re.compile(r"(?<=[\w!-~])(?=[ \n][\w!-~])")
-_VISIBLE = re.compile(r"\n?[\w!-~](?:.*[\w!-~])?", re.DOTALL)
+_NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
+_SIGN = re.compile(r"(?<=[a-z])([.,;:?])(?= )")
+_MARKED_SIGN = re.compile(r"(?<=[A-Za-z])([.,;:?])(?= |\Z)")
+_VISIBLE = re.compile(r"\0[.,;:?]|\n?[\w!-~](?:.*[\w!-~])?", re.DOTALL)
 _loaded: dict[tuple, "PieceTokenizer"] = {}
 
 
@@ -52,8 +55,10 @@ class PieceTokenizer:
         self.after: dict[str, bytes | None] = {"": None}  # pieces behind a blank; None: no place to cut
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        flat = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
+        ends = list(itertools.accumulate(4 * len(ids) for ids in found))
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, known: dict[str, bytes | None], keys: list[str], pieces: list[str]) -> None:
         for at in range(0, len(keys), 20_000):
@@ -70,7 +75,9 @@ class PieceTokenizer:
         return [x for at in range(0, len(texts), BATCH_TEXTS) for x in encode(texts[at:at + BATCH_TEXTS])]
 
     def _dropping(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        cut = [(t or "").replace("\n", " ") for t in texts]
+        # in plain Latin text case does not matter, and a sign between a letter and a blank is a token of its own
+        cut = [(t if _NOT_LATIN.search(t) else _SIGN.sub(r" \1", t.lower())).split(" ") for t in cut]
         missing = list(set().union(*cut).difference(self.whole)) if cut else []
         self._learn(self.whole, missing, missing)
         get = self.whole.__getitem__
@@ -79,22 +86,23 @@ class PieceTokenizer:
         return out
 
     def _bytewise(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").replace("\n", " \n").split(" ") for t in texts]
+        cut = [_MARKED_SIGN.sub(" \0\\1", (t or "").replace("\n", " \n")).split(" ") for t in texts]
         heads = [pieces.pop(0) for pieces in cut]
         missing = list(set().union(*cut).difference(self.after)) if cut else []
         fit = [p for p in missing if _VISIBLE.fullmatch(p)]
         self.after.update(dict.fromkeys(missing))
-        self._learn(self.after, fit, [p if p[0] == "\n" else " " + p for p in fit])
-        get = self.after.__getitem__
-        rows: list = [list(map(get, pieces)) for pieces in cut]
-        for i, (head, text) in enumerate(zip(heads, texts)):
-            if head and not _VISIBLE.fullmatch("x" + head[-1]) or rows[i] and not head or None in rows[i]:
-                rows[i] = _CUT.split(text)  # blanks in a row, control characters: cut where it is safe
-            else:
-                rows[i] = [head, *rows[i]]
-        missing = list({p for r in rows for p in r if isinstance(p, str)}.difference(self.whole))
-        self._learn(self.whole, missing, missing)
-        get = self.whole.__getitem__
-        out = [b"".join(get(p) if isinstance(p, str) else p for p in r) for r in rows]
+        self._learn(self.after, fit, [p if p[0] == "\n" else p[1:] if p[0] == "\0" else " " + p for p in fit])
+        after, whole = self.after.__getitem__, self.whole.__getitem__
+        out: list = []
+        for head, pieces, text in zip(heads, cut, texts):
+            try:
+                if head and not _VISIBLE.fullmatch("x" + head[-1]) or pieces and not head or text and "\0" in text:
+                    raise TypeError
+                out.append((head, b"".join(map(after, pieces))))
+            except TypeError:  # blanks in a row, control characters: cut where it is safe
+                out.append((_CUT.split(text), None))
+        missing = {p for h, rest in out for p in (h if rest is None else (h,))}.difference(self.whole)
+        self._learn(self.whole, list(missing), list(missing))
+        out = [b"".join(map(whole, h)) if rest is None else whole(h) + rest for h, rest in out]
         self._bound()
         return out
