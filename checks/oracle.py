@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerpulse.functions.knowledge import DECLINE_CODES, WEBHOOK_STATUSES
+
 _ID = "lpad(cast({n} as varchar), cast(greatest(8, length(cast({n} as varchar))) as int), '0')"
 _EVENT_ID = _ID.format(n="event_id")
 _CODES = """case {n} when 0 then '93_Risk_Block' when 1 then '51_Insufficient_Funds' when 2 then '05_Do_Not_Honor'
@@ -12,6 +14,13 @@ _HTTP = """case when user_id % 25 = 2 and event_id % 4 = 0 then 401 when user_id
 _EVENT_CODE = _CODES.format(n="cast(regexp_extract(props, '([0-9]+)', 1) as int) % 7")
 _ORDER_CODE = _CODES.format(n="o_orderkey % 7")
 
+
+
+def _row(values) -> str:
+    """Documented knowledge as a row of SQL literals."""
+    return "(" + ", ".join("null" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
 _TABLES = {
     "t": f"""select 'TXN-' || {_EVENT_ID} as transaction_id, 'merchant_id_' || user_id as merchant_id,
  ts as "timestamp", value as amount, 'INR' as currency,
@@ -56,13 +65,8 @@ _TABLES = {
  else 'Anomalous transaction pattern detected: ' || total_transactions || ' transactions, ' || decline_count
  || ' declined, avg amount $' || printf('%.2f', round(avg_amount, 9)) end as description from fd)""",
     "up": "select distinct 'WH' || substr(transaction_id, 4) as log_id from t where status = 'DECLINED'",
-    "kb": """select * from (values ('05', 'Do Not Honor', 'The issuing bank has blocked this transaction without providing a specific reason.'),
- ('14', 'Invalid Card Number', 'The card number provided does not pass the Luhn check or is unknown to the issuing network.'),
- ('51', 'Insufficient Funds', 'The cardholder''s account does not have enough balance to cover the transaction amount.'),
- ('54', 'Expired Card', 'The card''s expiry date has passed.'),
- ('57', 'Transaction Not Permitted', 'The card is not allowed for this merchant category (MCC).'),
- ('91', 'Issuer Switch Inoperative', 'The issuing bank''s network is temporarily unavailable.'),
- ('93', 'Risk Block', 'The transaction has been flagged and blocked by internal fraud velocity rules.')) v(code, title, meaning)""",
+    "kb": "select * from (values " + ", ".join(_row(r) for r in DECLINE_CODES) + ") v(code, title, meaning, expect, action)",
+    "ws": "select * from (values " + ", ".join(_row(r) for r in WEBHOOK_STATUSES) + ") v(http_status, status_meaning, gateway_action)",
     "rt": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, transaction_id)::int as rank from t""",
     "rl": """select *, row_number() over (partition by merchant_id order by "timestamp" desc, log_id)::int as rank from lm""",
     "pr": """select transaction_id, status, cast(coalesce(decline_code = '93_Risk_Block', false) or coalesce(http_status = 401, false) as int) as y_true,
@@ -113,6 +117,7 @@ _TABLES = {
  when 4 then chr(10) || '{"name": "some_other_thing", "value": 42}'
  when 5 then ' Your card was refused: error_code: 51_Insufficient_Funds. Let me consult the tool.'
  when 6 then ' {"name":"retry_failed_webhook","parameters":{"log_id":"WH-00000007"}} ok'
+ when 7 then ' Declined with decline code of ''14_Invalid_Card_Number''.' || chr(10) || '{"name": "search_knowledge_base", "parameters": {"query": "code 14"}}'
  else '' end as text from conversations""",
     "tf": r"""select *, regexp_matches(text, '(?i)(?:I''?ll|I will|I am going to|I''m going to|let me|I need to)\s+(?:check|search|look\s*(?:up|into)|query|consult|retrieve|access|investigate|find)[^.!?]{0,80}?\s*(?:knowledge\s*base|KB|database|documentation|tool|system)') as is_incomplete,
  contains(text, '"name": "fetch_transaction_logs"') or contains(text, '"name":"fetch_transaction_logs"')
@@ -215,6 +220,8 @@ _REMEDY = """case when status = 'DECLINED' then 'NOTHING_TO_DELIVER' when http_s
 
 _SHUFFLED = "(cast(substr(transaction_id, 5) as bigint) * 1103515245) % 8589934592"
 
+_PROMISE = r"""(?i)(?:I''?ll|I will|I am going to|I''m going to|let me|I need to)\s+(?:check|search|look\s*(?:up|into)|query|consult|retrieve|access|investigate|find)[^.!?]{0,80}?\s*(?:knowledge\s*base|KB|database|documentation|tool|system)"""
+_CODE_IN = r"""nullif(regexp_extract({text}, '(?i)(?:decline[_ ]code|error[_ ]code|code)(?:\s*[:,]\s*|\s+(?:of|is|was)\s+|\s+)["'']?(\d{{1,3}}[_A-Za-z]\w*)["'']?', 1), '')"""
 _STRIP = r"""regexp_replace(regexp_replace(regexp_replace(text,
  '\{"name": ?"(?:fetch_transaction_logs|retry_failed_webhook|search_knowledge_base|fetch_merchant_diagnostics|check_ml_system_alerts)"(?:[^{}]|\{[^{}]*\})*\}', '', 'g'),
  '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"""
@@ -278,7 +285,7 @@ ORACLES: dict[str, str] = {
  (select transaction_id from t where decline_code in ('14_Invalid_Card_Number', '54_Expired_Card'))"""),
     "merchant_category_join": _sql("t m", """select mcc_code, count(*) as n, round(sum(amount), 2) as amount
  from t left join m using (merchant_id) group by 1"""),
-    "decline_kb_lookup": _sql("t kb", """select transaction_id, decline_code, code, title, meaning
+    "decline_kb_lookup": _sql("t kb", """select transaction_id, decline_code, code, title, meaning, expect, action
  from t left join kb on code = regexp_extract(decline_code, '^([0-9]+)', 1) where decline_code is not null"""),
     "fk_orphans": _sql("t l m", """select 'txn_without_log' as check_name, count(*) as orphans from t where transaction_id not in (select transaction_id from l)
  union all select 'log_without_txn', count(*) from l where transaction_id not in (select transaction_id from t)
@@ -426,18 +433,30 @@ ORACLES: dict[str, str] = {
  from hit join embeddings using (vec_id) where rank <= 2 group by 1"""),
     "transcript_flags": _sql("tf", "select conv_id, turn, role, is_incomplete, has_tool_call, has_raw_json, decline_code from tf"),
     "transcript_clean": _sql("tr", f"select conv_id, turn, {_STRIP} as clean_text from tr"),
-    "transcript_repair": _sql("tf kb", r"""select conv_id, turn, case when not (is_incomplete or has_tool_call) then 'OK'
- when code is not null then 'REPAIRED' else 'NEEDS_RETRY' end as repair_status,
- case when (is_incomplete or has_tool_call) and code is not null then
- regexp_replace(regexp_replace(regexp_replace(text, '(?i)(?:I''?ll|I will|I am going to|I''m going to|let me|I need to)\s+(?:check|search|look\s*(?:up|into)|query|consult|retrieve|access|investigate|find)[^.!?]{0,80}?\s*(?:knowledge\s*base|KB|database|documentation|tool|system)', '', 'g'),
- '\s+$', ''), '[ .]+$', '') || '.' || chr(10) || chr(10) || 'According to our knowledge base, decline code **' || decline_code
- || '** means the following:' || chr(10) || chr(10) || meaning else text end as repaired_text
- from tf left join kb on code = regexp_extract(decline_code, '^([0-9]+)', 1)"""),
+    "transcript_repair": _sql("tf kb", rf""", cl as (select conv_id, turn, has_tool_call, {_STRIP} as clean from tf),
+ fl as (select *, has_tool_call or regexp_matches(clean, '{_PROMISE}') as needs, {_CODE_IN.format(text="clean")} as named from cl)
+ select conv_id, turn, case when not needs then 'OK' when code is not null then 'REPAIRED' else 'NEEDS_RETRY' end as repair_status,
+ case when needs and code is not null then regexp_replace(regexp_replace(regexp_replace(clean, '{_PROMISE}', '', 'g'), '\s+$', ''), '[ .]+$', '')
+ || '.' || chr(10) || chr(10) || 'According to our knowledge base, decline code **' || named || '** means the following:' || chr(10) || chr(10)
+ || concat_ws(chr(10) || chr(10), 'Meaning: ' || meaning, 'When to Expect It: ' || expect, 'Merchant Action: ' || action) else clean end as repaired_text
+ from fl left join kb on code = regexp_extract(named, '^([0-9]+)', 1)"""),
     "transcript_audit": _sql("tf", f"select role, {_AUDIT}"),
     "transcript_audit_by_conversation": _sql("tf", f"select conv_id, {_AUDIT}"),
     "live_alerts_batch": _sql("fs", """select transaction_id, merchant_id, 'stream' as source, round(-s + 0.5, 6) as anomaly_score
  from fs where s > 0.5"""),
-    "stream_features": _sql("fd", f"""select {_FEATURES} from fd where "timestamp" + interval '1 day'
- <= (select date_trunc('milliseconds', max(ts)) - interval '10 minutes' from events)"""),
+    "contamination_share": "select 0.1::double as flagged_share",
+    "csv_round_trip": _sql("m", "select * from m"),
+    "csv_missing_file": _sql("m", "select count(*) as merchants, 0::bigint as logs from m"),
+    "validated_scan": _sql("t", """select * exclude (card_bin) replace (date_trunc('second', "timestamp") as "timestamp") from t"""),
+    "published_messages": _sql("t", """select transaction_id, merchant_id, amount, decline_code,
+ strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') as "timestamp" from t"""),
+    "alert_table_round_trip": _sql("al", """select merchant_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') as window_start, alert_type,
+ description from al where decline_ratio > 0.6"""),
+    "passage_store_round_trip": "select label, count(*) as n, min(len(embedding)) as dims, sum(vec_id) as ids from embeddings group by label",
+    "merged_view_empty_sides": _sql("t l", "select transaction_id as id, 'transaction' as kind from t union all select log_id, 'log' from l"),
+    "empty_features": _sql("fd", "select 0::bigint as of_none, count(*) as of_all from fd"),
+    "webhook_kb_lookup": _sql("l ws", "select log_id, http_status, status_meaning, gateway_action from l left join ws using (http_status)"),
 }
 ORACLES["stream_scoring"] = ORACLES["live_alerts_batch"]
+ORACLES["stream_features"] = ORACLES["features_1day"]
+ORACLES["iforest_frozen_scores_udf"] = ORACLES["model_round_trip"] = ORACLES["iforest_frozen_scores"]

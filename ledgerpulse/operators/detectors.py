@@ -77,7 +77,7 @@ def overloads(transactions: DataFrame, logs: DataFrame, window: str = "1 hour",
     joined = transactions_with_logs(
         transactions.select("transaction_id", "merchant_id", "timestamp"),
         logs.groupBy("transaction_id").agg(
-            F.count("*").alias("log_count"), F.count_if(overload).alias("overload_count")), hot=[])
+            F.count("*").alias("log_count"), F.count_if(overload).alias("overload_count")), one_log_each=True)
     volume = (joined.groupBy("merchant_id", F.window("timestamp", window))
               .agg(F.count("*").alias("txns"),
                    F.sum(F.coalesce("log_count", F.lit(0))).alias("logs"),
@@ -127,9 +127,17 @@ def triage(transactions: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def sample_order(identifier: str = "transaction_id") -> Column:
-    """A fixed pseudo-random order of ids: an odd multiplier permutes 0..2^33-1."""
-    number = F.regexp_extract(identifier, r"(\d+)$", 1).try_cast("bigint")
-    return F.pmod(number * F.lit(1103515245), F.lit(8589934592))
+    """A fixed pseudo-random order of ids, without nulls.
+
+    An odd multiplier permutes the last number of the id modulo 2^33; ids without a number, or with one too
+    long, go by a hash. The multiplication is done in two halves, so it cannot overflow, and ids that meet
+    in one place are told apart by a hash of the whole id.
+    """
+    size, factor, half = F.lit(8589934592), F.lit(1103515245), F.lit(65536)
+    number = F.pmod(F.coalesce(F.regexp_extract(identifier, r"(\d+)$", 1).try_cast("bigint"), F.xxhash64(identifier)), size)
+    high, low = F.floor(number / half).cast("bigint"), F.pmod(number, half)
+    place = F.pmod(F.pmod(high * factor, size) * half + low * factor, size)
+    return place * F.lit(1 << 20) + F.pmod(F.xxhash64(identifier), F.lit(1 << 20))  # below 2^53, exact as a double
 
 
 def tag_first(transactions: DataFrame, condition: Column, cap: int, tag: str, per: str | None = None,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerpulse.functions import transcripts as tx
 from ledgerpulse.functions.expressions import decline_code_number
-from ledgerpulse.operators.joins import decline_knowledge
+from ledgerpulse.functions.knowledge import decline_knowledge
 
 
 def flag_replies(replies: DataFrame) -> DataFrame:
@@ -36,18 +36,22 @@ def audit(replies: DataFrame, *by: str) -> DataFrame:
 def repair(replies: DataFrame) -> DataFrame:
     """Complete unfinished replies from the decline-code documents.
 
-    A reply that broke off and names a known code gets the meaning appended;
-    one without a known code is marked NEEDS_RETRY. All others are OK.
+    Leaked tool calls are noted on the raw reply and cut first; everything else looks at the cut reply. A
+    reply that broke off or leaked and names a known code gets the document of the code appended; one
+    without a known code is marked NEEDS_RETRY. All others are OK. No output holds a leaked call.
     """
     knowledge = F.broadcast(decline_knowledge(replies.sparkSession))  # seven rows
-    flags = flag_replies(replies)
-    needs = F.col("is_incomplete") | F.col("has_tool_call")
-    joined = flags.join(knowledge, decline_code_number("decline_code") == F.col("code"), "left")
+    cleaned = clean_replies(replies.withColumn("_leaked", tx.has_tool_call("text")))
+    flags = cleaned.withColumns({
+        "_needs": tx.is_incomplete("clean_text") | F.col("_leaked"), "_code": tx.decline_code_in("clean_text")})
+    joined = flags.join(knowledge, decline_code_number("_code") == F.col("code"), "left")
+    document = F.concat_ws("\n\n", F.concat(F.lit("Meaning: "), F.col("meaning")), F.concat(F.lit("When to Expect It: "), F.col("expect")),
+                           F.concat(F.lit("Merchant Action: "), F.col("action")))
     repaired = F.concat(
-        tx.without_promise("text"), F.lit(".\n\nAccording to our knowledge base, decline code **"),
-        F.col("decline_code"), F.lit("** means the following:\n\n"), F.col("meaning"))
+        tx.without_promise("clean_text"), F.lit(".\n\nAccording to our knowledge base, decline code **"),
+        F.col("_code"), F.lit("** means the following:\n\n"), document)
     known = F.col("code").isNotNull()
     return joined.select(
         *replies.columns,
-        F.when(~needs, F.lit("OK")).when(known, F.lit("REPAIRED")).otherwise(F.lit("NEEDS_RETRY")).alias("repair_status"),
-        F.when(needs & known, repaired).otherwise(F.col("text")).alias("repaired_text"))
+        F.when(~F.col("_needs"), F.lit("OK")).when(known, F.lit("REPAIRED")).otherwise(F.lit("NEEDS_RETRY")).alias("repair_status"),
+        F.when(F.col("_needs") & known, repaired).otherwise(F.col("clean_text")).alias("repaired_text"))

@@ -57,6 +57,11 @@ def grow_tree(rows: np.ndarray, height: int, rng: np.random.Generator) -> list[t
     return nodes
 
 
+def _present(column: Column) -> Column:
+    """A feature as a double; null and NaN count as 0, infinities stay beyond every threshold."""
+    return F.coalesce(F.nanvl(column.cast("double"), F.lit(None).cast("double")), F.lit(0.0))
+
+
 @dataclass
 class IsolationForestModel:
     features: list[str]
@@ -103,7 +108,7 @@ class IsolationForestModel:
             parts = [score_block(block[i:i + 1024]) for i in range(0, len(block), 1024)]
             return pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
-        return score(*[F.col(c).cast("double") for c in self.features])
+        return score(*[_present(F.col(c)) for c in self.features])
 
     def with_score(self, df: DataFrame) -> DataFrame:
         """Adds `anomaly_score` in (0, 1]; larger is more anomalous."""
@@ -132,7 +137,7 @@ class IsolationForestModel:
                 r = by_id[node]
                 if r.feature < 0:
                     return repr(float(r.depth + average_path(r.size)))
-                return (f"case when {column(self.features[r.feature])} <= {float(r.threshold)!r} "
+                return (f"case when coalesce(nanvl(cast({column(self.features[r.feature])} as double), null), 0D) <= {float(r.threshold)!r}D "
                         f"then {text(int(r.left))} else {text(int(r.right))} end")
             trees.append(f"({text(0)})")
         return f"({' + '.join(trees)}) / {float(len(trees))!r}"
@@ -161,7 +166,11 @@ class IsolationForestModel:
 
 @dataclass
 class IsolationForest:
-    """`key` names columns that identify a row; they make the draw repeatable."""
+    """`key` names columns that identify a row.
+
+    Every tree takes the `sample_size` rows with the smallest hash of (key, tree), at any size of the table; without
+    a key the feature values are hashed, so equal rows go to the same trees.
+    """
 
     features: tuple[str, ...]
     n_trees: int = 100
@@ -170,16 +179,11 @@ class IsolationForest:
     seed: int = 42
     key: tuple[str, ...] = ()
 
-    def _pool(self, df: DataFrame, total: int) -> DataFrame:
-        """A random pool large enough for every tree, with one hash per row."""
-        values = [F.col(c).cast("double").alias(c) for c in self.features]
-        draw = (F.pmod(F.xxhash64(F.lit(self.seed), *self.key), F.lit(_HASH_RANGE)) if self.key
-                else (F.rand(self.seed) * _HASH_RANGE).cast("long"))
-        rows = df.select(draw.alias("_draw"), *values)
-        wanted = 4 * self.n_trees * self.sample_size
-        if total > wanted:
-            rows = rows.filter(F.col("_draw") < int(_HASH_RANGE * (wanted / total)))
-        return rows
+    def _hashed(self, df: DataFrame) -> DataFrame:
+        """The features with one hash per row, of its key or else of its values."""
+        values = [_present(F.col(c)).alias(c) for c in self.features]
+        draw = F.pmod(F.xxhash64(F.lit(self.seed), *(self.key or values)), F.lit(_HASH_RANGE))
+        return df.select(draw.alias("_draw"), *values)
 
     def grow(self, df: DataFrame) -> IsolationForestModel:
         """Fit the trees; the threshold is still open."""
@@ -189,21 +193,20 @@ class IsolationForest:
             raise ValueError("features_df is empty: nothing to train on.")
         psi = min(self.sample_size, total)
         height = max(1, math.ceil(math.log2(max(psi, 2))))
-        pool = min(total, 4 * self.n_trees * self.sample_size)
         # (row, tree) pairs that may be among the psi smallest hashes of a tree
-        limit = int(_HASH_RANGE * min(1.0, 1.5 * psi / pool + 20.0 / pool))
+        limit = int(_HASH_RANGE * min(1.0, 1.5 * psi / total + 20.0 / total))
         mix = lambda t: F.pmod(F.xxhash64(F.lit(self.seed), F.col("_draw"), t), F.lit(_HASH_RANGE))
         trees = F.filter(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), lambda t: mix(t) < limit)
         tasks = min(self.n_trees, df.sparkSession.sparkContext.defaultParallelism)
         # one group per tree: few bytes, so the number of tasks is set by hand
-        pairs = self._pool(df, total).select("*", F.explode(trees).alias("tree")).repartition(tasks, "tree")
+        pairs = self._hashed(df).select("*", F.explode(trees).alias("tree")).repartition(tasks, "tree")
         ranked = F.row_number().over(Window.partitionBy("tree").orderBy(mix(F.col("tree")), "_draw"))
         drawn = pairs.withColumn("_rank", ranked).filter(F.col("_rank") <= psi)
         features, seed = list(self.features), self.seed
 
         def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             tree = int(key[0])
-            matrix = rows.sort_values("_rank")[features].fillna(0.0).to_numpy(dtype=float)
+            matrix = np.nan_to_num(rows.sort_values("_rank")[features].to_numpy(dtype=float))
             grown = grow_tree(matrix, height, np.random.default_rng([seed, tree]))
             out = pd.DataFrame(grown, columns=["node", "feature", "threshold", "left", "right", "depth", "size"])
             out.insert(0, "tree", tree)

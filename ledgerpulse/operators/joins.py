@@ -4,77 +4,43 @@ No join here carries a broadcast hint on a table that grows. Spark broadcasts
 a side by its own size check, adaptive execution does so from measured
 sizes, and splits the partitions of a hot key where it may: either side of an
 inner join, the left side of a left, semi or anti join. Right sides are
-therefore reduced to distinct keys or one row per key first, or spread by
-`spread_left_join`.
+therefore reduced to distinct keys or one row per key first, or joined by
+`left_join_any_keys`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.expressions import decline_code_number
+from ledgerpulse.functions.knowledge import decline_knowledge, webhook_knowledge
 from ledgerpulse.operators.lookups import first_per_key
 from ledgerpulse.operators.sets import key_sides
 
-# Meaning of each decline code in the support documents.
-DECLINE_MEANINGS = {
-    "05": ("Do Not Honor", "The issuing bank has blocked this transaction without providing a specific reason."),
-    "14": ("Invalid Card Number", "The card number provided does not pass the Luhn check or is unknown to the issuing network."),
-    "51": ("Insufficient Funds", "The cardholder's account does not have enough balance to cover the transaction amount."),
-    "54": ("Expired Card", "The card's expiry date has passed."),
-    "57": ("Transaction Not Permitted", "The card is not allowed for this merchant category (MCC)."),
-    "91": ("Issuer Switch Inoperative", "The issuing bank's network is temporarily unavailable."),
-    "93": ("Risk Block", "The transaction has been flagged and blocked by internal fraud velocity rules."),
-}
+def left_join_any_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join for a right side with any number of rows per key.
 
-
-def decline_knowledge(spark: SparkSession) -> DataFrame:
-    """The seven documented codes: code, title, meaning."""
-    rows = [(code, title, meaning) for code, (title, meaning) in DECLINE_MEANINGS.items()]
-    return spark.createDataFrame(rows, "code string, title string, meaning string")
-
-
-def hot_keys(df: DataFrame, key: str, at_least: int = 1_000_000, share: float = 0.001) -> list:
-    """Keys that hold about `at_least` rows or more, found in a sample of the key column.
-
-    The sample only decides how a join is spread, never which rows it returns.
-    With the defaults a key counts as hot from 1,000 sampled rows on.
+    Adaptive execution splits a hot key on either side of an inner join, but not on the right
+    side of a left join. So matches come from an inner join, and left rows without a match
+    from an anti join with the distinct keys, which are combined on the map side.
     """
-    counts = df.select(key).filter(F.col(key).isNotNull()).sample(share, seed=11).groupBy(key).agg(F.count("*").alias("n"))
-    found = counts.filter(F.col("n") >= max(1.0, at_least * share)).orderBy(F.desc("n")).limit(1000)
-    return [row[0] for row in found.collect()]
+    matched = left.join(right, key)
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
-def spread_left_join(left: DataFrame, right: DataFrame, key: str, hot: list, parts: int = 64) -> DataFrame:
-    """Left join whose hot right-hand keys are spread over `parts` tasks.
-
-    Adaptive execution cannot split the right side of a left join. A hot key
-    has partners by definition, so its rows take an inner join on (key, salt):
-    right rows get one salt each, the few left rows get all of them.
-    """
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    calm = left.filter(~is_hot).join(right.filter(~is_hot), key, "left")
-    salted = right.filter(is_hot).withColumn(
-        "_salt", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int"))
-    copied = left.filter(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    matched = copied.join(salted, [key, "_salt"]).drop("_salt")
-    unmatched = left.filter(is_hot).join(right.select(key).filter(is_hot).distinct(), key, "left_anti")
-    return calm.unionByName(matched).unionByName(unmatched, allowMissingColumns=True).select(calm.columns)
-
-
-def transactions_with_logs(transactions: DataFrame, logs: DataFrame, hot: list | None = None) -> DataFrame:
+def transactions_with_logs(transactions: DataFrame, logs: DataFrame, one_log_each: bool = False) -> DataFrame:
     """Left join on transaction_id; columns of both sides get `_wh` on the log side.
 
-    `hot` names transactions with a great many logs; by default they are looked for.
+    `one_log_each` states that no transaction has more than a few logs; then a plain left join is enough.
     """
     renamed = logs.select(*[
         F.col(c).alias(f"{c}_wh") if c in transactions.columns and c != "transaction_id" else F.col(c)
         for c in logs.columns])
-    found = hot_keys(logs, "transaction_id") if hot is None else hot
-    return spread_left_join(transactions, renamed, "transaction_id", found)
+    if one_log_each:
+        return transactions.join(renamed, "transaction_id", "left")
+    return left_join_any_keys(transactions, renamed, "transaction_id")
 
 
 def merged_view(transactions: DataFrame, logs: DataFrame) -> DataFrame:
@@ -123,6 +89,11 @@ def decline_explanations(transactions: DataFrame) -> DataFrame:
     return coded.join(knowledge, decline_code_number("decline_code") == F.col("code"), "left")
 
 
+def delivery_explanations(logs: DataFrame) -> DataFrame:
+    """Logs with what their HTTP status means and what the gateway does; the knowledge side has nine rows."""
+    return logs.join(F.broadcast(webhook_knowledge(logs.sparkSession)), "http_status", "left")
+
+
 def orphan_counts(transactions: DataFrame, logs: DataFrame, merchants: DataFrame) -> DataFrame:
     """Keys without a partner, one row per direction."""
     def missing(left, right, key, left_name, right_name):

@@ -75,11 +75,12 @@ class FraudDetector:
     def is_trained(self) -> bool:
         return self.model is not None
 
-    def train(self, rows: DataFrame, label: str | None = None, max_iter: int = 100) -> "FraudDetector":
-        """Fit on the numeric columns other than the label."""
-        self.features = [c for c in numeric_columns(rows) if c != label]
+    def train(self, rows: DataFrame, label: str | None = None, max_iter: int = 100, key: tuple[str, ...] = ()) -> "FraudDetector":
+        """Fit on the numeric columns other than label and key; the rows are stored once, as fitting reads them several times."""
+        self.features = [c for c in numeric_columns(rows) if c != label and c not in key]
         if self.mode == "anomaly":
-            self.model = IsolationForest(tuple(self.features), contamination=0.05, seed=42).fit(rows)
+            stored = cut_lineage(rows.select(*key, *self.features))
+            self.model = IsolationForest(tuple(self.features), contamination=0.05, seed=42, key=key).fit(stored)
             return self
         if label is None:
             raise ValueError("Labels are required for supervised mode.")

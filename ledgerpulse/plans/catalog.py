@@ -18,16 +18,17 @@ from ledgerpulse.functions import transcripts as tx
 from ledgerpulse.operators import (
     alerts, detectors, evaluation, features, guardrails, joins, kpi, lookups, quality, ranking, retrieval, sets,
 )
-from ledgerpulse.operators.iforest import IsolationForest, fixed_forest
+from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel, fixed_forest
 from ledgerpulse.operators.models import FraudDetector, MerchantHealthMonitor, detect_anomalies, train_live_model
 from ledgerpulse.operators.outliers import (
     Gaussian, Scaler, fit_elliptic_envelope, fit_linear_autoencoder, fit_local_outlier_factor, fit_one_class_svm,
 )
 from ledgerpulse.plans import comparison, views
-from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, WINDOW_FEATURES, numeric_columns
+from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, MERCHANTS, WINDOW_FEATURES, numeric_columns
 from ledgerpulse.session import cut_lineage, fresh_folder
-from ledgerpulse.sources import messages
-from ledgerpulse.sources.alert_table import read_alerts
+from ledgerpulse.sources import files, messages
+from ledgerpulse.sources.alert_table import append_alerts, read_alerts
+from ledgerpulse.sources.files import is_folder
 from ledgerpulse.streaming import scoring, windows
 
 QUERIES: dict = {}
@@ -283,7 +284,13 @@ def merchant_category_join(spark, d):
 
 @query
 def decline_kb_lookup(spark, d):
-    return joins.decline_explanations(_txns(spark, d)).select("transaction_id", "decline_code", "code", "title", "meaning")
+    return joins.decline_explanations(_txns(spark, d)).select(
+        "transaction_id", "decline_code", "code", "title", "meaning", "expect", "action")
+
+
+@query
+def webhook_kb_lookup(spark, d):
+    return joins.delivery_explanations(_logs(spark, d)).select("log_id", "http_status", "status_meaning", "gateway_action")
 
 
 @query
@@ -677,10 +684,26 @@ def _scores(df: DataFrame) -> DataFrame:
 @query
 def iforest_frozen_scores(spark, d):
     """Live events scored by the frozen forest."""
+    scored = scoring.score_events(messages.as_messages(views.live_events(spark, d)), fixed_forest(), as_expression=True)
+    return _scores(scored.select("transaction_id", "anomaly_score", "decision", "prediction"))
+
+
+@query
+def iforest_frozen_scores_udf(spark, d):
+    """The same scores from Python workers, as for large forests."""
     scored = scoring.score_events(messages.as_messages(views.live_events(spark, d)), fixed_forest())
     return _scores(scored.select("transaction_id", "anomaly_score", "decision", "prediction"))
 
 
+@query
+def model_round_trip(spark, d):
+    """The frozen forest saved, loaded and applied."""
+    folder = fresh_folder(spark, "model")
+    fixed_forest().save(spark, folder)
+    scored = scoring.score_events(messages.as_messages(views.live_events(spark, d)), IsolationForestModel.load(spark, folder))
+    return _scores(scored.select("transaction_id", "anomaly_score", "decision", "prediction"))
+
+
 @query
 def iforest_fit_predict(spark, d):
     return _scores(MerchantHealthMonitor().train_and_predict(_day_features(spark, d)))
@@ -701,7 +724,7 @@ def iforest_reduced(spark, d):
 @query
 def iforest_live_model(spark, d):
     """A 200-tree model fitted on all live events and applied to them."""
-    events = scoring.with_live_features(messages.parse_live_events(messages.as_messages(views.live_events(spark, d))))
+    events = cut_lineage(scoring.with_live_features(messages.parse_live_events(messages.as_messages(views.live_events(spark, d)))))
     model = train_live_model(events, key=("transaction_id",))
     return _scores(model.transform(events)).select("transaction_id", "anomaly_score", "decision", "prediction")
 
@@ -716,8 +739,9 @@ def contamination_share(spark, d):
 
 @query
 def fraud_anomaly(spark, d):
-    rows = _day_features(spark, d).drop("timestamp")
-    return FraudDetector("anomaly").train(rows).predict(rows).select("merchant_id", "fraud_prediction")
+    rows = cut_lineage(_day_features(spark, d))
+    detector = FraudDetector("anomaly").train(rows, key=("merchant_id", "timestamp"))
+    return detector.predict(rows).select("merchant_id", "fraud_prediction")
 
 
 @query
@@ -875,29 +899,109 @@ def transcript_audit_by_conversation(spark, d):
     return guardrails.audit(views.transcripts(spark, d), "conv_id")
 
 
+# ---- sources and sinks -------------------------------------------------------
+
+@query
+def csv_round_trip(spark, d):
+    """Merchants written as CSV and read with their types."""
+    folder = fresh_folder(spark, "csv")
+    files.write_csv(_merchants(spark, d), folder)
+    return files.read_csv(spark, folder, MERCHANTS)
+
+
+@query
+def csv_missing_file(spark, d):
+    """A table whose file is missing is empty; the other one is whole."""
+    folder = fresh_folder(spark, "csv-tables")
+    files.write_csv(_merchants(spark, d), f"{folder}/merchants.csv")
+    tables = files.TelemetryTables(spark, folder)
+    return tables.merchants.agg(F.count("*").alias("merchants")).crossJoin(tables.webhook_logs.agg(F.count("*").alias("logs")))
+
+
+@query
+def validated_scan(spark, d):
+    """Transactions written as CSV and loaded with their required columns checked."""
+    folder = fresh_folder(spark, "csv-transactions")
+    files.write_csv(_txns(spark, d).drop("card_bin"), folder)
+    return files.load_transactions(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query
+def published_messages(spark, d):
+    """Live events published as JSON and parsed from what was published."""
+    folder = fresh_folder(spark, "messages")
+    messages.publish(views.live_events(spark, d), "files", folder)
+    return messages.parse_live_events(spark.read.text(folder)).select("transaction_id", "merchant_id", "amount", "decline_code", "timestamp")
+
+
+@query
+def alert_table_round_trip(spark, d):
+    """Rule alerts appended to the alert table in two parts and read back."""
+    folder, found = fresh_folder(spark, "alerts"), cut_lineage(_rule_alerts(spark, d).withColumn("detected_at", F.lit(None).cast("timestamp")))
+    for part in (F.col("merchant_id") < "merchant_id_5", F.col("merchant_id") >= "merchant_id_5"):
+        append_alerts(found.filter(part), folder)
+    return read_alerts(spark, folder).select("merchant_id", ex.iso_timestamp("window_start").alias("window_start"), "alert_type", "description")
+
+
+@query
+def passage_store_round_trip(spark, d):
+    """Embeddings stored as a table, loaded and counted per label."""
+    folder = fresh_folder(spark, "passages")
+    rows = views.table(spark, d, "embeddings")
+    files.save_table(rows, folder)
+    return files.load_table(spark, folder, rows.schema).groupBy("label").agg(
+        F.count("*").alias("n"), F.min(F.size("embedding")).alias("dims"), F.sum("vec_id").alias("ids"))
+
+
+@query
+def merged_view_empty_sides(spark, d):
+    """An empty side gives the other one unchanged."""
+    txns, logs = _txns(spark, d), _logs(spark, d)
+    left = joins.merged_view(txns, logs.limit(0)).select(F.col("transaction_id").alias("id"), F.lit("transaction").alias("kind"))
+    right = joins.merged_view(txns.limit(0), logs).select(F.col("log_id").alias("id"), F.lit("log").alias("kind"))
+    return left.unionByName(right)
+
+
+@query
+def empty_features(spark, d):
+    """Windows of no transactions at all, counted beside those of all."""
+    txns = _txns(spark, d)
+    none = features.window_features(txns.limit(0), "1 day").agg(F.count("*").alias("of_none"))
+    return none.crossJoin(features.window_features(txns, "1 day").agg(F.count("*").alias("of_all")))
+
+
 # ---- streams ---------------------------------------------------------------
 
 @query
 def live_alerts_batch(spark, d):
     """Batch twin of the event scorer: only anomalous events remain."""
-    found = scoring.live_alerts(messages.as_messages(views.live_events(spark, d)), fixed_forest())
+    found = scoring.live_alerts(messages.as_messages(views.live_events(spark, d)), fixed_forest(), as_expression=True)
     return _rounded(found.select("merchant_id", "source", "anomaly_score", "payload_json"), "anomaly_score").select(
         F.get_json_object("payload_json", "$.transaction_id").alias("transaction_id"), "merchant_id", "source", "anomaly_score")
 
 
 def _event_stream(spark, d):
-    """The event table read as a stream of files."""
+    """The event table read as a stream of files: a folder of part files, or one file beside the other tables."""
     schema = views.table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    reader = spark.readStream.schema(schema)
+    if is_folder(spark, f"{d}/events.parquet"):
+        return reader.parquet(f"{d}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+def _drained(spark, d, start) -> None:
+    """Runs a windowed query over the whole event stream and flushes its open windows."""
+    source = _event_stream(spark, d).selectExpr(*views.transaction_columns())
+    windows.BoundedInput(source, fresh_folder(spark, "end-of-input")).drain(
+        lambda stream: start(windows.streaming_features(stream, "1 day", windows.WHOLE_INPUT)))
 
 
 @query
 def stream_features(spark, d):
-    """Daily features of closed windows, computed by a streaming query that runs to the end of its input."""
-    stream = windows.streaming_features(_event_stream(spark, d).selectExpr(*views.transaction_columns()), "1 day")
+    """Daily features computed by a streaming query that runs to the end of its input; equal to the batch."""
     out, mark = fresh_folder(spark, "stream-features"), fresh_folder(spark, "stream-features-checkpoint")
-    windows.store_stream(stream, out, mark, availableNow=True).awaitTermination()
-    stored = spark.read.schema(stream.schema).parquet(out)
+    _drained(spark, d, lambda features: windows.store_stream(features, out, mark, availableNow=True))
+    stored = spark.read.schema(features.window_features(_txns(spark, d), "1 day").schema).parquet(out)
     return _rounded(stored, "decline_ratio", "avg_amount").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -907,7 +1011,7 @@ def stream_scoring(spark, d):
     columns = views.live_event_columns()
     stream = messages.as_messages(_event_stream(spark, d).selectExpr(*columns))
     out, mark = fresh_folder(spark, "stream-alerts"), fresh_folder(spark, "stream-alerts-checkpoint")
-    scoring.start_scoring(stream, fixed_forest(), out, mark, availableNow=True).awaitTermination()
+    scoring.start_scoring(stream, fixed_forest(), out, mark, as_expression=True, availableNow=True).awaitTermination()
     found = read_alerts(spark, out)
     return _rounded(found, "anomaly_score").select(
         F.get_json_object("payload_json", "$.transaction_id").alias("transaction_id"), "merchant_id", "source", "anomaly_score")
@@ -915,9 +1019,8 @@ def stream_scoring(spark, d):
 
 @query
 def stream_window_alerts(spark, d):
-    """Closed daily windows of the stream scored by a model fitted on the stored features."""
+    """Daily windows of the stream scored by a model fitted on the stored features."""
     model = IsolationForest(WINDOW_FEATURES, key=("merchant_id", "timestamp")).fit(cut_lineage(_day_features(spark, d)))
-    stream = windows.streaming_features(_event_stream(spark, d).selectExpr(*views.transaction_columns()), "1 day")
     out, mark = fresh_folder(spark, "window-alerts"), fresh_folder(spark, "window-alerts-checkpoint")
-    windows.start_window_alerts(stream, model, out, mark, availableNow=True).awaitTermination()
+    _drained(spark, d, lambda features: windows.start_window_alerts(features, model, out, mark, availableNow=True))
     return _rounded(read_alerts(spark, out).drop("detected_at"), "anomaly_score")

@@ -139,6 +139,7 @@ TRANSCRIPT_SUFFIX = (
     (4, "\n{\"name\": \"some_other_thing\", \"value\": 42}"),
     (5, " Your card was refused: error_code: 51_Insufficient_Funds. Let me consult the tool."),
     (6, " {\"name\":\"retry_failed_webhook\",\"parameters\":{\"log_id\":\"WH-00000007\"}} ok"),
+    (7, " Declined with decline code of '14_Invalid_Card_Number'.\n{\"name\": \"search_knowledge_base\", \"parameters\": {\"query\": \"code 14\"}}"),
 )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +23,22 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ALERTS).option("recursiveFileLookup", True).parquet(path)
 
 
-def append_batch_once(path: str):
-    """A foreachBatch writer that stores each micro-batch in its own folder.
+def append_batch_once(path: str, writer: str):
+    """A foreachBatch writer that stores each micro-batch in a folder of its own.
 
-    A batch that is run again after a failure replaces its own folder, so
-    every alert is stored once.
+    `writer` names the query for good. Many writers share the table: a batch that is run again after a
+    failure replaces only what the same writer stored for it, so every alert is stored once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*ALERTS.names).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.select(*ALERTS.names).write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
     return write
 
 
+def writer_of(kind: str, checkpoint: str) -> str:
+    """A writer's name from its checkpoint, whose batch numbers it follows."""
+    return f"{kind}-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def alert_arrivals(spark: SparkSession, path: str) -> DataFrame:
     """Unbounded table of alerts as they arrive; a checkpoint remembers what was seen."""
     return (spark.readStream.schema(ALERTS).option("recursiveFileLookup", True).parquet(path))

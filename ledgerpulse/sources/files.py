@@ -25,6 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder of files; a single file is listed under its own name."""
+    files = spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+    return not files or files[0]["path"].rstrip("/").rsplit("/", 1)[-1] != path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header. Codes with leading digits stay strings by the schema."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)

@@ -93,6 +93,9 @@ def test_injected_labels(txn_frame):
     assert both.filter("_anomaly_tag = 'A1'").count() == 50 and both.filter("decline_code = 'x'").count() == 157
     over = detectors.tag_first(first, F.col("status") == "DECLINED", 5, "A6", overwrite=True)
     assert over.filter("_anomaly_tag = 'A6'").count() == 5
+    odd = first.withColumn("transaction_id", F.when(F.col("amount") % 2 < 1, F.lit("no digits at all")).otherwise(
+        F.concat(F.lit("TXN-9"), F.lpad(F.regexp_extract("transaction_id", r"(\\d+)$", 1), 14, "9"))))
+    assert detectors.tag_share(odd, F.lit(True), 1.0, "A4").filter("_anomaly_tag is null").isEmpty()
     assert detectors.tag_share(first, F.lit(False), 0.9, "A4").filter("_anomaly_tag = 'A4'").isEmpty()
 
 

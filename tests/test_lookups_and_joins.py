@@ -84,15 +84,21 @@ def test_details_hold_the_log_or_null(small):
     assert rows["TXN-00000002"].http_status == 500 and rows["TXN-00000003"] is None
 
 
-def test_hot_key_join_equals_plain_join(spark):
-    left = spark.createDataFrame([(i, f"m{i % 3}") for i in range(20)] + [(None, "m0")], "k int, m string")
-    right = spark.createDataFrame([(7, i) for i in range(500)] + [(i % 15, i) for i in range(300)], "k int, v int")
-    plain = sorted(map(str, left.join(right, "k", "left").collect()))
-    assert joins.hot_keys(right, "k", at_least=300, share=1.0) == [7]
-    for hot in ([7], [7, 3, 19]):
-        spread = joins.spread_left_join(left, right, "k", hot, parts=5)
-        assert spread.columns == left.join(right, "k", "left").columns
-        assert sorted(map(str, spread.collect())) == plain
+def test_left_join_of_any_keys_equals_plain_join(spark):
+    left = spark.createDataFrame([(i, f"m{i % 3}") for i in range(6000)] + [(None, "m0")] * 2, "k int, m string")
+    right = spark.createDataFrame([(7, 1)] * 500 + [(i % 5000, i) for i in range(15000)] + [(None, 3)], "k int, v int")  # equal rows, many hot keys
+    plain = left.join(right, "k", "left")
+    spread = joins.left_join_any_keys(left, right, "k")
+    assert spread.columns == plain.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_join_starts_no_job_before_its_action(spark, kpi_tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "joins")
+    joins.transactions_with_logs(*kpi_tables)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("rest", "")
 
 
 def test_orphans(small):

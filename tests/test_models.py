@@ -285,3 +285,23 @@ def test_comparison_on_small_tables(comparison_tables):
     assert sorted(report.model) == sorted(comparison.MODEL_NAMES)
     assert ((report.tp + report.fp + report.fn + report.tn) == 6).all()
     assert report[["precision", "recall", "f1"]].map(lambda v: 0 <= v <= 1).all().all()
+
+
+def test_missing_values_mean_the_same_in_both_forms(spark):
+    model = fixed_forest()
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, 500.0]
+    rows = [(i, *[odd[(i + 2 * k) % 6] if k == i % 6 or i > 30 else 1.0 for k in range(6)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, " + ", ".join(f"{c} double" for c in model.features))
+    plain = {r.i: round(r.anomaly_score, 9) for r in model.with_score(df).collect()}
+    assert plain == {r.i: round(r.anomaly_score, 9) for r in model.with_expression_score(df).collect()}
+
+
+@pytest.mark.parametrize("key", [("id",), ()])
+def test_forest_does_not_depend_on_partitions(spark, key):
+    df = spark.createDataFrame(
+        [(i, float(i * 7919 % 1000) + i / 3000, float(i % 97)) for i in range(3000)], "id long, a double, b double")
+    found = []
+    for n in (2, 7):
+        model, out = IsolationForest(("a", "b"), n_trees=20, sample_size=64, key=key).fit_predict(df.repartition(n))
+        found.append(sorted((r.id, r.prediction) for r in out.collect()))
+    assert found[0] == found[1]

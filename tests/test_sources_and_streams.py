@@ -136,13 +136,37 @@ def test_scoring_stream_equals_batch(spark, tmp_path):
 
 
 def test_repeated_batch_is_stored_once(spark, tmp_path):
-    write = alert_table.append_batch_once(str(tmp_path / "a"))
+    write = alert_table.append_batch_once(str(tmp_path / "a"), "w")
     rows = alerts.empty_alerts(spark).unionAll(spark.createDataFrame(
         [("s", "m", None, None, "t", "d", 0.1, None, "{}")], schemas.ALERTS))
     write(rows, 0)
     write(rows, 0)
     write(rows, 1)
     assert alert_table.read_alerts(spark, str(tmp_path / "a")).count() == 2
+    alert_table.append_batch_once(str(tmp_path / "a"), alert_table.writer_of("w", "other/checkpoint"))(rows, 0)
+    assert alert_table.read_alerts(spark, str(tmp_path / "a")).count() == 3  # a second writer takes nothing away
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_events_in_a_folder_are_streamed_in_full(spark, tmp_path, files):
+    from ledgerpulse.plans import catalog
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(300)
+    events.repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    expected = catalog.features_1day(spark, str(tmp_path)).collect()
+    assert sorted(map(str, catalog.stream_features(spark, str(tmp_path)).collect())) == sorted(map(str, expected))
+
+
+def test_one_file_per_trigger_loses_nothing(spark, txn_frame, tmp_path):
+    rows = [r for h in (13, 10, 12) for r in make_txns(30, f"m{h}", start=f"2026-03-07T{h}:00:00", seconds=3600)]
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for part in (rows[:30], rows[30:60], rows[60:]):
+        txn_frame(part).coalesce(1).write.mode("append").parquet(inbox)
+    source = spark.readStream.schema(schemas.TRANSACTIONS).option("maxFilesPerTrigger", 1).parquet(inbox)
+    bounded = windows.BoundedInput(source, str(tmp_path / "end"))
+    bounded.drain(lambda s: windows.store_stream(windows.streaming_features(s, "10 minutes", windows.WHOLE_INPUT), out, mark, availableNow=True))
+    batch = window_features(txn_frame(rows))
+    assert sorted(map(str, spark.read.schema(batch.schema).parquet(out).collect())) == sorted(map(str, batch.collect()))
 
 
 def test_window_stream_equals_batch_for_closed_windows(spark, txn_frame, tmp_path):
