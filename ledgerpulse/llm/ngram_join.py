@@ -36,7 +36,7 @@ FRAGMENTS = 8
 COUNTERS = 1 << 20
 _CHUNK = 4096
 #: Members met per class in each of the first rounds, before the best one is verified.
-LEADERS = 8
+LEADERS = 32
 ROUNDS = 2
 _SKETCH = [f"s{i}" for i in range(8)]
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
