@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,11 +41,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         return configured
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="ledgerpulse-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 

@@ -305,3 +305,21 @@ def test_forest_does_not_depend_on_partitions(spark, key):
         model, out = IsolationForest(("a", "b"), n_trees=20, sample_size=64, key=key).fit_predict(df.repartition(n))
         found.append(sorted((r.id, r.prediction) for r in out.collect()))
     assert found[0] == found[1]
+
+
+def test_one_class_svm_stops_by_its_rule(spark, monkeypatch):
+    from ledgerpulse.operators.outliers import OneClassSvm
+
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in rng.normal(size=(200, 2))], "a double, b double")
+    once = fit_one_class_svm(df, ["a", "b"], 0.1)
+    monkeypatch.setattr(OneClassSvm, "MOST_STEPS", 400)
+    again = fit_one_class_svm(df, ["a", "b"], 0.1)
+    np.testing.assert_allclose(once.weights, again.weights)
+    # a dense solution of the same problem, by many small steps
+    points = once._map()(np.array(df.collect(), dtype=float))
+    w, share = points.mean(axis=0), 20
+    for step in range(1, 3000):
+        low = points[np.argsort(points @ w)[:share]].mean(axis=0)
+        w = w + (low - w) / (step + 1)
+    assert once.weights @ once.weights <= 1.05 * (w @ w)

@@ -227,6 +227,8 @@ def test_shared_folder_comes_from_the_session(spark):
     assert checkpoint_root(named) == "hdfs:///shared/"
     assert fresh_folder(named, "a").startswith("hdfs:///shared/a-") and fresh_folder(named, "a") != fresh_folder(named, "a")
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
-                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+                              sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    chosen = SimpleNamespace(conf=cluster.conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: "hdfs:///own"))
+    assert checkpoint_root(chosen) == "hdfs:///own"
     with pytest.raises(RuntimeError):
         checkpoint_root(cluster)
