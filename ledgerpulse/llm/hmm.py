@@ -36,7 +36,7 @@ SYMBOL_BYTES = 64
 HELD_WORDS = 100_000
 #: Segments worked on at a time.
 BATCH = 4096
-_ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, base double, known long, rare array<binary>"
+_ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, base double, known long, rare map<binary, int>"
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def encode(docs: DataFrame, words: WordStatistics) -> DataFrame:
     """Per text: symbol ids (the end included), the base score of its symbols, and its rare words."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("ids", pa.binary()),
-                        ("base", pa.float64()), ("known", pa.int64()), ("rare", pa.list_(pa.binary()))])
+                        ("base", pa.float64()), ("known", pa.int64()), ("rare", pa.map_(pa.binary(), pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = sent.value
@@ -100,10 +100,10 @@ def encode(docs: DataFrame, words: WordStatistics) -> DataFrame:
                     ids_of.append(np.append(ids, w.end).astype("<u4" if w.rare > 0xFFFF else "<u2").tobytes())
                     base.append(float(shares[symbols].sum() + end_share))
                     known.append(len(symbols) + end_known)
-                    rare.append([tokens[i] for i in np.flatnonzero(ids == w.rare)])
+                    rare.append(list(Counter(tokens[i] for i in np.flatnonzero(ids == w.rare)).items()))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(ids_of, pa.binary()),
-                    pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(rare, pa.list_(pa.binary()))], schema=schema)
+                    pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(rare, pa.map_(pa.binary(), pa.int32()))], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "held_out", "text")
     return rows.mapInArrow(run, _ENCODED)
@@ -214,28 +214,24 @@ class HiddenMarkovModel:
             total = moved.sum(1, keepdims=True)
             state = np.where(there[:, None], moved / np.where(total > 0, total, 1), state)
             alphas.append(state)
-        weight = after
+        weight, gammas = after, np.zeros((SEGMENT, *before.shape))
         for t in range(SEGMENT - 1, -1, -1):
             e, there = self._steps(symbols, begins, t)
             if not there.any():
                 continue
             gamma = alphas[t] * weight
-            gamma /= gamma.sum(1, keepdims=True)
-            gamma[~there] = 0
-            at = symbols[there, t]
-            for k in range(s):
-                emits[:, k] += np.bincount(at, weights=gamma[there, k], minlength=len(emits))
+            gammas[t] = gamma / gamma.sum(1, keepdims=True)
             ahead = e * weight  # weight of being in a state at t, its symbol included
-            inner = there if t else there & ~begins
-            if t == 0:
-                starts += gamma[begins].sum(0)
-            prior = alphas[t - 1] if t else before
-            pair = prior[inner][:, :, None] * self.move[None] * ahead[inner][:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
-            moves += pair.sum(0)
             back = ahead @ self.move.T
-            back /= back.sum(1, keepdims=True)
-            weight = np.where(there[:, None], back, weight)
+            inner = there if t else there & ~begins
+            prior = (alphas[t - 1] if t else before)[inner]
+            prior = prior / (prior * back[inner]).sum(1, keepdims=True)
+            moves += self.move * (prior.T @ ahead[inner])
+            weight = np.where(there[:, None], back / back.sum(1, keepdims=True), weight)
+        starts += gammas[0][begins].sum(0)
+        held = symbols.T >= 0
+        for k in range(s):
+            emits[:, k] += np.bincount(symbols.T[held], weights=gammas[:, :, k][held], minlength=len(emits))
 
 
 def _ids(data: bytes, wide: bool) -> np.ndarray:
@@ -288,7 +284,7 @@ def score(encoded: DataFrame, counts: DataFrame, words: WordStatistics, model: H
 
     likely = encoded.select("row", "ids").mapInArrow(run, "row long, hmm double")
     n = F.coalesce("n", F.lit(0))
-    uses = encoded.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("word").alias("uses"))
+    uses = encoded.select("row", F.explode("rare").alias("word", "uses"))
     rare = (uses.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("uses"))).alias("rare_known"),
         F.sum(F.col("uses") * F.log10((n + 1.0) / (words.tokens + words.kinds + 1.0))).alias("rare_base"),
