@@ -455,6 +455,9 @@ ORACLES: dict[str, str] = {
     "passage_store_round_trip": "select label, count(*) as n, min(len(embedding)) as dims, sum(vec_id) as ids from embeddings group by label",
     "merged_view_empty_sides": _sql("t l", "select transaction_id as id, 'transaction' as kind from t union all select log_id, 'log' from l"),
     "empty_features": _sql("fd", "select 0::bigint as of_none, count(*) as of_all from fd"),
+    "chunk_properties_by_document": """select doc_id, length(trim(text, ' \n')) > 0 as has_chunks, true as parts_of_text, true as short_enough
+ from documents""",
+    "outlier_properties": "select * from (values ('EllipticEnvelope', true, true), ('AutoEncoder', true, true)) v(model, within_share, in_order)",
     "webhook_kb_lookup": _sql("l ws", "select log_id, http_status, status_meaning, gateway_action from l left join ws using (http_status)"),
 }
 ORACLES["stream_scoring"] = ORACLES["live_alerts_batch"]

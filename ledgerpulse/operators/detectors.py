@@ -16,7 +16,7 @@ from ledgerpulse.functions.expressions import (
     CARD_TEST_CODES, ISSUER_DOWN_CODE, RISK_BLOCK_CODE, is_failed, next_steps, remediation, safe_divide,
 )
 from ledgerpulse.operators.joins import logs_with_merchant, transactions_with_logs
-from ledgerpulse.operators.lookups import retry_outcomes, update_http_status
+from ledgerpulse.operators.lookups import retry_successes
 from ledgerpulse.operators.quantiles import order_statistics
 from ledgerpulse.operators.ranking import first_matching
 
@@ -110,13 +110,15 @@ def retryable_logs(transactions: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def bulk_retry(transactions: DataFrame, logs: DataFrame, new_status: int = 200) -> DataFrame:
-    """Logs after every retryable delivery was sent again."""
-    updates = retryable_logs(transactions, logs).withColumn("new_http_status", F.lit(new_status))
-    return update_http_status(logs, updates)
+    """Logs after every retryable delivery was sent again; the logs tell themselves, so one join is enough."""
+    known = logs.join(transactions.select("transaction_id", "status"), "transaction_id", "left")
+    sent = F.when(remediation() == "RETRY", F.lit(new_status)).otherwise(F.col("http_status"))
+    return known.withColumn("http_status", sent).select(*logs.columns)
 
 
 def bulk_retry_outcomes(transactions: DataFrame, logs: DataFrame) -> DataFrame:
-    return retry_outcomes(retryable_logs(transactions, logs), logs)
+    """Every retryable log comes from `logs`, so each one is found."""
+    return retry_successes(retryable_logs(transactions, logs))
 
 
 def triage(transactions: DataFrame, logs: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ledgerpulse.operators.quantiles import exact_quantiles
 from ledgerpulse.schemas import require_columns
+from ledgerpulse.session import cut_lineage
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "depth int, size long")
@@ -217,20 +218,21 @@ class IsolationForest:
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
         model = self.grow(df)
-        self._set_threshold(model, model.with_score(df).select("anomaly_score")).unpersist()
+        scored = model.with_score(df).select("anomaly_score").persist()
+        self._set_threshold(model, scored)
+        scored.unpersist()
         return model
 
     def fit_predict(self, df: DataFrame) -> tuple[IsolationForestModel, DataFrame]:
-        """Fit on df and label its rows; scores are computed once and kept."""
+        """Fit on df and label its rows; scores are computed once and stored."""
         model = self.grow(df)
-        scored = self._set_threshold(model, model.with_score(df))
+        scored = cut_lineage(model.with_score(df))
+        self._set_threshold(model, scored)
         return model, model.with_labels(scored)
 
-    def _set_threshold(self, model: IsolationForestModel, scored: DataFrame) -> DataFrame:
+    def _set_threshold(self, model: IsolationForestModel, scored: DataFrame) -> None:
         """The share `contamination` of training rows lies below the threshold."""
-        scored = scored.persist()
         model.offset = exact_quantiles(scored, -F.col("anomaly_score"), [self.contamination])[0]
-        return scored
 
 
 def fixed_forest() -> IsolationForestModel:

@@ -66,16 +66,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
-    """Number of distinct values of each column, one row per column.
-
-    Each count is its own two-step aggregate, so no row is multiplied.
-    """
-    parts = [df.select(c).distinct().agg(F.count(c).alias("distinct_values"))
-             .select(F.lit(c).alias("column_name"), "distinct_values") for c in columns]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+    """Number of distinct values of each column, one row per column; the table is read once."""
+    counts = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    return counts.unpivot([], list(columns), "column_name", "distinct_values")
 
 
 def table_summary(transactions: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,17 @@ def unmatched_updates(logs: DataFrame, updates: DataFrame) -> DataFrame:
     return updates.join(logs.select("log_id").distinct(), "log_id", "left_anti")
 
 
+def _retried(log_id: Column) -> Column:
+    # The outcome texts.
+    return F.concat(F.lit("Webhook log '"), log_id, F.lit("' has been marked as successfully retried (http_status → 200)."))
+
+
+def retry_successes(known: DataFrame) -> DataFrame:
+    """The outcome of retried logs that are known to be there."""
+    return known.select("log_id").distinct().select(
+        F.lit(True).alias("success"), "log_id", F.lit(200).alias("new_http_status"), _retried(F.col("log_id")).alias("message"))
+
+
 def retry_outcomes(requests: DataFrame, logs: DataFrame) -> DataFrame:
     """One outcome per requested log: retried with status 200, or not found."""
     known = logs.select("log_id", F.lit(True).alias("_known")).distinct()
@@ -90,6 +101,4 @@ def retry_outcomes(requests: DataFrame, logs: DataFrame) -> DataFrame:
                 F.coalesce("_known", F.lit(False)).alias("success"),
                 "log_id",
                 F.when(F.col("_known"), F.lit(200)).alias("new_http_status"),
-                F.when(F.col("_known"), F.concat(
-                    quoted, F.lit("' has been marked as successfully retried (http_status → 200).")))
-                .otherwise(F.concat(quoted, F.lit("' not found."))).alias("message")))
+                F.when(F.col("_known"), _retried(F.col("log_id"))).otherwise(F.concat(quoted, F.lit("' not found."))).alias("message")))

@@ -757,7 +757,8 @@ def _labelled(spark, d):
 
 @query
 def scaled_features(spark, d):
-    return _rounded(Scaler.fit(_labelled(spark, d), COMPARISON_FEATURES).transform(_labelled(spark, d)), *COMPARISON_FEATURES)
+    rows = cut_lineage(_labelled(spark, d))
+    return _rounded(Scaler.fit(rows, COMPARISON_FEATURES).transform(rows), *COMPARISON_FEATURES)
 
 
 @query
@@ -769,7 +770,7 @@ def mahalanobis(spark, d):
 
 
 def _normal_and_all(spark, d):
-    rows = comparison.standardised(_labelled(spark, d)).persist()
+    rows = cut_lineage(comparison.standardised(cut_lineage(_labelled(spark, d))))
     return rows.filter(F.col("y_true") == 0), rows
 
 
@@ -850,6 +851,33 @@ def chunk_property_report(spark, d):
     return retrieval.chunk_properties(retrieval.chunk_documents(docs), "source")
 
 
+@query
+def chunk_properties_by_document(spark, d):
+    """Per document: whether it has chunks, all are parts of its text, and none is longer than the limit."""
+    docs = views.table(spark, d, "documents").select("doc_id", "source", "text")
+    chunks = retrieval.chunk_documents(docs.select("doc_id", "text")).select("doc_id", F.col("text").alias("chunk"))
+    joined = docs.join(chunks, "doc_id", "left").groupBy("doc_id").agg(
+        (F.count("chunk") > 0).alias("has_chunks"), F.coalesce(F.bool_and(F.contains("text", "chunk")), F.lit(True)).alias("parts_of_text"),
+        (F.coalesce(F.max(F.length("chunk")), F.lit(0)) <= 500).alias("short_enough"))
+    return joined
+
+
+@query
+def outlier_properties(spark, d):
+    """Of each model: whether it flags its share of the training rows, and only rows that score above all others."""
+    normal, rows = _normal_and_all(spark, d)
+    names, share = list(COMPARISON_FEATURES), 0.2
+    fitted = {"EllipticEnvelope": fit_elliptic_envelope(normal, names, share), "AutoEncoder": fit_linear_autoencoder(normal, names, share)}
+    found = None
+    for name, model in fitted.items():
+        flagged = F.col("prediction") == 1
+        part = model.transform(normal).agg(
+            F.lit(name).alias("model"), (F.avg("prediction") <= share).alias("within_share"),
+            (F.min(F.when(flagged, F.col("outlier_score"))) > F.max(F.when(~flagged, F.col("outlier_score")))).alias("in_order"))
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
 @query
 def kb_search_documents(spark, d):
     """Benchmark passages as questions to the chunked documents."""

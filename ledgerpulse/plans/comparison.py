@@ -15,6 +15,7 @@ from ledgerpulse.operators.outliers import (
     Scaler, fit_elliptic_envelope, fit_linear_autoencoder, fit_local_outlier_factor, fit_one_class_svm,
 )
 from ledgerpulse.schemas import COMPARISON_FEATURES
+from ledgerpulse.session import cut_lineage
 
 MODEL_NAMES = ("IsolationForest", "OneClassSVM", "LocalOutlierFactor", "EllipticEnvelope", "AutoEncoder")
 
@@ -49,6 +50,6 @@ def predictions(scaled: DataFrame, contamination: float = 0.2, seed: int = 42) -
 
 def comparison(transactions: DataFrame, logs: DataFrame, contamination: float = 0.2) -> DataFrame:
     """Confusion counts, precision, recall and F1 per model."""
-    scaled = standardised(labelled_features(transactions, logs)).persist()
+    scaled = cut_lineage(standardised(cut_lineage(labelled_features(transactions, logs))))
     counts = evaluation.confusion_counts(predictions(scaled, contamination), "model")
     return evaluation.precision_recall_f1(counts)
