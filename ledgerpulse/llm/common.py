@@ -45,6 +45,20 @@ def held_out(modulus: int, remainder: int, key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def least_step(counts: DataFrame, size: int, column: str = "n", parts: int = 16) -> tuple[Column, int]:
+    """A step function of a count and the lowest step such that at most `size` rows reach it.
+
+    Only the number of rows per step comes back, some hundred numbers, whatever the table holds.
+    """
+    step = F.floor(F.log2(column) * parts).cast("int")
+    held, least = 0, None
+    for s, n in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
+        if held + n > size:
+            break
+        held, least = held + n, s
+    return step, least if least is not None else 2 ** 31 - 1
+
+
 def likely_in(ids: DataFrame, name: str) -> Callable[[Column], Column]:
     """A test for ids that lets all of `ids` through and few others: one bit per hash of an id.
 

@@ -1,6 +1,6 @@
 """Hidden Markov language model over words, trained by Baum-Welch, and scored by the forward recursion.
 
-Words are symbols: the `VOCABULARY` most frequent training words, one symbol for the end of a
+Words are symbols: at most `VOCABULARY` of the most frequent training words (by steps of count), one symbol for the end of a
 text and one for every other word. A rare word then also costs its own share of the rare symbol,
 by add-one counts over all rare training words and one unseen word.
 
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import blank_words, held_out, stored, table
+from ledgerpulse.llm.common import blank_words, held_out, least_step, stored, table
 
 VOCABULARY = 60_000
 STATES = 4
@@ -66,7 +66,9 @@ class WordStatistics:
         n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
         self.ends = texts
         self.tokens, self.kinds = n + texts, v + (texts > 0)
-        top = counts.filter(F.length("word") <= SYMBOL_BYTES).orderBy(F.desc("n"), "word").limit(size).collect()  # bounded
+        short = counts.filter(F.length("word") <= SYMBOL_BYTES)
+        step, least = least_step(short, size)
+        top = sorted(short.filter(step >= least).collect(), key=lambda r: (-r["n"], r["word"]))  # at most `size` rows
         self.symbols = {bytes(r["word"]): i for i, r in enumerate(top)}
         self.counts = np.array([r["n"] for r in top], np.int64)
         self.rare_tokens, self.rare_kinds = n - int(self.counts.sum()), v - len(top)

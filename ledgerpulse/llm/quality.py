@@ -92,9 +92,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = MA
     Labels other than 0 and 1 and rows without id are left out. Repeated labels of a document
     count by their largest, repeated rows of a document by one of its texts (the smallest).
     """
-    chosen = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    # twice the share wanted is enough for the order to choose from; with few rows that is all of them
+    share = 2.0 * rows / max(1, usable.select("doc_id").distinct().count())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    chosen = (usable.filter(place < int(min(1.0, share) * (1 << 40)))
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+              .orderBy(place, "doc_id").limit(rows))
     # at most `rows` ids are broadcast
     return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
