@@ -131,10 +131,26 @@ def _counters(profile: DataFrame) -> np.ndarray:
     return out
 
 
-def _classes(docs: DataFrame, sent, words: int, percent: int) -> DataFrame:
-    """One row per different set: c (number), class, doc_id (smallest), n, sketch, prefix."""
-    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())),
-                        *[(s, pa.int64()) for s in _SKETCH]])
+def _representatives(rows: DataFrame) -> DataFrame:
+    """One row per different set: c (number), class, doc_id (smallest), class_size.
+
+    The number is the doc_id, unless several sets share their smallest doc_id: then all but one get a number below all ids.
+    """
+    once = rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("class_size"))
+    lowest = rows.agg(F.min("doc_id")).first()[0] or 0
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("class"))
+    number = F.when(F.col("turn") == 1, F.col("doc_id")).otherwise(F.lit(lowest) - 1 - F.monotonically_increasing_id())
+    return stored(once.withColumn("turn", turn).select(number.alias("c"), "class", "doc_id", "class_size"), "shingle-sets")
+
+
+def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int, percent: int) -> DataFrame:
+    """(c, n, sketch, prefix) of every set.
+
+    Most documents are alone with their set and carry its number themselves. Copies and rows that share a
+    doc_id find theirs in a join; the others never leave their task.
+    """
+    kinds = [("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), *[(k, pa.int64()) for k in _SKETCH]]
+    schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -153,14 +169,30 @@ def _classes(docs: DataFrame, sent, words: int, percent: int) -> DataFrame:
                     pa.array(ids, pa.int64()), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
                     *[pa.array(marks[:, i]) for i in range(8)]], schema=schema)
 
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, class binary, n long, prefix array<long>, " + ", ".join(f"{s} long" for s in _SKETCH))
-    once = rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *_SKETCH, "prefix")])
-    return stored(once.withColumn("c", F.monotonically_increasing_id()), "shingle-classes")
+    copies = rows.join(sets.select("class", F.col("doc_id").alias("first")), "class").filter("doc_id <> first").select("doc_id")
+    repeated = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    shared = stored(copies.unionByName(repeated).distinct(), "shingle-shared")
+    test = likely_in(shared, "doc_id")(F.col("doc_id"))
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    kind = "doc_id long, class binary, n long, prefix array<long>, " + ", ".join(f"{k} long" for k in _SKETCH)
+    columns = ["c", "n", *_SKETCH, "prefix"]
+    alone = texts.filter(~test).mapInArrow(run, kind).withColumnRenamed("doc_id", "c").select(*columns)
+    others = texts.filter(test).mapInArrow(run, kind).join(sets.select("c", "class", "doc_id"), ["doc_id", "class"]).dropDuplicates(["c"])
+    return stored(alone.unionByName(others.select(*columns)), "shingle-classes")
+
+
+def _packed(grams: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash: enough to tell the n-grams of two texts apart."""
+    return np.sort(grams >> np.uint64(16)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return np.pad(parts, ((0, 0), (2, 0))).view(">u8").ravel()
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, sent, words: int) -> DataFrame:
-    """(c, fragment, grams): the n-grams of the wanted classes (c, class, doc_id), cut at the pivots."""
+    """The rows of `wanted` (doc_id, class and more) with (fragment, grams): their n-grams, cut at the pivots."""
     schema = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("fragment", pa.int32()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +203,12 @@ def _segments(docs: DataFrame, wanted: DataFrame, sent, words: int) -> DataFrame
                 grams, fragment = sent.value.sort(found)
                 name = _class_of(found)
                 for f in np.unique(fragment):
-                    rows.append({"doc_id": doc_id.as_py(), "class": name, "fragment": int(f), "grams": np.sort(grams[fragment == f]).tobytes()})
+                    rows.append({"doc_id": doc_id.as_py(), "class": name, "fragment": int(f), "grams": _packed(grams[fragment == f])})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     test = likely_in(wanted, "doc_id")
     some = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").filter(test(F.col("doc_id")))
-    cut = some.mapInArrow(run, "doc_id long, class binary, fragment int, grams binary")
-    found = cut.join(wanted.select("c", "class", "doc_id"), ["doc_id", "class"])
-    return stored(found.groupBy("c", "fragment").agg(F.first("grams").alias("grams")), "shingle-segments")  # repeated rows once
+    return some.mapInArrow(run, "doc_id long, class binary, fragment int, grams binary").join(wanted, ["doc_id", "class"])
 
 
 def _similar(n_a: str, n_b: str, difference: Column, percent: int) -> Column:
@@ -195,41 +225,45 @@ def _distance(a: str, b: str) -> Column:
     return total
 
 
-def _links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar: partial overlaps of each fragment, summed per pair."""
+def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame, sent, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar: partial overlaps of each fragment, summed per pair.
+
+    Only texts of the pairs are cut; the segments of a travel to b.
+    """
     @F.pandas_udf("long")
     def overlap(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True))
-                          for p, q in zip(x, y)], dtype="int64")
-
-    left = segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("ga"))
-    right = segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("gb"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", overlap("ga", "gb").alias("shared"))
-    whole = partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+        return pd.Series([len(np.intersect1d(_unpacked(p), _unpacked(q), assume_unique=True)) for p, q in zip(x, y)], dtype="int64")
+
+    pairs = stored(pairs, "shingle-pairs")
+    named = sets.select("c", "class", "doc_id")
+    # rows that repeat a document would count twice
+    left = (_segments(docs, stored(named.join(pairs, F.col("c") == F.col("a")).select("doc_id", "class", "a", "b"), "shingle-left"), sent, words)
+            .select("a", "b", "fragment", F.col("grams").alias("ga")))
+    right = (_segments(docs, stored(named.join(pairs.select("b").distinct(), F.col("c") == F.col("b")).select("doc_id", "class", "b"), "shingle-right"), sent, words)
+             .select("b", "fragment", F.col("grams").alias("gb")))
+    partial = left.join(right, ["b", "fragment"]).select("a", "b", "fragment", overlap("ga", "gb").alias("shared"))
+    whole = partial.groupBy("a", "b", "fragment").agg(F.first("shared").alias("shared")).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     n_a, n_b = sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), sizes.select(F.col("c").alias("b"), F.col("n").alias("nb"))
     both = whole.join(n_a, "a").join(n_b, "b")
     return both.filter(F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * percent).select("a", "b")
 
 
-def _class_components(docs: DataFrame, classes: DataFrame, sent, words: int, percent: int) -> DataFrame:
-    """(c, root) of the classes that link with another one."""
+def _class_components(docs: DataFrame, classes: DataFrame, sets: DataFrame, sent, words: int, percent: int) -> DataFrame:
+    """(c, root) of the sets that link with another one."""
     spark = docs.sparkSession
-    sizes = classes.select("c", "n", *_SKETCH)
     grams = classes.select("c", F.explode("prefix").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("c").alias("held_by")).filter("held_by > 1")
     hits = stored(grams.join(shared, "gram"), "shingle-hits")
-    wanted = stored(classes.select("c", "class", "doc_id").join(hits.select("c").distinct(), "c", "left_semi"), "shingle-wanted")
-    segments = _segments(docs, wanted, sent, words)
-    known = sizes.join(wanted.select("c"), "c", "left_semi")
-    known = stored(known, "shingle-sizes")
+    known = stored(classes.select("c", "n", *_SKETCH).join(hits.select("c").distinct(), "c", "left_semi"), "shingle-sizes")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "c long, root long")
 
-    def merged(links: DataFrame) -> DataFrame:
-        return stored(components(links).select(F.col("node").alias("c"), F.col("component").alias("root")), "shingle-roots")
+    def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = stored(links.unionByName(_links(docs, pairs, sets, known, sent, words, percent)), "shingle-links")
+        return found, stored(components(found).select(F.col("node").alias("c"), F.col("component").alias("root")), "shingle-roots")
 
     for turn in range(ROUNDS):
-        # each class meets the leaders of its most shared n-grams, and the likeliest of them is verified
+        # each set meets the leaders of its most shared n-grams, and the likeliest of them is verified
         leaders = hits.groupBy("gram").agg(F.min_by("c", F.xxhash64("c", "gram", F.lit(turn))).alias("leader"))
         met = (hits.join(leaders, "gram").filter("c <> leader").groupBy("c", "leader").agg(F.max("held_by").alias("held_by"))
                .withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("held_by"), F.xxhash64("leader", F.lit(turn)))))
@@ -239,19 +273,17 @@ def _class_components(docs: DataFrame, classes: DataFrame, sent, words: int, per
         near = (near.join(x, "c").join(y, "leader").withColumn("distance", _distance("x", "y"))
                 .filter(_similar("x.n", "y.n", F.col("distance"), percent))
                 .groupBy("c").agg(F.min_by("leader", F.col("distance") / (F.col("x.n") + F.col("y.n"))).alias("leader")))
-        pairs = near.select(F.greatest("c", "leader").alias("a"), F.least("c", "leader").alias("b")).distinct()
-        links = stored(links.unionByName(_links(pairs, segments, known, percent)), "shingle-links")
-        labels = merged(links)
+        one_way = near.groupBy(F.least("c", "leader").alias("low"), F.greatest("c", "leader").alias("high")).agg(F.min("leader").alias("b"))
+        links, labels = verified(one_way.select(F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("a"), "b"))
     # every pair that is still in two components
     rooted = hits.select("gram", "c").join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
     open_grams = rooted.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("gram")
     left_over = stored(rooted.join(open_grams, "gram", "left_semi").join(known, "c"), "shingle-open")
     x, y = left_over.alias("x"), left_over.alias("y")
-    pairs = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") > F.col("y.c")) & (F.col("x.root") != F.col("y.root"))
-                    & _similar("x.n", "y.n", _distance("x", "y"), percent))
-             .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct())
-    links = stored(links.unionByName(_links(pairs, segments, known, percent)), "shingle-links")
-    return merged(links)
+    return verified(
+        x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") > F.col("y.c")) & (F.col("x.root") != F.col("y.root"))
+               & _similar("x.n", "y.n", _distance("x", "y"), percent))
+        .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct())[1]
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -271,15 +303,16 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
     """
     profile = _profile(docs, words)
     rows = profile.filter("chunk is null").select("doc_id", "n", "class")
+    linked = rows.filter("n > 0 and doc_id is not null")
     counts = _counters(profile)
     sent = docs.sparkSession.sparkContext.broadcast(GlobalOrder(counts + (counts.sum() == 0)))
-    classes = _classes(docs, sent, words, percent)
-    roots = _class_components(docs, classes, sent, words, percent)
-    named = classes.select("c", "class", "doc_id").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    sets = _representatives(linked)
+    classes = _classes(docs, linked, sets, sent, words, percent)
+    roots = _class_components(docs, classes, sets, sent, words, percent)
+    named = sets.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = named.join(smallest, "root").select("class", "component_id")
-    members = rows.filter("n > 0 and doc_id is not null").groupBy("class").agg(F.count("*").alias("class_size"))
-    in_class = rows.filter("n > 0 and doc_id is not null").join(found.join(members, "class"), "class")
+    found = named.join(smallest, "root").select("class", "component_id", "class_size")
+    in_class = linked.join(found, "class")
     alone = rows.filter("n = 0 or doc_id is null")
     return (in_class.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size")
             .unionByName(alone.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))))

@@ -128,3 +128,16 @@ def test_the_filter_of_ids_lets_all_through(spark):
     test = likely_in(ids, "k")
     kept = {r[0] for r in spark.range(2000).filter(test(F.col("id"))).collect()}
     assert {*range(0, 2000, 7)} <= kept and len(kept) < 600
+
+
+def test_rows_that_share_a_doc_id_are_told_apart(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words), " ".join(words[:39]), "quite another text of some words", "", "quite another text of some words here"]
+    rows = [(5, texts[0], "en"), (5, texts[2], "en"), (5, texts[2], "en"), (2, texts[1], "en"), (9, texts[4], "en"), (9, texts[4], "en"), (9, texts[3], "en"), (7, texts[0], "en")]
+    assert _result(similarity_components(documents(spark, rows))) == brute_force(rows)
+
+
+def test_packed_grams():
+    grams = np.random.default_rng(1).integers(0, 2 ** 63, 100).astype(np.uint64)
+    assert (ngram_join._unpacked(ngram_join._packed(grams)) == np.sort(grams >> np.uint64(16))).all()
+    assert len(ngram_join._unpacked(b"")) == 0
