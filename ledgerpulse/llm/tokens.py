@@ -24,6 +24,16 @@ _NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
 _SIGN = re.compile(r"(?<=[a-z])([.,;:?])(?= )")
 _MARKED_SIGN = re.compile(r"(?<=[A-Za-z])([.,;:?])(?= |\Z)")
 _VISIBLE = re.compile(r"\0[.,;:?]|\n?[\w!-~](?:.*[\w!-~])?", re.DOTALL)
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level models write bytes as letters: printable ones as they are, all others counted up from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 _loaded: dict[tuple, "PieceTokenizer"] = {}
 
 
@@ -54,10 +64,25 @@ class PieceTokenizer:
         self.whole: dict[str, bytes] = {}  # pieces as they stand
         self.after: dict[str, bytes | None] = {"": None}  # pieces behind a blank; None: no place to cut
 
+    def _is_word(self, piece: str) -> bool:
+        """Whether the piece is one run of letters that the tokenizer hands to its model as it stands."""
+        if self.drops_blanks:
+            return piece.isalpha() and piece == piece.lower() and not _NOT_LATIN.search(piece)
+        return piece[1:].isalpha() and piece[0] == " "
+
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        flat = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
-        ends = list(itertools.accumulate(4 * len(ids) for ids in found))
+        found: dict[str, list[int]] = {}
+        rest, tokenize = [], self.tokenizer.model.tokenize
+        for piece in pieces:
+            if self._is_word(piece):  # straight to the merges, without normalising and cutting one word
+                letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found[piece] = [t.id for t in tokenize(letters)]
+            else:
+                rest.append(piece)
+        found |= zip(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        ids = [found[p] for p in pieces]
+        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(itertools.accumulate(4 * len(x) for x in ids))
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, known: dict[str, bytes | None], keys: list[str], pieces: list[str]) -> None:
