@@ -59,27 +59,38 @@ def least_step(counts: DataFrame, size: int, column: str = "n", parts: int = 16)
     return step, least if least is not None else 2 ** 31 - 1
 
 
-def likely_in(ids: DataFrame, name: str) -> Callable[[Column], Column]:
+class IdFilter:
     """A test for ids that lets all of `ids` through and few others: one bit per hash of an id.
 
     The bits are at most `FILTER_BITS` however many ids there are; with very many ids the test lets more
-    and more others through, so it may only stand before an exact join.
+    and more others through, so it may only stand before an exact join. Tasks ask `holds` for the
+    places that `place` gave to ids.
     """
-    spark = ids.sparkSession
-    bits = min(FILTER_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
-    place = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits))
-    words = (ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toPandas())
-    held = np.zeros(bits // 64, np.int64)
-    held[words["word"]] = words["bits"]
-    sent = spark.sparkContext.broadcast(held)
+
+    def __init__(self, ids: DataFrame, name: str) -> None:
+        self.bits = min(FILTER_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
+        words = (ids.select(self.place(F.col(name)).alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toPandas())
+        held = np.zeros(self.bits // 64, np.int64)
+        held[words["word"]] = words["bits"]
+        self.sent = ids.sparkSession.sparkContext.broadcast(held)
+
+    def place(self, column: Column) -> Column:
+        return F.pmod(F.xxhash64(F.coalesce(column.cast("long"), F.lit(0))), F.lit(self.bits))
+
+    def holds(self, places: np.ndarray) -> np.ndarray:
+        return (self.sent.value[places >> 6] >> (places & 63) & 1).astype(bool)
+
+
+def likely_in(ids: DataFrame, name: str) -> Callable[[Column], Column]:
+    """The test of an `IdFilter` as a condition on a column."""
+    held = IdFilter(ids, name)
 
     @F.pandas_udf("boolean")
     def test(places: pd.Series) -> pd.Series:
-        p = places.to_numpy(np.int64)
-        return pd.Series((sent.value[p >> 6] >> (p & 63) & 1).astype(bool))
+        return pd.Series(held.holds(places.to_numpy(np.int64)))
 
-    return lambda column: test(F.pmod(F.xxhash64(F.coalesce(column.cast("long"), F.lit(0))), F.lit(bits)))
+    return lambda column: test(held.place(column))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -27,16 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerpulse.llm.common import blank_words, components, likely_in, stored, table
+from ledgerpulse.llm.common import IdFilter, blank_words, components, stored, table
 
 WORDS = 5
 PERCENT = 80
 FRAGMENTS = 8
 #: Counters of the table that estimates the frequency of n-grams.
-COUNTERS = 1 << 20
-_CHUNK = 4096
+COUNTERS = 1 << 22
+_CHUNK = 16_384
 #: Members met per class in each of the first rounds, before the best one is verified.
-LEADERS = 32
+LEADERS = 12
 ROUNDS = 2
 _SKETCH = [f"s{i}" for i in range(8)]
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -95,7 +95,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
                         ("task", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)
         for batch in batches:
             sizes, classes = [], []
             for text in batch.column(1):
@@ -119,14 +119,18 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
 
 def _counters(profile: DataFrame) -> np.ndarray:
     """Sums of the counters, 256 tasks at a time and then all; a fixed number of bytes comes back."""
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in rows["counts"])
-        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "task": [rows["task"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+    def add(kind):
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(zlib.decompress(c), kind).astype(np.int64) for c in rows["counts"])
+            return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "task": [rows["task"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    kind = "chunk int, task int, counts binary"
-    some = profile.filter("chunk is not null").select("chunk", F.shiftright("task", 8).alias("task"), "counts").groupBy("chunk", "task").applyInPandas(add, kind)
+        return run
+
+    form = "chunk int, task int, counts binary"
+    some = (profile.filter("chunk is not null").select("chunk", F.shiftright("task", 8).alias("task"), "counts")
+            .groupBy("chunk", "task").applyInPandas(add(np.int32), form))
     out = np.zeros(COUNTERS, np.int64)
-    for r in some.groupBy("chunk").applyInPandas(add, kind).collect():
+    for r in some.groupBy("chunk").applyInPandas(add(np.int64), form).collect():
         out[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out
 
@@ -152,12 +156,17 @@ def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int
     kinds = [("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), *[(k, pa.int64()) for k in _SKETCH]]
     schema = pa.schema(kinds)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    copies = rows.join(sets.select("class", F.col("doc_id").alias("first")), "class").filter("doc_id <> first").select("doc_id")
+    repeated = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    shared = IdFilter(stored(copies.unionByName(repeated).distinct(), "shingle-shared"), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch], held: bool) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
                 ids, classes, sizes, prefixes, sketches = [], [], [], [], []
-                for doc_id, text in zip(*(c.slice(at, 1000) for c in whole.columns)):
-                    found = shingles(text.as_py(), words)
+                for i in np.flatnonzero(shared.holds(batch.column(2).to_numpy()) == held).tolist():
+                    doc_id, found = batch.column(0)[i], shingles(batch.column(1)[i].as_py(), words)
                     if len(found):
                         ids.append(doc_id.as_py())
                         classes.append(_class_of(found))
@@ -169,15 +178,11 @@ def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int
                     pa.array(ids, pa.int64()), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
                     *[pa.array(marks[:, i]) for i in range(8)]], schema=schema)
 
-    copies = rows.join(sets.select("class", F.col("doc_id").alias("first")), "class").filter("doc_id <> first").select("doc_id")
-    repeated = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    shared = stored(copies.unionByName(repeated).distinct(), "shingle-shared")
-    test = likely_in(shared, "doc_id")(F.col("doc_id"))
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", shared.place(F.col("doc_id")))
     kind = "doc_id long, class binary, n long, prefix array<long>, " + ", ".join(f"{k} long" for k in _SKETCH)
     columns = ["c", "n", *_SKETCH, "prefix"]
-    alone = texts.filter(~test).mapInArrow(run, kind).withColumnRenamed("doc_id", "c").select(*columns)
-    others = texts.filter(test).mapInArrow(run, kind).join(sets.select("c", "class", "doc_id"), ["doc_id", "class"]).dropDuplicates(["c"])
+    alone = texts.mapInArrow(lambda batches: run(batches, False), kind).withColumnRenamed("doc_id", "c").select(*columns)
+    others = texts.mapInArrow(lambda batches: run(batches, True), kind).join(sets.select("c", "class", "doc_id"), ["doc_id", "class"]).dropDuplicates(["c"])
     return stored(alone.unionByName(others.select(*columns)), "shingle-classes")
 
 
@@ -195,19 +200,21 @@ def _segments(docs: DataFrame, wanted: DataFrame, sent, words: int) -> DataFrame
     """The rows of `wanted` (doc_id, class and more) with (fragment, grams): their n-grams, cut at the pivots."""
     schema = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("fragment", pa.int32()), ("grams", pa.binary())])
 
+    test = IdFilter(wanted, "doc_id")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                found = shingles(text.as_py(), words)
-                grams, fragment = sent.value.sort(found)
-                name = _class_of(found)
-                for f in np.unique(fragment):
-                    rows.append({"doc_id": doc_id.as_py(), "class": name, "fragment": int(f), "grams": _packed(grams[fragment == f])})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    test = likely_in(wanted, "doc_id")
-    some = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").filter(test(F.col("doc_id")))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch, rows = whole.slice(at, 500), []
+                for i in np.flatnonzero(test.holds(batch.column(2).to_numpy())).tolist():
+                    found = shingles(batch.column(1)[i].as_py(), words)
+                    grams, fragment = sent.value.sort(found)
+                    name = _class_of(found)
+                    for f in np.unique(fragment):
+                        rows.append({"doc_id": batch.column(0)[i].as_py(), "class": name, "fragment": int(f), "grams": _packed(grams[fragment == f])})
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    some = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", test.place(F.col("doc_id")))
     return some.mapInArrow(run, "doc_id long, class binary, fragment int, grams binary").join(wanted, ["doc_id", "class"])
 
 
