@@ -33,8 +33,8 @@ WORDS = 5
 PERCENT = 80
 FRAGMENTS = 8
 #: Counters of the table that estimates the frequency of n-grams.
-COUNTERS = 1 << 22
-_CHUNK = 16_384
+COUNTERS = 1 << 21
+_CHUNK = 8192
 #: Members met per class in each of the first rounds, before the best one is verified.
 LEADERS = 12
 ROUNDS = 2
@@ -70,11 +70,11 @@ class GlobalOrder:
     """Rank of a counter by its count; n-grams go by (rank of their counter, hash)."""
 
     def __init__(self, counts: np.ndarray, fragments: int = FRAGMENTS):
-        order = np.lexsort((np.arange(len(counts)), counts))
+        order = np.argsort(counts, kind="stable").astype(np.uint32)
         self.rank = np.empty(len(counts), np.uint32)
         self.rank[order] = np.arange(len(counts), dtype=np.uint32)
         weight = np.cumsum(counts[order])
-        self.pivots = np.searchsorted(weight, weight[-1] * np.arange(1, fragments) / fragments)
+        self.pivots = np.searchsorted(weight, max(1, weight[-1]) * np.arange(1, fragments) / fragments)
 
     def sort(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The n-grams rarest first, and the fragment of each."""
@@ -130,7 +130,7 @@ def _counters(profile: DataFrame) -> np.ndarray:
     some = (profile.filter("chunk is not null").select("chunk", F.shiftright("task", 8).alias("task"), "counts")
             .groupBy("chunk", "task").applyInPandas(add(np.int32), form))
     out = np.zeros(COUNTERS, np.int64)
-    for r in some.groupBy("chunk").applyInPandas(add(np.int64), form).collect():
+    for r in some.groupBy("chunk").applyInPandas(add(np.int64), form).toLocalIterator():
         out[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out
 
@@ -312,7 +312,7 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
     rows = profile.filter("chunk is null").select("doc_id", "n", "class")
     linked = rows.filter("n > 0 and doc_id is not null")
     counts = _counters(profile)
-    sent = docs.sparkSession.sparkContext.broadcast(GlobalOrder(counts + (counts.sum() == 0)))
+    sent = docs.sparkSession.sparkContext.broadcast(GlobalOrder(counts))
     sets = _representatives(linked)
     classes = _classes(docs, linked, sets, sent, words, percent)
     roots = _class_components(docs, classes, sets, sent, words, percent)

@@ -106,10 +106,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = MA
 
 def _shard_pass(sent, turn: int):
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        z, n = (a.copy() for a in sent.value)
+        z, n = (a.astype(np.float64) for a in sent.value)
         order = sorted(range(len(part)), key=lambda i: xxhash.xxh64_intdigest(f"{turn} {part['doc_id'].iloc[i]}"))
         ftrl_pass(z, n, ((*features(part["text"].iloc[i]), float(part["y"].iloc[i])) for i in order))
-        return pd.DataFrame({"rows": [len(part)], "z": [z.tobytes()], "n": [n.tobytes()]})
+        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "rows": [len(part)],
+                             "z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
 
     return run
 
@@ -120,15 +121,17 @@ def fit(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> QualityM
     rows = stored(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards))), "quality-rows")
     z, n = np.zeros(SLOTS), np.zeros(SLOTS)
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast((z, n))
+        sent = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
         # one state per shard: bounded by shards and slots
-        states = rows.groupBy("shard").applyInPandas(_shard_pass(sent, turn), "rows long, z binary, n binary").collect()
-        if not states:
-            break
-        share = np.array([s["rows"] for s in states], float) / sum(s["rows"] for s in states)
-        z, n = (sum(f * np.frombuffer(s[k]) for f, s in sorted(zip(share, states), key=lambda x: bytes(x[1]["z"])))
-                for k in ("z", "n"))
-    return QualityModel(weights(z, n))
+        states = rows.groupBy("shard").applyInPandas(_shard_pass(sent, turn), "shard int, rows long, z binary, n binary")
+        seen, z, n = 0, np.zeros(SLOTS), np.zeros(SLOTS)
+        for state in states.orderBy("shard").toLocalIterator():  # one at a time, in a fixed order
+            seen += state["rows"]
+            z += state["rows"] * np.frombuffer(state["z"], np.float32)
+            n += state["rows"] * np.frombuffer(state["n"], np.float32)
+        sent.unpersist()
+        z, n = z / max(1, seen), n / max(1, seen)
+    return QualityModel(weights(z, n).astype(np.float32))
 
 
 def quality_score(spark, model: QualityModel) -> Column:
