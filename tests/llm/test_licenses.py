@@ -49,3 +49,14 @@ def test_plan_has_no_python(spark, capsys):
 
 def test_templates_keep_base_labels_apart():
     assert len({t for t, _ in TEMPLATES}) == len(TEMPLATES) < 200
+
+
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation"
+BSD = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+
+
+def test_notices_wrapped_over_lines_and_words_far_apart(spark):
+    far = " ".join(f"{w} " + "and so on " * 40 for w in "released under the mit license".split())
+    rows = [(1, MIT, "en"), (2, BSD, "en"), (3, far, "en"), (4, f"{far}\n{MIT}\n{BSD}\n{MIT}", "en"), (5, "released\nunder\nthe\nMIT\nlicence", "en")]
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in scan_licenses(documents(spark, rows)).collect()}
+    assert got == {1: ("mit", 1.0, 1), 2: ("bsd", 1.0, 1), 3: ("", 0.0, 0), 4: ("bsd,mit", 1.0, 3), 5: ("", 0.0, 0)}
