@@ -24,12 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import stored, table
+from ledgerpulse.llm.common import components, stored, table
 
 PERIOD = 4096
 CLASSES = 64
 SAMPLES = 128
 BAND_BITS = 16
+LEADER_ROUNDS = 3
 _PAD = 0x110000  # stands behind the end of a text
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -200,9 +201,12 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 
 def near_pairs(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, other, near): each document with the smallest document of every band they share, verified.
+    """(doc_id, other, near): links between rows that share a band and are verified, and between copies.
 
-    A band of any size gives one candidate per member, so a group of copies never turns into all its pairs.
+    Rows of one fingerprint are a class, linked to its smallest row; classes are compared. Every two classes of a band
+    end up compared or in one component, so the links hold together what all verified pairs would. First each class
+    meets a changing leader per band, so that large groups join through few pairs; then every pair of a band that
+    is still in two components is verified. Rows without doc_id are left out; rows of a repeated doc_id are separate.
     """
     @F.pandas_udf("string")
     def mark(texts: pd.Series) -> pd.Series:
@@ -216,13 +220,33 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> DataFrame:
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([likeness(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    marked = stored(docs.filter("doc_id is not null").select("doc_id", mark("text").alias("mark")), "marks").dropDuplicates(["doc_id"])
-    banded = marked.select("doc_id", F.explode(keys("mark")).alias("band"))
-    first = banded.groupBy("band").agg(F.min("doc_id").alias("other"))
-    pairs = banded.join(first, "band").filter("doc_id <> other").select("doc_id", "other").distinct()
-    others = marked.select(F.col("doc_id").alias("other"), F.col("mark").alias("other_mark"))
-    return (pairs.join(marked, "doc_id").join(others, "other")
-            .select("doc_id", "other", alike.asNondeterministic()("mark", "other_mark").alias("near")).filter(F.col("near") >= least))
+    rows = stored(docs.filter("doc_id is not null").select(F.monotonically_increasing_id().alias("row"), "doc_id", mark("text").alias("mark")), "marks")
+    first = rows.groupBy("mark").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    classes = stored(first.select("mark", F.col("first.row").alias("node"), F.col("first.doc_id").alias("other")), "mark-classes")
+    copies = rows.join(classes, "mark").filter("row <> node").select("doc_id", "other", F.lit(1.0).alias("near"))
+    banded = stored(classes.select("node", F.xxhash64("mark").alias("h"), F.explode(keys("mark")).alias("band")), "mark-bands")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        one = classes.select(F.col("node").alias("a"), F.col("other").alias("x"), F.col("mark").alias("mark_a"))
+        two = classes.select(F.col("node").alias("b"), F.col("other").alias("y"), F.col("mark").alias("mark_b"))
+        near = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y", alike.asNondeterministic()("mark_a", "mark_b").alias("near"))
+        return stored(near.filter(F.col("near") >= least), "mark-links")
+
+    links = None
+    joined = banded.withColumn("c", F.col("node"))
+    for turn in range(LEADER_ROUNDS):
+        leaders = (joined.groupBy("band").agg(F.min(F.struct(F.xxhash64("h", F.lit(turn)).alias("p"), "node", "c")).alias("l"))
+                   .select("band", F.col("l.node").alias("b"), F.col("l.c").alias("c_b")))
+        found = verified(joined.join(leaders, "band").filter("c <> c_b").select(F.col("node").alias("a"), "b"))
+        links = found if links is None else links.unionByName(found)
+        joined = (banded.join(stored(components(links.select("a", "b")), "mark-components"), "node", "left")
+                  .select("node", "h", "band", F.coalesce("component", "node").alias("c")))
+    open_bands = joined.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("band")
+    rest = joined.join(open_bands, "band").select("band", F.col("node").alias("a"), F.col("c").alias("c_a"))
+    other = rest.select("band", F.col("a").alias("b"), F.col("c_a").alias("c_b"))
+    links = links.unionByName(verified(rest.join(other, "band").filter("c_a < c_b").select("a", "b")))
+    return links.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("other"), "near").unionByName(copies)
 
 
 def op5_document_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -60,3 +60,47 @@ def test_near_pairs_finds_planted_copies(spark):
     rows = [(i, _text(draw, 3000), "en") for i in range(20)] + [(100, base, "en"), (101, base[:50] + "!" + base[51:], "en"), (102, base, "en"), (103, None, "en")]
     pairs = {(r["doc_id"], r["other"]) for r in near_pairs(documents(spark, rows)).collect()}
     assert pairs == {(101, 100), (102, 100)}
+
+
+def _joined(pairs):
+    """Components of two members or more."""
+    groups = {}
+    for a, b in pairs:
+        one = groups.get(a, {a}) | groups.get(b, {b})
+        groups |= dict.fromkeys(one, one)
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def test_near_pairs_behind_a_smaller_document_that_is_not_near(spark):
+    draw = random.Random(3)
+    text = _text(draw, 3900)
+    walk = Walk(text)
+    cut = next(i for i, step in enumerate(walk.starts) if step > 4200)  # behind all bands
+    decoy, edited = text[:cut] + _text(draw, 3900 - cut), text[:3800] + "!" + text[3801:]
+    a, b, c = (Walk(t).fingerprint() for t in (decoy, text, edited))
+    assert 4096 < Walk(decoy).end < 8192 and set(bands(a)) == set(bands(b)) == set(bands(c))
+    assert max(likeness(a, b), likeness(a, c)) < 0.8 <= likeness(b, c)
+    found = near_pairs(documents(spark, [(1, decoy, "en"), (2, text, "en"), (3, edited, "en")]))
+    assert {(r["doc_id"], r["other"]) for r in found.collect()} == {(3, 2)}
+
+
+def test_near_pairs_keep_rows_of_a_repeated_id_apart(spark):
+    draw = random.Random(4)
+    one, two = _text(draw, 2000), _text(draw, 2000)
+    rows = [(7, one, "en"), (7, two, "en"), (9, two[:1900] + "!" + two[1901:], "en"), (10, one[:1900] + "!" + one[1901:], "en")]
+    assert sorted((r["doc_id"], r["other"]) for r in near_pairs(documents(spark, rows)).collect()) == [(9, 7), (10, 7)]
+
+
+def test_near_pairs_join_what_all_verified_pairs_join(spark):
+    draw = random.Random(5)
+    rows = [(i, _text(draw, 1500), "en") for i in range(5)]
+    for family in range(4):
+        text = _text(draw, 1500)
+        for i in range(8):
+            rows.append((draw.randrange(10 ** 6), text, "en"))
+            for at in draw.sample(range(1500), 15):
+                text = text[:at] + draw.choice("QRSTU") + text[at + 1:]
+    marks = {doc: Walk(text).fingerprint() for doc, text, _ in rows}
+    expected = [(a, b) for a in marks for b in marks if a < b and set(bands(marks[a])) & set(bands(marks[b])) and likeness(marks[a], marks[b]) >= 0.8]
+    assert expected
+    assert _joined((r["doc_id"], r["other"]) for r in near_pairs(documents(spark, rows)).collect()) == _joined(expected)
