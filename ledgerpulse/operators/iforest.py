@@ -25,6 +25,7 @@ NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, rig
                "depth int, size long")
 META_SCHEMA = "features array<string>, sample_size int, contamination double, offset double"
 _HASH_RANGE = 1 << 40
+_COPIES = 1024
 
 
 def average_path(n) -> np.ndarray:
@@ -170,7 +171,7 @@ class IsolationForest:
     """`key` names columns that identify a row.
 
     Every tree takes the `sample_size` rows with the smallest hash of (key, tree), at any size of the table; without
-    a key the feature values are hashed, so equal rows go to the same trees.
+    a key equal rows are counted and numbered, and each copy has a hash of its own.
     """
 
     features: tuple[str, ...]
@@ -181,10 +182,18 @@ class IsolationForest:
     key: tuple[str, ...] = ()
 
     def _hashed(self, df: DataFrame) -> DataFrame:
-        """The features with one hash per row, of its key or else of its values."""
+        """The features with one hash per row, of its key or else of its values and number among its copies."""
         values = [_present(F.col(c)).alias(c) for c in self.features]
-        draw = F.pmod(F.xxhash64(F.lit(self.seed), *(self.key or values)), F.lit(_HASH_RANGE))
-        return df.select(draw.alias("_draw"), *values)
+        draw = lambda *of: F.pmod(F.xxhash64(F.lit(self.seed), *of), F.lit(_HASH_RANGE)).alias("_draw")
+        if self.key:
+            return df.select(draw(*self.key), *values)
+        counted = df.select(*values).groupBy(*self.features).agg((F.count("*") - 1).alias("_last"))
+        # a value of very many rows is dealt out in parts
+        parts = (counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / _COPIES))).alias("_part"))
+                 .repartition(*self.features, "_part"))
+        first = F.col("_part") * _COPIES
+        copies = parts.select(*self.features, F.explode(F.sequence(first, F.least(first + (_COPIES - 1), "_last"))).alias("_copy"))
+        return copies.select(draw(*self.features, "_copy"), *self.features)
 
     def grow(self, df: DataFrame) -> IsolationForestModel:
         """Fit the trees; the threshold is still open."""

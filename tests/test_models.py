@@ -323,3 +323,17 @@ def test_one_class_svm_stops_by_its_rule(spark, monkeypatch):
         low = points[np.argsort(points @ w)[:share]].mean(axis=0)
         w = w + (low - w) / (step + 1)
     assert once.weights @ once.weights <= 1.05 * (w @ w)
+
+
+def test_forest_without_key_draws_rows_and_not_values(spark):
+    rng = np.random.default_rng(3)
+    values = np.vstack([rng.uniform(0, 1, (2000, 2)), np.full((1000, 2), 5.0)])
+    df = spark.createDataFrame(pd.DataFrame(values, columns=["a", "b"]))
+    forest = IsolationForest(("a", "b"), n_trees=20, sample_size=64)
+    assert forest._hashed(df).distinct().count() == 3000
+    model = forest.grow(df)
+    copies = model.nodes[model.nodes["feature"] < 0].groupby("tree")["size"].max()  # only copies make large leaves
+    assert len(copies) == 20 and copies.between(8, 36).all() and 17 < copies.mean() < 26  # a third of 64
+    again = forest.grow(df.repartition(7))
+    ordered = [m.nodes.sort_values(["tree", "node"]).reset_index(drop=True) for m in (model, again)]
+    assert ordered[0].equals(ordered[1])
