@@ -7,8 +7,10 @@ counts below. The models of all languages share one sorted array of n-gram hashe
 order. The language with the lowest cross-entropy per character wins; the temperature of the
 score and the limit of acceptance per language are calibrated on the training documents.
 
-Counts cover all training documents. A language keeps at most `MAX_GRAMS` n-grams of the
-top order, the most frequent ones by steps of count: a bound on the size of the model.
+Counts, continuation counts, discounts and context weights cover all n-grams of all training documents; they are
+Spark aggregations. Behind them a language keeps the probabilities of at most `MAX_GRAMS` n-grams of each order,
+the most frequent ones by steps of count, and all single characters: a bound on the size of the model. What the others held goes to the
+lower order after their context, so probabilities still sum to one.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -81,21 +84,48 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _bounded(grams: DataFrame, order: int, most: int) -> DataFrame:
-    """Each language's most frequent top-order n-grams, by steps of count; all that begin at the start mark stay shorter."""
+def fit_grams(grams: DataFrame, order: int, most: int = MAX_GRAMS) -> DataFrame:
+    """(lang, k, gram, a, gamma) as `fit_language` gives them, of all n-grams (lang, gram, n); then bounded."""
+    tables = {order: grams.filter(F.length("gram") == order).select("lang", "gram", "n")}
+    for k in range(order - 1, 0, -1):
+        # kinds of characters before it, and counts of those that begin at the start mark
+        kinds = tables[k + 1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))
+        tables[k] = (kinds.unionByName(grams.filter(F.length("gram") == k).select("lang", "gram", "n"))
+                     .filter(F.col("gram") != _START).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    every = reduce(DataFrame.unionByName, [t.withColumn("k", F.lit(k)) for k, t in sorted(tables.items())])
+    every = stored(every.withColumn("context", F.expr("substring(gram, 1, k - 1)")), "language-tables")
+
     step = F.floor(F.log2("n") * 8).cast("int")
-    top = F.length("gram") == order
-    sizes = (grams.filter(top).groupBy("lang", step.alias("step")).count().collect())  # some hundred steps per language
-    limit: dict[str, int] = {}
-    for lang in {r["lang"] for r in sizes}:
-        held = 0
-        for s, n in sorted(((r["step"], r["count"]) for r in sizes if r["lang"] == lang), reverse=True):
-            if lang in limit and held + n > most:
+    sizes = every.groupBy("lang", "k", step.alias("step")).agg(
+        F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"))
+    found: dict[tuple[str, int], list] = defaultdict(list)
+    for r in sizes.collect():  # some hundred steps per language and order
+        found[r["lang"], r["k"]].append(r)
+    plan = []
+    for (lang, k), steps in found.items():
+        ones, twos = sum(r["ones"] for r in steps), sum(r["twos"] for r in steps)
+        held, least = 0, 0
+        for r in sorted(steps, key=lambda r: -r["step"]):
+            if held and held + r["kinds"] > most and k > 1:
                 break
-            held += n
-            limit[lang] = s
-    cut = grams.sparkSession.createDataFrame(list(limit.items()), "lang string, least int")
-    return grams.join(F.broadcast(cut), "lang").filter(step >= F.col("least")).drop("least")  # a row per language
+            held, least = held + r["kinds"], r["step"]
+        plan.append((lang, k, ones / (ones + 2 * twos) if ones and twos else 0.5, least))
+    plan = grams.sparkSession.createDataFrame(plan, "lang string, k int, discount double, least int")
+    planned = every.join(F.broadcast(plan), ["lang", "k"])  # a row per language and order
+    contexts = planned.groupBy("lang", "k", "context").agg(
+        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.first("discount").alias("discount"),
+        F.sum(F.when(step < F.col("least"), F.greatest(F.col("n") - F.col("discount"), F.lit(0.0))).otherwise(0.0)).alias("cut"),
+        F.count_if(step >= F.col("least")).alias("held"))
+    contexts = stored(contexts.select(
+        "lang", "k", "context", "total", "held", ((F.col("discount") * F.col("kinds") + F.col("cut")) / F.col("total")).alias("gamma")), "language-contexts")
+    a = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+    seen = (planned.filter(step >= F.col("least")).join(contexts.select("lang", "k", "context", "total"), ["lang", "k", "context"])
+            .select("lang", "k", "gram", a.alias("a"), F.lit(None).cast("double").alias("gamma")))
+    # a context without any kept n-gram leaves all to the lower order, as one never seen does
+    after = contexts.filter("held > 0").select("lang", (F.col("k") - 1).alias("k"), F.col("context").alias("gram"),
+                                               F.lit(None).cast("double").alias("a"), "gamma")
+    return seen.unionByName(after).groupBy("lang", "k", "gram").agg(
+        F.coalesce(F.max("a"), F.lit(0.0)).alias("a"), F.coalesce(F.max("gamma"), F.lit(1.0)).alias("gamma"))
 
 
 def _codes(grams: list[str], k: int) -> np.ndarray:
@@ -222,14 +252,7 @@ class LanguageModels:
 
 def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> LanguageModels:
     """Models of every lang of the documents (lang, text); rows without lang or text are left out."""
-    grams = _bounded(stored(count_grams(docs, order), "language-grams"), order, max_grams)
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        """A language has a bounded number of rows by now."""
-        frames = fit_language(dict(zip(rows["gram"], rows["n"])), order)
-        return pd.concat([f.assign(lang=rows["lang"].iloc[0], k=k) for k, f in enumerate(frames)])[["lang", "k", "gram", "a", "gamma"]]
-
-    found = grams.groupBy("lang").applyInPandas(one, "lang string, k int, gram string, a double, gamma double").toPandas()
+    found = fit_grams(stored(count_grams(docs, order), "language-grams"), order, max_grams).toPandas()
     return LanguageModels({lang: [f[f["k"] == k] for k in range(order + 1)] for lang, f in found.groupby("lang")}, order)
 
 

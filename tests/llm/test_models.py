@@ -83,6 +83,25 @@ def test_language_models_without_training_rows(spark):
     assert langid.identify(docs.filter("false"), models, F.lit(True)).count() == 0
 
 
+def test_fit_counts_all_grams_and_returns_what_it_cuts(spark):
+    docs = documents(spark, _corpus(2) + [(1, "a i", "xx")]).drop("lang_pred", "score")
+    grams = langid.count_grams(docs)
+    counts = {}
+    for r in grams.collect():
+        counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
+    whole = {(lang, k, g): (a, c) for lang, own in counts.items() for k, f in enumerate(fit_language(own, 4)) for g, a, c in f.itertuples(index=False)}
+    got = {(r["lang"], r["k"], r["gram"]): (r["a"], r["gamma"]) for r in langid.fit_grams(grams, 4).collect()}
+    assert got.keys() == whole.keys() and all(got[x] == pytest.approx(whole[x]) for x in whole)
+    cut = {(r["lang"], r["k"], r["gram"]): (r["a"], r["gamma"]) for r in langid.fit_grams(grams, 4, 5).collect()}
+    assert len(cut) < len(whole) and {x[0] for x in cut} == {*LANGS, "xx"}
+    assert all(cut[x][0] in (0.0, pytest.approx(whole[x][0])) for x in cut)
+    sums = Counter()
+    for (lang, k, gram), (a, _) in cut.items():
+        if k:
+            sums[lang, k - 1, gram[:-1]] += a
+    assert all(sums[x] + gamma == pytest.approx(1.0) for x, (_, gamma) in cut.items() if x in sums)
+
+
 def test_letter_words():
     assert letter_words("Ab1cd ②e_F É") == ["ab", "cd", "e", "f", "é"]
 
