@@ -1,7 +1,8 @@
 """Quality classifier: hashed word n-grams, logistic regression by follow-the-regularised-leader.
 
 Words, their shapes (runs of upper case, lower case, digits and each other sign) and pairs
-of both are hashed to a fixed number of slots. Workers run FTRL over disjoint shards of
+of both are hashed to a fixed number of slots. A long word, such as a text without blanks, counts
+besides as its n-grams of characters, over its full length. Workers run FTRL over disjoint shards of
 the training rows; after each round their states are averaged and sent out again. A score is
 one sparse dot product and a logistic function.
 
@@ -26,6 +27,8 @@ MAX_ROWS = 20_000
 SLOTS = 1 << 18
 SHARDS = 8
 ROUNDS = 3
+#: A word of more characters also counts as n-grams of `LONG_GRAM` characters.
+LONG_WORD, LONG_GRAM = 64, 3
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-3
 _RUNS = re.compile(r"([A-ZÀ-ÖØ-Þ]+)|([^\W\d_]+)|(\d+)|(\W|_)\4*")
@@ -33,10 +36,49 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FAMILY_MIX = np.array([0x9E3779B97F4A7C15 * k % 2 ** 64 for k in (3, 5, 7, 9)], np.uint64)
 
 
-@lru_cache(maxsize=100_000)
-def _word_and_shape(word: str) -> tuple[int, int]:
-    shape = _RUNS.sub(lambda m: "X" if m[1] else "x" if m[2] else "9" if m[3] else m[4], word[:64])
-    return xxhash.xxh64_intdigest(word.lower()), xxhash.xxh64_intdigest("shape " + shape)
+def _shape(word: str) -> str:
+    return _RUNS.sub(lambda m: "X" if m[1] else "x" if m[2] else "9" if m[3] else m[4], word)
+
+
+def _hashes(word: str) -> tuple[int, int]:
+    return xxhash.xxh64_intdigest(word.lower()), xxhash.xxh64_intdigest("shape " + _shape(word))
+
+
+_word_and_shape = lru_cache(maxsize=100_000)(_hashes)  # for short words
+
+
+def _char_grams(text: str) -> np.ndarray:
+    """One hash per n-gram of neighbouring characters."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    grams = np.zeros(len(codes) - LONG_GRAM + 1, np.uint64)
+    for i in range(LONG_GRAM):
+        grams = (grams ^ (codes[i:i + len(grams)] + _MIX)) * _FAMILY_MIX[0]
+        grams ^= grams >> np.uint64(31)
+    return grams
+
+
+def _word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words and of shapes in the order of the text, with the n-grams of long words behind them."""
+    kinds, shapes, short = [], [], []
+
+    def flush() -> None:
+        if short:
+            both = np.array([_word_and_shape(w) for w in short], np.uint64)
+            kinds.append(both[:, 0])
+            shapes.append(both[:, 1])
+            short.clear()
+
+    for word in words:
+        if len(word) <= LONG_WORD:
+            short.append(word)
+            continue
+        flush()
+        whole, shape = _hashes(word)
+        runs = {c: _shape(c) for c in set(word)}
+        kinds += [np.array([whole], np.uint64), _char_grams(word.lower())]
+        shapes += [np.array([shape], np.uint64), _char_grams("".join(map(runs.__getitem__, word)))]
+    flush()
+    return np.concatenate(kinds), np.concatenate(shapes)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -44,8 +86,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = text.split() if text else []
     slots, values = [np.zeros(1, np.int64)], [np.ones(1)]
     if words:
-        both = np.array([_word_and_shape(w) for w in words], np.uint64)
-        for family, hashes in enumerate((both[:, 0], both[:, 1])):
+        for family, hashes in enumerate(_word_hashes(words)):
             pairs = hashes[:-1] * _MIX + hashes[1:]
             pairs[hashes[:-1] == hashes[1:]] = np.uint64(family + 1)  # the same word or shape again
             for n, grams in enumerate((hashes, pairs)):

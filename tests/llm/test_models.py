@@ -226,3 +226,16 @@ def test_no_training_rows_score_one_half(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(quality.training_rows(documents(spark), labels, "quality"))
     assert model.score(pd.Series(["a b", None])).tolist() == [0.5, 0.5]
+
+
+def test_every_character_of_a_long_word_counts():
+    clean = "語" * 300
+    noise = clean[:100] + "#@9Z" * 50
+    for text in (clean, noise):
+        slots, values = quality.features(text)
+        assert len(slots) == len(values)
+    last = [quality.features(clean[:-1] + c)[0] for c in "字#"]
+    assert not np.array_equal(*last) and len(np.intersect1d(*last)) > 1  # the last one tells, the rest is shared
+    assert set(quality.features(noise)[0]) - set(quality.features(clean)[0])
+    a, b = (set(quality.features("x" * 70 + end)[0]) for end in ("9", "#"))
+    assert len(a ^ b) > 4
