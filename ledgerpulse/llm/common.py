@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import numpy as np
@@ -40,6 +42,33 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.encode().translate(WORD_BYTES).split() if text else []
 
 
+class Sent:
+    """An object of this package broadcast as its plain attributes, so that workers load it without the package.
+
+    The class itself travels with the function that uses it.
+    """
+
+    def __init__(self, spark: SparkSession, held) -> None:
+        self.kind, self.sent = type(held), spark.sparkContext.broadcast(vars(held))
+
+    @property
+    def value(self):
+        held = object.__new__(self.kind)
+        held.__dict__ = self.sent.value  # what the object remembers stays with the worker
+        return held
+
+    def unpersist(self) -> None:
+        self.sent.unpersist()
+
+
+def worker_memory(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker.
+
+    Functions travel by value, so their own globals are new in every task.
+    """
+    return vars(sys.modules.setdefault("_ledgerpulse_memory", types.ModuleType("_ledgerpulse_memory"))).setdefault(name, {})
+
+
 def held_out(modulus: int, remainder: int, key: str = "doc_id") -> Column:
     """True for rows whose crc32 of the id as text leaves the remainder; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus == remainder, F.lit(False))

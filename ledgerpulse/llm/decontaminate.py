@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import WORD_BYTES, plain_words, stored, table
+from ledgerpulse.llm.common import WORD_BYTES, Sent, plain_words, stored, table
 
 WINDOW = 13
 COVERAGE = 20
@@ -144,7 +144,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
 
 
 def _finder(spark, block, window: int, clean: bool):
-    automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+    automaton = Sent(spark, SuffixAutomaton(block, window))
 
     @F.pandas_udf(_FOUND)
     def find(texts: pd.Series) -> pd.DataFrame:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import components, stored, table
+from ledgerpulse.llm.common import components, stored, table, worker_memory
 
 PERIOD = 4096
 CLASSES = 64
@@ -35,7 +34,6 @@ _PAD = 0x110000  # stands behind the end of a text
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
 
-@lru_cache(maxsize=CLASSES)
 def _stays(kind: int) -> list[int]:
     """For each step of the period: how many steps a character of this class is written before the walk moves on."""
     bits = np.array([xxhash.xxh32_intdigest(f"{kind} {j}") & 1 for j in range(PERIOD)])
@@ -47,18 +45,27 @@ def _stays(kind: int) -> list[int]:
 
 class _Tables(dict):
     def __missing__(self, char: str) -> list[int]:
-        table = self[char] = _stays(xxhash.xxh32_intdigest(char) % CLASSES)
+        kind, known = xxhash.xxh32_intdigest(char) % CLASSES, worker_memory("stays")
+        if kind not in known:
+            known[kind] = _stays(kind)
         if len(self) > 100_000:
             self.clear()
-        return table
+        self[char] = known[kind]
+        return known[kind]
 
 
 _tables = _Tables()
 
 
-@lru_cache(maxsize=64)
 def _sampled(octave: int) -> np.ndarray:
     """Sorted steps sampled from an octave; octave 0 begins at step 0."""
+    known = worker_memory("sampled steps")
+    if octave not in known:
+        known[octave] = _draw(octave)
+    return known[octave]
+
+
+def _draw(octave: int) -> np.ndarray:
     low, high = (0, 2) if octave == 0 else (1 << octave, 1 << (octave + 1))
     if high - low <= SAMPLES:
         return np.resize(np.arange(low, high), SAMPLES)

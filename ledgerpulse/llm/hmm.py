@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import blank_words, held_out, least_step, stored, table
+from ledgerpulse.llm.common import Sent, blank_words, held_out, least_step, stored, table
 
 VOCABULARY = 60_000
 STATES = 4
@@ -81,7 +81,7 @@ class WordStatistics:
 
 def encode(docs: DataFrame, words: WordStatistics) -> DataFrame:
     """Per text: symbol ids (the end included), the base score of its symbols, and its rare words."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    sent = Sent(docs.sparkSession, words)
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("ids", pa.binary()),
                         ("base", pa.float64()), ("known", pa.int64()), ("rare", pa.map_(pa.binary(), pa.int32()))])
 
@@ -249,7 +249,7 @@ def train(encoded: DataFrame, words: WordStatistics, states: int = STATES, round
     n, wide = len(unigram), words.rare > 0xFFFF
     schema = pa.schema([("cell", pa.int64()), ("value", pa.float64())])
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
+        sent = Sent(spark, model)
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             total = np.zeros(states + states * states + n * states)
@@ -274,7 +274,7 @@ def train(encoded: DataFrame, words: WordStatistics, states: int = STATES, round
 
 def score(encoded: DataFrame, counts: DataFrame, words: WordStatistics, model: HiddenMarkovModel) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every encoded text."""
-    sent, wide = encoded.sparkSession.sparkContext.broadcast(model), words.rare > 0xFFFF
+    sent, wide = Sent(encoded.sparkSession, model), words.rare > 0xFFFF
     schema = pa.schema([("row", pa.int64()), ("hmm", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

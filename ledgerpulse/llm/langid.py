@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import held_out, stored, table
+from ledgerpulse.llm.common import Sent, held_out, stored, table
 
 ORDER = 4
 MAX_GRAMS = 200_000
@@ -263,7 +263,7 @@ def identify(docs: DataFrame, models: LanguageModels, training) -> DataFrame:
     one without letters are `und` with score 0. Equal entropies go to the first language by name.
     Columns named like the new ones are replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    sent = Sent(docs.sparkSession, models)
     names = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "accepted", "_e")]
 
     @F.pandas_udf("bits array<double>, chars long")

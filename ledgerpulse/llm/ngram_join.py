@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerpulse.llm.common import IdFilter, blank_words, components, stored, table
+from ledgerpulse.llm.common import IdFilter, Sent, blank_words, components, stored, table
 
 WORDS = 5
 PERCENT = 80
@@ -312,7 +312,7 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
     rows = profile.filter("chunk is null").select("doc_id", "n", "class")
     linked = rows.filter("n > 0 and doc_id is not null")
     counts = _counters(profile)
-    sent = docs.sparkSession.sparkContext.broadcast(GlobalOrder(counts))
+    sent = Sent(docs.sparkSession, GlobalOrder(counts))
     sets = _representatives(linked)
     classes = _classes(docs, linked, sets, sent, words, percent)
     roots = _class_components(docs, classes, sets, sent, words, percent)

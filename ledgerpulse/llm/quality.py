@@ -13,7 +13,6 @@ doc_id. The bound keeps the fit the same at any size; every text is scored.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import held_out, stored, table
+from ledgerpulse.llm.common import Sent, held_out, stored, table, worker_memory
 
 MAX_ROWS = 20_000
 SLOTS = 1 << 18
@@ -29,6 +28,8 @@ SHARDS = 8
 ROUNDS = 3
 #: A word of more characters also counts as n-grams of `LONG_GRAM` characters.
 LONG_WORD, LONG_GRAM = 64, 3
+#: Short words whose hashes a worker remembers.
+KEPT_WORDS = 100_000
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-3
 _RUNS = re.compile(r"([A-ZÀ-ÖØ-Þ]+)|([^\W\d_]+)|(\d+)|(\W|_)\4*")
@@ -44,7 +45,6 @@ def _hashes(word: str) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(word.lower()), xxhash.xxh64_intdigest("shape " + _shape(word))
 
 
-_word_and_shape = lru_cache(maxsize=100_000)(_hashes)  # for short words
 
 
 def _char_grams(text: str) -> np.ndarray:
@@ -60,10 +60,15 @@ def _char_grams(text: str) -> np.ndarray:
 def _word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of words and of shapes in the order of the text, with the n-grams of long words behind them."""
     kinds, shapes, short = [], [], []
+    known = worker_memory("word hashes")
+    if len(known) > KEPT_WORDS:
+        known.clear()
 
     def flush() -> None:
         if short:
-            both = np.array([_word_and_shape(w) for w in short], np.uint64)
+            for w in set(short).difference(known):
+                known[w] = _hashes(w)
+            both = np.array([known[w] for w in short], np.uint64)
             kinds.append(both[:, 0])
             shapes.append(both[:, 1])
             short.clear()
@@ -177,7 +182,7 @@ def fit(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> QualityM
 
 def quality_score(spark, model: QualityModel) -> Column:
     """Column with the score of `text`: null and empty texts get the score of the constant alone."""
-    sent = spark.sparkContext.broadcast(model)
+    sent = Sent(spark, model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

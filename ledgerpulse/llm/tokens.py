@@ -15,6 +15,8 @@ import re
 
 import numpy as np
 
+from ledgerpulse.llm.common import worker_memory
+
 #: Pieces remembered by a worker; beyond it the later half, rarer words as a rule, is forgotten.
 KEPT_PIECES = 700_000
 #: Texts whose pieces are held at a time.
@@ -34,7 +36,6 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
-_loaded: dict[tuple, "PieceTokenizer"] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -45,21 +46,21 @@ def tokenizer_path(name: str) -> str:
 
 def worker_tokenizer(path: str, drops_blanks: bool) -> "PieceTokenizer":
     """The tokenizer of this Python worker, loaded once."""
-    key = (path, drops_blanks)
-    if key not in _loaded:
-        _loaded[key] = PieceTokenizer(path, drops_blanks)
-    return _loaded[key]
+    loaded, key = worker_memory("tokenizers"), (path, drops_blanks)
+    if key not in loaded:
+        loaded[key] = PieceTokenizer(path, drops_blanks)
+    return loaded[key]
 
 
 class PieceTokenizer:
-    """ids(texts): little-endian 32-bit ids of every text as bytes, without special tokens."""
+    """ids(texts): little-endian 32-bit ids of every text as bytes, as the tokenizer gives them without adding special tokens."""
 
     def __init__(self, path: str, drops_blanks: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.drops_blanks = drops_blanks
         self.whole: dict[str, bytes] = {}  # pieces as they stand
         self.after: dict[str, bytes | None] = {"": None}  # pieces behind a blank; None: no place to cut
@@ -97,7 +98,14 @@ class PieceTokenizer:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         encode = self._dropping if self.drops_blanks else self._bytewise
-        return [x for at in range(0, len(texts), BATCH_TEXTS) for x in encode(texts[at:at + BATCH_TEXTS])]
+        marked = [i for i, t in enumerate(texts) if t and any(s in t for s in self.special)]
+        if marked:  # names of special tokens have ids of their own: such a text is encoded as a whole
+            texts = list(texts)
+            whole = {i: np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes() for i in marked}
+            for i in marked:
+                texts[i] = None
+        out = [x for at in range(0, len(texts), BATCH_TEXTS) for x in encode(texts[at:at + BATCH_TEXTS])]
+        return [whole.get(i, x) for i, x in enumerate(out)] if marked else out
 
     def _dropping(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").replace("\n", " ") for t in texts]

@@ -16,7 +16,6 @@ WORDS, BYTES = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k
 
 def whole(path, text):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -28,7 +27,6 @@ def test_pieces_give_the_ids_of_the_whole_text(path, drops, monkeypatch):
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 60))) for _ in range(600)]
     texts += [None, "", " ", "\n", " a", "a ", "a  b", "it's 's", "<|endoftext|> x<|endoftext|>"] + [t for _, t, _ in ROWS if t and len(t) < 500]
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     expected = [np.array(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
     assert PieceTokenizer(path, drops).ids(texts) == expected
 
