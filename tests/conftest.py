@@ -1,16 +1,14 @@
 import os
 import sys
-from datetime import datetime, timedelta, timezone
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
+from helpers import utc  # noqa: E402
 from ledgerpulse import schemas  # noqa: E402
 from ledgerpulse.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,10 +19,6 @@ def spark():
     session.stop()
 
 
-def utc(text):
-    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
-
-
 @pytest.fixture(scope="session")
 def small(spark):
     """Two merchants, three transactions, one log each."""
@@ -73,13 +67,6 @@ def comparison_tables(spark):
     return _frames(spark, txns, logs)
 
 
-def make_txns(n=60, merchant="merchant_id_1", status="SUCCESS", code=None, amount=1500.0,
-              start="2026-03-07T10:00:00", seconds=600, prefix="TXN", card_bin="424242"):
-    begin = utc(start)
-    return [(f"{prefix}-{merchant}-{i:06d}", merchant, begin + timedelta(seconds=seconds * i / n), amount, "INR",
-             status, code, card_bin) for i in range(n)]
-
-
 @pytest.fixture(scope="session")
 def txn_frame(spark):
     return lambda rows: spark.createDataFrame(rows, schemas.TRANSACTIONS)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_txns, utc
+from helpers import make_txns, utc
 from ledgerpulse import schemas
 from ledgerpulse.functions.expressions import ISSUER_DOWN_CODE, RISK_BLOCK_CODE
 from ledgerpulse.operators import detectors, evaluation, features, quality

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import utc
+from helpers import utc
 from ledgerpulse import schemas
 from ledgerpulse.operators import joins, kpi, lookups, ranking, sets
 

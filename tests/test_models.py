@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import make_txns
+from helpers import make_txns
 from ledgerpulse.operators import neighbours, quantiles
 from ledgerpulse.operators.features import window_features
 from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel, average_path, fixed_forest, grow_tree

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF
+from helpers import SF
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, differences
 

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_txns
+from helpers import make_txns
 from ledgerpulse import schemas
 from ledgerpulse.operators import alerts, retrieval
 from ledgerpulse.operators.features import window_features
