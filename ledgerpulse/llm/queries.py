@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from ledgerpulse.llm.ball_search import op11_ball_tree_search
 from ledgerpulse.llm.decontaminate import op7_benchmark_decontamination
 from ledgerpulse.llm.fingerprints import op5_document_fingerprints
 from ledgerpulse.llm.hmm import op6_lm_scoring
 from ledgerpulse.llm.langid import op2_language_id
 from ledgerpulse.llm.licenses import op3_license_scan
+from ledgerpulse.llm.lexical_search import op13_ranked_lexical_search
 from ledgerpulse.llm.line_dedup import op8_line_dedup
 from ledgerpulse.llm.ngram_join import op1_ngram_jaccard_join
 from ledgerpulse.llm.packing import op10_best_fit_packing
+from ledgerpulse.llm.periodic_runs import op12_periodic_runs
 from ledgerpulse.llm.quality import op9_quality_classifier
 from ledgerpulse.llm.token_files import op4_token_files
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_license_scan, op4_token_files, op5_document_fingerprints, op6_lm_scoring,
-    op7_benchmark_decontamination, op8_line_dedup, op9_quality_classifier, op10_best_fit_packing)}
+    op7_benchmark_decontamination, op8_line_dedup, op9_quality_classifier, op10_best_fit_packing,
+    op11_ball_tree_search, op12_periodic_runs, op13_ranked_lexical_search)}
 
 _PLAIN_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
     r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
@@ -67,4 +71,31 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by r, doc_id
 """
 
-ORACLES = {"op1_ngram_jaccard_join": OP1, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
+OP11 = """
+with vectors as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.r, a.vec_id as query_id, b.r as row, b.vec_id, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from vectors a join vectors b on a.r <> b.r and len(a.v) = len(b.v) where a.vec_id % 50 = 0),
+ranked as (select *, cast(row_number() over (partition by r order by score desc, vec_id nulls last, row) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+OP13 = r"""
+with docs as (select row_number() over () as r, doc_id, list_transform(regexp_extract_all(coalesce(text, ''),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as w from documents),
+items as (select row_number() over () as i, item_id, list_distinct(list_transform(regexp_extract_all(coalesce(text, ''),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as w from benchmark),
+totals as (select count(*) as n_docs, sum(len(w)) as n_all from docs where len(w) > 0),
+asked as (select i, item_id, unnest(w) as term from items),
+held as (select r, doc_id, n, term, count(*) as tf from (select r, doc_id, len(w) as n, unnest(w) as term from docs) group by all),
+weights as (select term, cast(floor(1000 * ln(cast(2 * any_value(n_docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+            from held, totals where term in (select term from asked) group by term),
+scored as (select i, item_id, r, doc_id, sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + cast(90 * n * n_docs as bigint) // cast(n_all as bigint))))) as score
+           from asked join weights w using (term) join held using (term), totals group by all),
+ranked as (select *, cast(row_number() over (partition by i order by score desc, doc_id nulls last, r) as integer) as rank from scored where score > 0)
+select item_id, rank, doc_id, cast(score as bigint) as score from ranked where rank <= 10
+"""
+
+ORACLES = {"op11_ball_tree_search": OP11, "op13_ranked_lexical_search": OP13, "op1_ngram_jaccard_join": OP1, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
