@@ -423,6 +423,31 @@ ORACLES: dict[str, str] = {
  avg(delivery_attempts) as md, stddev_pop(delivery_attempts) as sd from lf)
  select transaction_id, round((amount - ma) / sa, 6) as amount, round((http_status - mh) / sh, 6) as http_status,
  round((delivery_attempts - md) / sd, 6) as delivery_attempts, y_true from lf, s"""),
+    "lof_scores": _sql("lf", """, s as (select avg(amount) as ma, stddev_pop(amount) as sa, avg(http_status) as mh, stddev_pop(http_status) as sh,
+ avg(delivery_attempts) as md, stddev_pop(delivery_attempts) as sd from lf),
+ x as (select transaction_id, y_true, (amount - ma) / sa as a, (http_status - mh) / sh as b, (delivery_attempts - md) / sd as c from lf, s),
+ tr as (select a, b, c, count(*) as w from x where y_true = 0 group by all),
+ best as (select p.a, p.b, p.c, min_by({'a': t.a, 'b': t.b, 'c': t.c, 'w': t.w, 'd': sqrt(power(p.a - t.a, 2) + power(p.b - t.b, 2) + power(p.c - t.c, 2))},
+ {'r': round(power(p.a - t.a, 2) + power(p.b - t.b, 2) + power(p.c - t.c, 2), 12), 'a': t.a, 'b': t.b, 'c': t.c}, 3) as f
+ from (select distinct a, b, c from x) p, tr t group by all),
+ hits as (select best.a, best.b, best.c, unnest(f) as h, generate_subscripts(f, 1) as i from best),
+ own as (select hits.a, hits.b, hits.c, i, h.a as na, h.b as nb, h.c as nc, h.d as d, case when h.d = 0 then h.w - 1 else h.w end as w
+ from hits join tr on hits.a = tr.a and hits.b = tr.b and hits.c = tr.c),
+ other as (select a, b, c, i, h.a as na, h.b as nb, h.c as nc, h.d as d, h.w as w from hits where i <= 2),
+ own_taken as (select * from (select *, greatest(0, least(w, 2 - (sum(w) over (partition by a, b, c order by i) - w))) as take from own) where take > 0),
+ other_taken as (select * from (select *, greatest(0, least(w, 2 - (sum(w) over (partition by a, b, c order by i) - w))) as take from other) where take > 0),
+ reach as (select a as na, b as nb, c as nc, max(d) as kd from own_taken group by all),
+ dense as (select a as na, b as nb, c as nc, 1.0 / (sum(take * greatest(kd, d)) / sum(take) + 1e-10) as density
+ from own_taken join reach using (na, nb, nc) group by all),
+ own_score as (select a, b, c, sum(take * n.density) / sum(take) / any_value(o.density) as score
+ from own_taken join dense n using (na, nb, nc) join dense o on o.na = a and o.nb = b and o.nc = c group by a, b, c),
+ edge as (select quantile_cont(score, 0.8) as edge from x join own_score using (a, b, c) where y_true = 0),
+ other_dense as (select a, b, c, 1.0 / (sum(take * greatest(kd, d)) / sum(take) + 1e-10) as density
+ from other_taken join reach using (na, nb, nc) group by all),
+ other_score as (select a, b, c, sum(take * n.density) / sum(take) / any_value(o.density) as score
+ from other_taken join dense n using (na, nb, nc) join other_dense o using (a, b, c) group by a, b, c)
+ select transaction_id, y_true, round(log10(score), 6) as log_score, cast(score > edge * (1 + 1e-9) as int) as prediction
+ from x join other_score using (a, b, c), edge"""),
     "mahalanobis": _sql("lf", """, s as (select avg(amount) as ma, avg(http_status) as mh, var_pop(amount) as va, var_pop(http_status) as vh,
  covar_pop(amount, http_status) as cv from lf)
  select transaction_id, round((power(amount - ma, 2) * vh - 2 * (amount - ma) * (http_status - mh) * cv + power(http_status - mh, 2) * va)

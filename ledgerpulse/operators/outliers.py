@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerpulse.operators.neighbours import distinct_points, nearest
+from ledgerpulse.operators.neighbours import PartitionTree, distinct_points
 from ledgerpulse.operators.quantiles import exact_quantiles
 from ledgerpulse.session import cut_lineage
 
@@ -242,17 +242,12 @@ class LocalOutlierFactor(OutlierModel):
 
     def __init__(self, features, k: int) -> None:
         self.features, self.k = list(features), k
-        self.reference: DataFrame | None = None
+        self.tree: PartitionTree | None = None
         self.density: DataFrame | None = None
 
-    def _neighbour_table(self, points: DataFrame, leave_out_self: bool) -> DataFrame:
+    def _fill(self, found: DataFrame) -> DataFrame:
         """Neighbours with `take`, how many of the k places each one fills."""
-        features = self.features
-        found = nearest(points.select(*features), self.reference, features, self.k + (1 if leave_out_self else 0))
-        if leave_out_self:
-            own = F.col("dist") == 0
-            found = found.withColumn("w", F.when(own, F.col("w") - 1).otherwise(F.col("w")))
-        before = (Window.partitionBy(*features).orderBy("rank")
+        before = (Window.partitionBy(*self.features).orderBy("rank")
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         room = F.lit(self.k) - (F.sum("w").over(before) - F.col("w"))
         return found.withColumn("take", F.greatest(F.lit(0), F.least(F.col("w"), room))).filter(F.col("take") > 0)
@@ -278,8 +273,9 @@ class LocalOutlierFactor(OutlierModel):
             raise ValueError("local outlier factor needs at least two training rows")
         self.k = min(self.k, total - 1)
         # every step is stored once, so the plan of the next one stays small
-        self.reference = cut_lineage(distinct_points(train, self.features))
-        table = cut_lineage(self._neighbour_table(self.reference, leave_out_self=True))
+        self.tree = PartitionTree(distinct_points(train, self.features), self.features)
+        self.found = cut_lineage(self.tree.nearest_of_own(self.k + 1))
+        table = cut_lineage(self._fill(self.found.withColumn("w", F.when(F.col("dist") == 0, F.col("w") - 1).otherwise(F.col("w")))))
         self.reach = cut_lineage(table.groupBy(*self.features).agg(F.max("dist").alias("k_distance")))
         self.density = cut_lineage(self._density(table, self.reach))
         factors = self._factor(table, self.density)
@@ -289,8 +285,11 @@ class LocalOutlierFactor(OutlierModel):
         return self
 
     def with_score(self, df: DataFrame) -> DataFrame:
-        points = distinct_points(df, self.features)
-        table = cut_lineage(self._neighbour_table(points, leave_out_self=False))
+        points = distinct_points(df, self.features).select(*self.features)
+        # the neighbours of training points are known: each is its own first
+        known = self.found.join(points, self.features, "left_semi")
+        new = self.tree.nearest(points.join(self.tree.placed, self.features, "left_anti"), self.k)
+        table = cut_lineage(self._fill(known.unionByName(new)))
         factors = self._factor(table, self._density(table, self.reach))
         return df.withColumns({c: F.col(c).cast("double") for c in self.features}).join(factors, self.features)
 

@@ -797,7 +797,12 @@ def one_class_svm(spark, d):
 
 @query
 def lof_scores(spark, d):
-    return _outliers(lambda n, f: fit_local_outlier_factor(n, f, 2, 0.2), spark, d)
+    """Local outlier factors as powers of ten: beside copies of a point they reach 10^10."""
+    normal, rows = _normal_and_all(spark, d)
+    model = fit_local_outlier_factor(normal, list(COMPARISON_FEATURES), 2, 0.2)
+    above = F.col("outlier_score") > model.threshold * (1 + 1e-9)  # the score on the threshold is not above it, whatever its last digits
+    return model.with_score(rows).select(
+        "transaction_id", "y_true", F.round(F.log10("outlier_score"), 6).alias("log_score"), above.cast("int").alias("prediction"))
 
 
 @query
@@ -864,7 +869,11 @@ def chunk_properties_by_document(spark, d):
 
 @query
 def outlier_properties(spark, d):
-    """Of each model: whether it flags its share of the training rows, and only rows that score above all others."""
+    """Of each model: whether it flags its share of the training rows, and only rows that score above all others.
+
+    The threshold is interpolated at the place (n - 1) * (1 - share) of the n ordered scores, so at most the
+    n - 1 - floor of that place stand above it.
+    """
     normal, rows = _normal_and_all(spark, d)
     names, share = list(COMPARISON_FEATURES), 0.2
     fitted = {"EllipticEnvelope": fit_elliptic_envelope(normal, names, share), "AutoEncoder": fit_linear_autoencoder(normal, names, share)}
@@ -872,7 +881,8 @@ def outlier_properties(spark, d):
     for name, model in fitted.items():
         flagged = F.col("prediction") == 1
         part = model.transform(normal).agg(
-            F.lit(name).alias("model"), (F.avg("prediction") <= share).alias("within_share"),
+            F.lit(name).alias("model"),
+            (F.sum("prediction") <= F.count("*") - 1 - F.floor((F.count("*") - 1) * (1.0 - share))).alias("within_share"),
             (F.min(F.when(flagged, F.col("outlier_score"))) > F.max(F.when(~flagged, F.col("outlier_score")))).alias("in_order"))
         found = part if found is None else found.unionAll(part)
     return found

@@ -231,8 +231,8 @@ def brute_neighbours(queries, reference, k):
 
 @pytest.mark.parametrize("cell_rows, per_task", [(2_000, 4_000), (20, 7)])
 def test_nearest_equals_brute_force(spark, monkeypatch, cell_rows, per_task):
-    monkeypatch.setattr(neighbours, "CELL_ROWS", cell_rows)
-    monkeypatch.setattr(neighbours, "QUERIES_PER_TASK", per_task)
+    monkeypatch.setattr(neighbours, "CELL_POINTS", cell_rows)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", per_task)
     rng = np.random.default_rng(9)
     reference = np.unique(np.round(np.column_stack([rng.exponential(5, 300), rng.integers(0, 3, 300)]), 2), axis=0)
     queries = np.unique(np.vstack([reference[:60], np.round(rng.uniform(-5, 60, (80, 2)), 1)]), axis=0)
@@ -266,7 +266,7 @@ def brute_lof(train, rows, k):
 
 @pytest.mark.parametrize("cell_rows", [2_000, 15])
 def test_lof_equals_brute_force(spark, monkeypatch, cell_rows):
-    monkeypatch.setattr(neighbours, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(neighbours, "CELL_POINTS", cell_rows)
     rng = np.random.default_rng(2)
     train = np.round(np.column_stack([rng.exponential(3, 80), rng.integers(0, 2, 80)]), 1)
     train[:25] = train[0]  # nearly a third are copies of one row
