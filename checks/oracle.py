@@ -151,6 +151,19 @@ def _sql(tables: str, body: str) -> str:
     return "with " + ", ".join(f"{n} as ({_TABLES[n]})" for n in wanted) + ("" if body.startswith(",") else " ") + body
 
 
+_BUCKETS = """select {key}, cast('0x' || substr(md5(term), 1, 8) as bigint) % 1048576 as bucket, count(*) as tf
+ from (select {key}, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as term from {table}) group by all"""
+#: Unit term weights of the lines of the documents (p) and of the benchmark items (q).
+_KB_LINES = f"""with cut as (select doc_id, unnest(string_split(text, chr(10))) as text, generate_subscripts(string_split(text, chr(10)), 1) - 1 as line from documents),
+ lines as (select doc_id || '-' || line as vec_id, text from cut where regexp_matches(text, '[\\p{{L}}\\p{{N}}]')),
+ pc as ({_BUCKETS.format(key="vec_id", table="lines")}), qc as ({_BUCKETS.format(key="query_id", table="(select item_id as query_id, text from benchmark)")}),
+ df as (select bucket, count(*) as df from pc group by 1),
+ pr as (select vec_id, bucket, tf * ln(((select count(*) from lines) + 1.0) / (df + 1)) as raw from pc join df using (bucket)),
+ qr as (select query_id, bucket, tf * ln(((select count(*) from lines) + 1.0) / (coalesce(df, 0) + 1)) as raw from qc left join df using (bucket)),
+ p as (select vec_id, bucket, raw / sqrt(sum(raw * raw) over (partition by vec_id)) as weight from pr where raw > 0),
+ q as (select query_id, bucket, raw / sqrt(sum(raw * raw) over (partition by query_id)) as weight from qr where raw > 0)"""
+
+
 def _pct(n: str, d: str) -> str:
     return f"case when {d} = 0 then 0.0 else cast(printf('%.1f', {n} / {d}::double * 100.0) as double) end"
 
@@ -456,6 +469,11 @@ ORACLES: dict[str, str] = {
     "kb_answer": _sql("hit", """select query_id, string_agg('[Source ' || rank || ': group-' || label || ']' || chr(10) || 'passage ' || vec_id,
  chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank) as answer
  from hit join embeddings using (vec_id) where rank <= 2 group by 1"""),
+    "kb_search_documents": _KB_LINES + """,
+ scored as (select query_id, vec_id, sum(q.weight * p.weight) as score from q join p using (bucket) group by 1, 2),
+ ranked as (select *, row_number() over (partition by query_id order by round(score, 9) desc, vec_id)::int as rank from scored)
+ select query_id, vec_id, round(score, 6) as score, rank from ranked where rank <= 2""",
+    "kb_search_pairs": _KB_LINES + """ select (select count(*) from benchmark) as questions, (select count(distinct text) from lines) as lines, true as below_a_quarter""",
     "transcript_flags": _sql("tf", "select conv_id, turn, role, is_incomplete, has_tool_call, has_raw_json, decline_code from tf"),
     "transcript_clean": _sql("tr", f"select conv_id, turn, {_STRIP} as clean_text from tr"),
     "transcript_repair": _sql("tf kb", rf""", cl as (select conv_id, turn, has_tool_call, {_STRIP} as clean from tf),

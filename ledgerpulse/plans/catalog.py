@@ -888,26 +888,49 @@ def outlier_properties(spark, d):
     return found
 
 
+def _lines(spark, d) -> DataFrame:
+    """Lines of the documents with a letter or digit as passages."""
+    docs = views.table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return docs.filter(F.col("text").rlike(r"[\p{L}\p{N}]")).select(F.concat_ws("-", "doc_id", "line").alias("vec_id"), "text")
+
+
+def _questions(spark, d) -> DataFrame:
+    return views.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
 @query
 def kb_search_documents(spark, d):
+    """Benchmark passages as questions to the lines of all documents."""
+    return _rounded(retrieval.TermIndex(_lines(spark, d)).search(_questions(spark, d)).hits, "score")
+
+
+@query
+def kb_search_pairs(spark, d):
+    """How much of the search is left out: questions, and whether fewer than a quarter of their pairs with different lines were scored."""
+    questions = _questions(spark, d)
+    found = retrieval.TermIndex(_lines(spark, d)).search(questions)
+    whole = questions.agg(F.count("*").alias("questions")).withColumn("lines", F.lit(found.texts).cast("long"))
+    return whole.crossJoin(found.scored.agg(F.count("*").alias("scored"))).select(
+        "questions", "lines", (F.col("scored") * 4 < F.col("questions") * F.col("lines")).alias("below_a_quarter"))
+
+
+@query
+def kb_search_chunks(spark, d):
     """Benchmark passages as questions to the chunked documents."""
     docs = views.table(spark, d, "documents").select("doc_id", "text")
     chunks = retrieval.chunk_documents(docs).withColumn("vec_id", F.concat_ws("-", "doc_id", "chunk_no"))
-    model = retrieval.fit_embedder(chunks)
-    asked = retrieval.embed(model, views.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
-    return _rounded(retrieval.top_k(asked, retrieval.embed(model, chunks)), "score")
+    return _rounded(retrieval.TermIndex(chunks).search(_questions(spark, d)).hits, "score")
 
 
 @query
 def kb_answers_for_codes(spark, d):
     """One question per decline code and delivery status seen, answered from the chunked documents."""
     docs = views.table(spark, d, "documents").select("doc_id", "source", "text")
-    chunks = retrieval.chunk_documents(docs).withColumn("vec_id", F.concat_ws("-", "doc_id", "chunk_no"))
-    model = retrieval.fit_embedder(chunks)
+    chunks = cut_lineage(retrieval.chunk_documents(docs).withColumn("vec_id", F.concat_ws("-", "doc_id", "chunk_no")))
     asked = _joined(spark, d).select(ex.field_query({
         "decline_code": F.col("decline_code"), "http_status": F.col("http_status")}).alias("text")).distinct()
-    asked = retrieval.embed(model, asked.withColumn("query_id", F.col("text")))
-    return retrieval.answers(asked, retrieval.top_k(asked, retrieval.embed(model, chunks)), chunks)
+    asked = cut_lineage(asked.withColumn("query_id", F.col("text")))
+    return retrieval.answers(asked, retrieval.TermIndex(chunks).search(asked).hits, chunks)
 
 
 # ---- transcripts -----------------------------------------------------------
