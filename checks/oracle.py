@@ -164,6 +164,18 @@ _KB_LINES = f"""with cut as (select doc_id, unnest(string_split(text, chr(10)))
  q as (select query_id, bucket, raw / sqrt(sum(raw * raw) over (partition by query_id)) as weight from qr where raw > 0)"""
 
 
+def _bursts(rows: str, key: str, sums: dict[str, str], window: int, condition: str, peaks: list[str]) -> str:
+    """Totals over the window that ends at each second with events, and overlapping windows that meet the condition as one row."""
+    totals = ", ".join(f"sum({name}) over (partition by {key} order by moment range between {window - 1} preceding and current row) as {name}" for name in sums)
+    return f""", ev as ({rows}), sec as (select {key}, cast(floor(epoch("timestamp")) as bigint) as moment,
+ {", ".join(f"sum({value}) as {name}" for name, value in sums.items())} from ev where {key} is not null group by 1, 2),
+ tot as (select {key}, moment, {totals} from sec),
+ hit as (select *, case when moment - lag(moment) over (partition by {key} order by moment) <= {window} then 0 else 1 end as fresh from tot where {condition}),
+ num as (select *, sum(fresh) over (partition by {key} order by moment) as burst from hit)
+ select {key}, make_timestamp((min(moment) - {window - 1}) * 1000000) as burst_start, make_timestamp(max(moment) * 1000000) as burst_end, count(*) as windows,
+ {", ".join(f"max({p}) as peak_{p}" for p in peaks)} from num group by {key}, burst"""
+
+
 def _pct(n: str, d: str) -> str:
     return f"case when {d} = 0 then 0.0 else cast(printf('%.1f', {n} / {d}::double * 100.0) as double) end"
 
@@ -392,6 +404,21 @@ ORACLES: dict[str, str] = {
  select merchant_id, window_start, txns, round(mean_txns, 6) as mean_txns, overloaded,
  round(overloaded / logs::double, 6) as overload_share from v join b using (merchant_id)
  where txns >= mean_txns and overloaded >= 1 and overloaded / logs::double >= 0.25"""),
+    "detect_risk_block_sliding": _sql("t", _bursts("select * from t where status = 'DECLINED' and decline_code = '93_Risk_Block'", "merchant_id",
+        {"risk_blocks": "1"}, 86400, "risk_blocks >= 2", ["risk_blocks"])),
+    "detect_auth_failure_sliding": _sql("lm", _bursts("select * from lm", "merchant_id",
+        {"logs": "1", "unauthorized": "cast(http_status = 401 as int)"}, 86400, "logs >= 2 and unauthorized / logs::double >= 0.5", ["unauthorized"])),
+    "detect_card_testing_sliding": _sql("t", _bursts("select * from t where amount between 1 and 5", "merchant_id",
+        {"small_txns": "1", "test_codes": "cast(coalesce(decline_code in ('14_Invalid_Card_Number', '54_Expired_Card'), false) as int)"},
+        86400, "small_txns >= 2", ["small_txns", "test_codes"])),
+    "detect_issuer_outage_sliding": _sql("t", _bursts("select * from t", "card_bin",
+        {"txns": "1", "issuer_down": "cast(coalesce(decline_code = '91_Issuer_Switch_Inoperative', false) as int)"},
+        7200, "txns >= 5 and issuer_down / txns::double >= 0.1", ["issuer_down"])),
+    "detect_overload_sliding": _sql("j", _bursts("""select merchant_id, "timestamp", log_id is not null as has_log,
+ coalesce(http_status = 504 and latency_ms > 5000, false) as over from j""", "merchant_id",
+        {"txns": "1", "logs": "cast(has_log as int)", "overloaded": "cast(over as int)"}, 86400,
+        """txns >= (select avg(n) from (select count(*) as n from j where j.merchant_id = tot.merchant_id group by time_bucket(interval '1 day', "timestamp")))
+ and overloaded >= 1 and overloaded / logs::double >= 0.25""", ["txns", "overloaded"])),
     "detect_reconciliation_gap": _sql("j", """select transaction_id, merchant_id, amount, log_id, http_status, delivery_attempts
  from j where status = 'SUCCESS' and http_status = 500 and delivery_attempts >= 3"""),
     "remediation_class": _sql("t l", f"""select log_id, transaction_id, merchant_id, http_status, {_REMEDY} as remediation

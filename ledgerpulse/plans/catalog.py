@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerpulse.functions import expressions as ex
 from ledgerpulse.functions import transcripts as tx
 from ledgerpulse.operators import (
-    alerts, detectors, evaluation, features, guardrails, joins, kpi, lookups, quality, ranking, retrieval, sets,
+    alerts, detectors, evaluation, features, guardrails, joins, kpi, lookups, quality, ranking, retrieval, sets, sliding,
 )
 from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel, fixed_forest
 from ledgerpulse.operators.models import FraudDetector, MerchantHealthMonitor, detect_anomalies, train_live_model
@@ -544,6 +544,35 @@ def detect_overload(spark, d):
     return _rounded(found, "mean_txns", "overload_share")
 
 
+def _plain_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("burst_start", "burst_end")})
+
+
+@query
+def detect_risk_block_sliding(spark, d):
+    return _plain_times(sliding.risk_block_bursts(_txns(spark, d), "1 day", 2))
+
+
+@query
+def detect_auth_failure_sliding(spark, d):
+    return _plain_times(sliding.auth_failure_bursts(_txns(spark, d), _logs(spark, d), "1 day", 0.5, 2))
+
+
+@query
+def detect_card_testing_sliding(spark, d):
+    return _plain_times(sliding.card_testing_bursts(_txns(spark, d), "1 day", at_least=2, min_declined=0.0, min_test_codes=0.0))
+
+
+@query
+def detect_issuer_outage_sliding(spark, d):
+    return _plain_times(sliding.issuer_outage_bursts(_txns(spark, d), "2 hours", 5, 0.1))
+
+
+@query
+def detect_overload_sliding(spark, d):
+    return _plain_times(sliding.overload_bursts(_txns(spark, d), _logs(spark, d), "1 day", 1.0, 0.25))
+
+
 @query
 def detect_reconciliation_gap(spark, d):
     return detectors.reconciliation_gaps(_txns(spark, d), _logs(spark, d)).select(
