@@ -12,19 +12,21 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 
 import numpy as np
 
 from ledgerpulse.llm.common import worker_memory
 
 #: Pieces remembered by a worker; beyond it the later half, rarer words as a rule, is forgotten.
-KEPT_PIECES = 700_000
+KEPT_PIECES = 400_000
 #: Texts whose pieces are held at a time.
 BATCH_TEXTS = 200
 _CUT = re.compile(r"(?<=[\w!-~])(?=[ \n][\w!-~])")
 _NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
-_SIGN = re.compile(r"(?<=[a-z])([.,;:?])(?= )")
-_MARKED_SIGN = re.compile(r"(?<=[A-Za-z])([.,;:?])(?= |\Z)")
+# the sign comes first, so that only its places are looked at
+_SIGN = re.compile(r"[.,;:?](?<=[a-z].)(?= )")
+_MARKED_SIGN = re.compile(r"[.,;:?](?<=[A-Za-z].)(?= |\Z)")
 _VISIBLE = re.compile(r"\0[.,;:?]|\n?[\w!-~](?:.*[\w!-~])?", re.DOTALL)
 
 
@@ -52,6 +54,18 @@ def worker_tokenizer(path: str, drops_blanks: bool) -> "PieceTokenizer":
     return loaded[key]
 
 
+class _Pieces(dict):
+    """Ids of pieces, found when a piece is first asked for."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self[piece] = self.find(piece)
+        return ids
+
+
 class PieceTokenizer:
     """ids(texts): little-endian 32-bit ids of every text as bytes, as the tokenizer gives them without adding special tokens."""
 
@@ -62,8 +76,8 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.drops_blanks = drops_blanks
-        self.whole: dict[str, bytes] = {}  # pieces as they stand
-        self.after: dict[str, bytes | None] = {"": None}  # pieces behind a blank; None: no place to cut
+        self.whole = _Pieces(self._encode)  # pieces as they stand
+        self.after = _Pieces(self._encode_after)  # pieces behind a blank; None: no place to cut
 
     def _is_word(self, piece: str) -> bool:
         """Whether the piece is one run of letters that the tokenizer hands to its model as it stands."""
@@ -71,30 +85,25 @@ class PieceTokenizer:
             return piece.isalpha() and piece == piece.lower() and not _NOT_LATIN.search(piece)
         return piece[1:].isalpha() and piece[0] == " "
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found: dict[str, list[int]] = {}
-        rest, tokenize = [], self.tokenizer.model.tokenize
-        for piece in pieces:
-            if self._is_word(piece):  # straight to the merges, without normalising and cutting one word
-                letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                found[piece] = [t.id for t in tokenize(letters)]
-            else:
-                rest.append(piece)
-        found |= zip(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
-        ids = [found[p] for p in pieces]
-        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
-        ends = list(itertools.accumulate(4 * len(x) for x in ids))
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, known: dict[str, bytes | None], keys: list[str], pieces: list[str]) -> None:
-        for at in range(0, len(keys), 20_000):
-            known.update(zip(keys[at:at + 20_000], self._encode(pieces[at:at + 20_000])))
+    def _encode(self, piece: str) -> bytes:
+        if self._is_word(piece):  # straight to the merges, without normalising and cutting one word
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _encode_after(self, piece: str) -> bytes | None:
+        if not _VISIBLE.fullmatch(piece):
+            return None
+        return self._encode(piece if piece[0] == "\n" else piece[1:] if piece[0] == "\0" else " " + piece)
 
     def _bound(self) -> None:
         for name in ("whole", "after"):
             known = getattr(self, name)
             if len(known) > KEPT_PIECES:
-                setattr(self, name, dict(itertools.islice(known.items(), KEPT_PIECES // 2)))
+                kept = list(itertools.islice(known.items(), KEPT_PIECES // 2))
+                known.clear()
+                known.update(kept)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         encode = self._dropping if self.drops_blanks else self._bytewise
@@ -110,21 +119,15 @@ class PieceTokenizer:
     def _dropping(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").replace("\n", " ") for t in texts]
         # in plain Latin text case does not matter, and a sign between a letter and a blank is a token of its own
-        cut = [(t if _NOT_LATIN.search(t) else _SIGN.sub(r" \1", t.lower())).split(" ") for t in cut]
-        missing = list(set().union(*cut).difference(self.whole)) if cut else []
-        self._learn(self.whole, missing, missing)
+        cut = [(t if _NOT_LATIN.search(t) else _SIGN.sub(r" \g<0>", t.lower())).split(" ") for t in cut]
         get = self.whole.__getitem__
         out = [b"".join(map(get, pieces)) for pieces in cut]
         self._bound()
         return out
 
     def _bytewise(self, texts: list[str | None]) -> list[bytes]:
-        cut = [_MARKED_SIGN.sub(" \0\\1", (t or "").replace("\n", " \n")).split(" ") for t in texts]
+        cut = [_MARKED_SIGN.sub(" \0\\g<0>", (t or "").replace("\n", " \n")).split(" ") for t in texts]
         heads = [pieces.pop(0) for pieces in cut]
-        missing = list(set().union(*cut).difference(self.after)) if cut else []
-        fit = [p for p in missing if _VISIBLE.fullmatch(p)]
-        self.after.update(dict.fromkeys(missing))
-        self._learn(self.after, fit, [p if p[0] == "\n" else p[1:] if p[0] == "\0" else " " + p for p in fit])
         after, whole = self.after.__getitem__, self.whole.__getitem__
         out: list = []
         for head, pieces, text in zip(heads, cut, texts):
@@ -134,8 +137,6 @@ class PieceTokenizer:
                 out.append((head, b"".join(map(after, pieces))))
             except TypeError:  # blanks in a row, control characters: cut where it is safe
                 out.append((_CUT.split(text), None))
-        missing = {p for h, rest in out for p in (h if rest is None else (h,))}.difference(self.whole)
-        self._learn(self.whole, list(missing), list(missing))
         out = [b"".join(map(whole, h)) if rest is None else whole(h) + rest for h, rest in out]
         self._bound()
         return out
