@@ -134,7 +134,19 @@ _TABLES = {
  select query_id, vec_id, list_inner_product(v, embedding::double[]) as score from tp, embeddings)""",
 }
 
+_TABLES |= {
+    "dl": f"""select event_id, 'merchant_id_' || user_id as merchant_id, cast(floor(epoch(ts)) as bigint) as moment, event_id % 4 as shard,
+ case when event_id % 50 <> 7 then {_HTTP} end as http_status,
+ case when event_id % 50 = 7 then null when ({_HTTP}) = 504 then 5001 + (event_id * 37) % 10000 else 50 + (event_id * 37) % 451 end as latency_ms from events""",
+    "ck": "select merchant_id, shard, max(moment) as clock from dl where event_id % 20 <> 7 group by 1, 2",
+    "dk": """select dl.*, case when event_id % 20 = 7 and coalesce(moment < clock - 86400, false) then 'late' else 'event' end as kind from dl left join ck using (merchant_id, shard)
+ union all select *, 'duplicate' from dl where event_id % 10 = 3""",
+    "lw": """select merchant_id, make_timestamp(moment // 86400 * 86400 * 1000000) as window_start, count(*) as txns, count(http_status) as logs,
+ count(*) filter (http_status = 401) as unauthorized, count(*) filter (http_status = 504 and latency_ms > 5000) as overloaded from dk where kind = 'event' group by 1, 2""",
+}
+
 _NEEDS = {
+    "ck": ["dl"], "dk": ["dl", "ck"], "lw": ["dl", "ck", "dk"],
     "j": ["t", "l"], "lm": ["t", "l"], "fd": ["t"], "al": ["t", "fd"], "up": ["t"], "rt": ["t"], "rl": ["t", "l", "lm"],
     "pr": ["t", "l", "j"], "sc": ["cc"], "lf": ["t", "l", "j"], "fs": ["lv"], "ing": ["pay"], "tf": ["tr"], "hit": ["tp"],
 }
@@ -403,6 +415,13 @@ ORACLES: dict[str, str] = {
  b as (select merchant_id, avg(txns) as mean_txns from v group by 1)
  select merchant_id, window_start, txns, round(mean_txns, 6) as mean_txns, overloaded,
  round(overloaded / logs::double, 6) as overload_share from v join b using (merchant_id)
+ where txns >= mean_txns and overloaded >= 1 and overloaded / logs::double >= 0.25"""),
+    "stream_ledger_balance": _sql("dk", """select merchant_id, count(*) as rows_in, count(*) filter (kind = 'event') as events,
+ count(*) filter (kind = 'duplicate') as duplicates, count(*) filter (kind = 'late') as lates from dk group by 1"""),
+    "stream_ledger_alerts": _sql("lw", """select merchant_id, window_start, 'unauthorized' as what, unauthorized as hits, logs
+ from lw where logs >= 2 and unauthorized / logs::double >= 0.5
+ union all select merchant_id, window_start, 'overloaded', overloaded, logs
+ from lw join (select merchant_id, avg(txns) as mean_txns from lw group by 1) using (merchant_id)
  where txns >= mean_txns and overloaded >= 1 and overloaded / logs::double >= 0.25"""),
     "detect_risk_block_sliding": _sql("t", _bursts("select * from t where status = 'DECLINED' and decline_code = '93_Risk_Block'", "merchant_id",
         {"risk_blocks": "1"}, 86400, "risk_blocks >= 2", ["risk_blocks"])),

@@ -29,7 +29,7 @@ from ledgerpulse.session import cut_lineage, fresh_folder
 from ledgerpulse.sources import files, messages
 from ledgerpulse.sources.alert_table import append_alerts, read_alerts
 from ledgerpulse.sources.files import is_folder
-from ledgerpulse.streaming import scoring, windows
+from ledgerpulse.streaming import ledger, scoring, windows
 
 QUERIES: dict = {}
 
@@ -1114,3 +1114,36 @@ def stream_window_alerts(spark, d):
     out, mark = fresh_folder(spark, "window-alerts"), fresh_folder(spark, "window-alerts-checkpoint")
     _drained(spark, d, lambda features: windows.start_window_alerts(features, model, out, mark, availableNow=True))
     return _rounded(read_alerts(spark, out).drop("detected_at"), "anomaly_score")
+
+
+def _ledger(spark, d) -> DataFrame:
+    """Ledger of the deliveries, in two arrivals: a twentieth of them comes behind all others, with repeats of a tenth.
+
+    A row without ids ends the input: in its batch the timers take out the windows that are still open.
+    """
+    events = views.table(spark, d, "events").selectExpr(*views.delivery_columns())
+    source, out, mark = fresh_folder(spark, "deliveries"), fresh_folder(spark, "ledger"), fresh_folder(spark, "ledger-checkpoint")
+    behind, again = F.col("number") % 20 == 7, F.col("number") % 10 == 3
+    end = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema])
+    for part in (events.filter(~behind), events.filter(behind | again), end):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        rows = ledger.ledger_rows(stream, "1 day", "1 day", quiet_seconds=0, shard=F.col("number") % 4)
+        ledger.start_ledger(rows, out, mark, availableNow=True).awaitTermination()
+    return ledger.read_ledger(spark, out)
+
+
+@query
+def stream_ledger_balance(spark, d):
+    """Live deliveries: what came in came out as an event, a duplicate or a late row."""
+    return ledger.ledger_balance(_ledger(spark, d))
+
+
+@query
+def stream_ledger_alerts(spark, d):
+    """Windows of live deliveries that were nearly all unauthorised, or overloaded."""
+    windows = cut_lineage(ledger.live_windows(_ledger(spark, d)).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+    failures, overloads = ledger.live_auth_failures(windows, 0.5, 2), ledger.live_overloads(windows, 1.0, 0.25)
+    return failures.select("merchant_id", "window_start", F.lit("unauthorized").alias("what"), F.col("unauthorized").alias("hits"), "logs").unionByName(
+        overloads.join(windows.select("merchant_id", "window_start", "logs"), ["merchant_id", "window_start"]).select(
+            "merchant_id", "window_start", F.lit("overloaded").alias("what"), F.col("overloaded").alias("hits"), "logs"))

@@ -114,6 +114,15 @@ def live_event_columns() -> list[str]:
     ]
 
 
+def delivery_columns() -> list[str]:
+    """Events as live deliveries: a transaction with the outcome of its delivery, none for every fiftieth."""
+    return [
+        "event_id as number", *[c for c in transaction_columns() if c.endswith((" as transaction_id", " as merchant_id", " as timestamp"))],
+        f"case when event_id % 50 <> 7 then {HTTP_STATUS} end as http_status",
+        f"case when event_id % 50 = 7 then null when ({HTTP_STATUS}) = 504 then 5001 + (event_id * 37) % 10000 else 50 + (event_id * 37) % 451 end as latency_ms",
+    ]
+
+
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*live_event_columns())
 
