@@ -114,29 +114,140 @@ class _Expression(OutlierModel):
         return df.withColumn("outlier_score", self.score)
 
 
-def fit_elliptic_envelope(train: DataFrame, features, contamination: float = 0.1) -> OutlierModel:
-    """Robust Gaussian: repeated fits on the half of the rows nearest to the last fit.
-
-    The steps start from the plain fit of all rows. Each step lowers the determinant or leaves it,
-    and there are finitely many halves, so they end when it stands still.
+# ---- robust covariance -------------------------------------------------------
+
+#: Random starts, steps that all starts take together, starts that go on to the end.
+STARTS, SHARED_STEPS, FINALISTS = 40, 2, 3
+#: Bins per doubling of a squared distance, and the doublings told apart on both sides of 1.
+_BINS, _DOUBLINGS = 8, 64
+
+
+def chi2_quantile(p: float, degrees: int) -> float:
+    """The value a chi-square variable exceeds with probability 1 - p, by bisection of the series of its distribution."""
+    def below(x: float) -> float:
+        a, half = degrees / 2, x / 2
+        term = total = math.exp(a * math.log(half) - half - math.lgamma(a + 1)) if half > 0 else 0.0
+        n = 1
+        while term > total * 1e-16:
+            term *= half / (a + n)
+            total += term
+            n += 1
+        return total
+
+    low, high = 0.0, 1.0
+    while below(high) < p:
+        high *= 2
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle) < p else (low, middle)
+    return (low + high) / 2
+
+
+def _start_points(train: DataFrame, features: list[str], starts: int) -> np.ndarray:
+    """Points for the starts, `len(features)` + 1 each: different points with the smallest hashes; a bounded number."""
+    wanted = starts * (len(features) + 1)
+    rows = train.select(*features, F.xxhash64(*features).alias("_place")).distinct().orderBy("_place", *features).limit(wanted)
+    points = rows.drop("_place").toPandas().to_numpy(dtype=float).reshape(-1, len(features))
+    return points[: len(points) // (len(features) + 1) * (len(features) + 1)].reshape(-1, len(features) + 1, len(features))
+
+
+def _shared_step(train: DataFrame, features: list[str], means: np.ndarray, precisions: np.ndarray, share: float) -> list[Gaussian]:
+    """One concentration step of all starts in one pass: counts and moments by bin of the distance, summed before the shuffle.
+
+    The bins up to the wanted share of the rows make the next mean and covariance.
+    """
+    n = len(features)
+    bins, width = 2 * _DOUBLINGS * _BINS, 1 + n + n * n
+
+    def sums(batches):
+        total = np.zeros((len(means), bins, width))
+        for batch in batches:
+            x = batch[features].to_numpy(dtype=float)
+            moments = np.hstack([np.ones((len(x), 1)), x, (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)])
+            for i, (mean, precision) in enumerate(zip(means, precisions)):
+                apart = x - mean
+                d2 = np.maximum(((apart @ precision) * apart).sum(axis=1), 2.0 ** -_DOUBLINGS)
+                place = np.clip(((np.log2(d2) + _DOUBLINGS) * _BINS).astype(int), 0, bins - 1)
+                np.add.at(total[i], place, moments)
+        used = np.argwhere(total[:, :, 0] > 0)
+        yield pd.DataFrame({"start": used[:, 0].astype("int32"), "bin": used[:, 1].astype("int32"),
+                            **{f"m{j}": total[used[:, 0], used[:, 1], j] for j in range(width)}})
+
+    kinds = ", ".join(f"m{j} double" for j in range(width))
+    # at most starts * bins rows come back, whatever the table holds
+    found = (train.select(*features).mapInPandas(sums, f"start int, bin int, {kinds}").groupBy("start", "bin")
+             .agg(*[F.sum(f"m{j}").alias(f"m{j}") for j in range(width)]).toPandas().sort_values(["start", "bin"]))
+    out = []
+    for _, part in found.groupby("start"):
+        m = part[[f"m{j}" for j in range(width)]].to_numpy()
+        seen = np.cumsum(m[:, 0])
+        upto = int(np.searchsorted(seen, share * seen[-1])) + 1
+        whole = m[:upto].sum(axis=0)
+        mean = whole[1:1 + n] / whole[0]
+        out.append(Gaussian(features, mean, whole[1 + n:].reshape(n, n) / whole[0] - np.outer(mean, mean)))
+    return out
+
+
+def _volume(gaussian: Gaussian) -> float:
+    sign, logdet = np.linalg.slogdet(gaussian.covariance)
+    return logdet if sign > 0 else -math.inf
+
+
+def _concentrate(train: DataFrame, gaussian: Gaussian, share: float) -> tuple[Gaussian, float]:
+    """Repeated fits on the share of the rows nearest to the last fit, until the determinant stands still.
+
+    Each step lowers the determinant or leaves it, and there are finitely many such sets of rows.
     """
-    features = list(features)
-    train = train.select(*features).persist()
-    gaussian = Gaussian.fit(train, features)
-    total = train.count()
-    share = min(1.0, (total + len(features) + 1) / 2 / max(total, 1))
     volume = math.inf
     while True:
         distance = gaussian.squared_distance()
         cut = exact_quantiles(train, distance, [share])[0]
-        gaussian = Gaussian.fit(train.filter(distance <= F.lit(cut)), features)
-        sign, logdet = np.linalg.slogdet(gaussian.covariance)
-        now = logdet if sign > 0 else -math.inf
+        gaussian = Gaussian.fit(train.filter(distance <= F.lit(cut)), gaussian.features)
+        now = _volume(gaussian)
         if not now < volume - 1e-9:
-            break
+            return gaussian, now
         volume = now
-    model = _Expression(gaussian.squared_distance()).set_threshold(train, contamination)
-    train.unpersist()
+
+
+def minimum_covariance(train: DataFrame, features) -> Gaussian:
+    """The Gaussian of half of the rows with (nearly) the smallest determinant.
+
+    The plain fit of all rows and many random starts, each through one point more than there are features, take
+    `SHARED_STEPS` steps together; the best `FINALISTS` go on to the end.
+    """
+    features = list(features)
+    n = len(features)
+    total = train.count()
+    share = min(1.0, (total + n + 1) / 2 / max(total, 1))
+    plain = Gaussian.fit(train, features)
+    candidates = [plain]
+    for points in _start_points(train, features, STARTS):
+        spread = np.cov(points.T, bias=True).reshape(n, n)
+        candidates.append(Gaussian(features, points.mean(axis=0), spread + 1e-9 * np.trace(spread) * np.eye(n)))
+    for _ in range(SHARED_STEPS):
+        usable = [c for c in candidates if np.isfinite(c.covariance).all()]
+        precisions = np.array([np.linalg.pinv(c.covariance, hermitian=True) for c in usable])
+        candidates = _shared_step(train, features, np.array([c.mean for c in usable]), precisions, share)
+    found = [_concentrate(train, c, share) for c in [plain, *sorted(candidates, key=_volume)[:FINALISTS]]]
+    return min(found, key=lambda f: f[1])[0]
+
+
+def fit_elliptic_envelope(train: DataFrame, features, contamination: float = 0.1) -> OutlierModel:
+    """Robust Gaussian: the half of the rows with the smallest covariance, made consistent and fitted again.
+
+    The covariance is scaled so that the median squared distance is that of a Gaussian; rows nearer than its 0.975 quantile
+    make the final mean and covariance.
+    """
+    features = list(features)
+    train = cut_lineage(train.select(*[F.col(c).cast("double").alias(c) for c in features]))
+    half = minimum_covariance(train, features)
+    middle = exact_quantiles(train, half.squared_distance(), [0.5])[0] or 0.0
+    if middle > 0:
+        scaled = Gaussian(features, half.mean, half.covariance * (middle / chi2_quantile(0.5, len(features))))
+        near = scaled.squared_distance() < F.lit(chi2_quantile(0.975, len(features)))
+        half = Gaussian.fit(train.filter(near), features)
+    model = _Expression(half.squared_distance()).set_threshold(train, contamination)
+    model.gaussian = half
     return model
 
 

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import make_txns
-from ledgerpulse.operators import neighbours, quantiles
+from ledgerpulse.operators import neighbours, outliers, quantiles
 from ledgerpulse.operators.features import window_features
 from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel, average_path, fixed_forest, grow_tree
 from ledgerpulse.operators.models import FraudDetector, MerchantHealthMonitor, detect_anomalies, train_live_model
@@ -278,6 +278,29 @@ def test_lof_equals_brute_force(spark, monkeypatch, cell_rows):
     assert set(got["prediction"]) <= {0, 1}
 
 
+@pytest.mark.parametrize("p, degrees, value", [(0.5, 3, 2.365974), (0.975, 2, 7.377759), (0.975, 5, 12.832502), (0.5, 1, 0.454936)])
+def test_chi2_quantile(p, degrees, value):
+    assert outliers.chi2_quantile(p, degrees) == pytest.approx(value, abs=1e-5)
+
+
+def test_robust_covariance_with_many_outliers(spark):
+    rng = np.random.default_rng(4)
+    clean = rng.normal(size=(600, 2)) @ np.array([[1.0, 0.6], [0.0, 0.8]])
+    rows = np.vstack([clean, rng.normal(size=(400, 2)) * 0.3 + [9.0, -9.0]])  # 40 % are planted
+    frame = spark.createDataFrame(pd.DataFrame(rows, columns=["a", "b"])).cache()
+    half = outliers.minimum_covariance(frame, ["a", "b"])
+    share = (1000 + 3) / 2 / 1000
+    alone = outliers._concentrate(frame, Gaussian.fit(frame, ["a", "b"]), share)[1]  # as from the plain fit only
+    assert outliers._volume(half) <= alone + 1e-9
+    model = fit_elliptic_envelope(frame, ["a", "b"], 0.4)
+    assert np.allclose(model.gaussian.mean, clean.mean(axis=0), atol=0.2)
+    assert np.allclose(model.gaussian.covariance, np.cov(clean.T), atol=0.25)
+    found = model.transform(frame).toPandas()
+    assert set(found.index[found.prediction == 1]) == set(range(600, 1000))
+    centred = rows - model.gaussian.mean
+    assert np.allclose(found.outlier_score, ((centred @ np.linalg.inv(model.gaussian.covariance)) * centred).sum(axis=1))
+
+
 def test_comparison_on_small_tables(comparison_tables):
     labelled = comparison.labelled_features(*comparison_tables)
     assert sorted(r.transaction_id for r in labelled.filter("y_true = 1").collect()) == ["TXN-004", "TXN-005"]
