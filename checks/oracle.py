@@ -549,6 +549,8 @@ ORACLES: dict[str, str] = {
     "outlier_properties": "select * from (values ('EllipticEnvelope', true, true), ('AutoEncoder', true, true)) v(model, within_share, in_order)",
     "webhook_kb_lookup": _sql("l ws", "select log_id, http_status, status_meaning, gateway_action from l left join ws using (http_status)"),
 }
+ORACLES["webhook_update_stored"] = ORACLES["webhook_update"]
+ORACLES["bulk_retry_stored"] = ORACLES["bulk_retry"]
 ORACLES["stream_scoring"] = ORACLES["live_alerts_batch"]
 ORACLES["stream_features"] = ORACLES["features_1day"]
 ORACLES["iforest_frozen_scores_udf"] = ORACLES["model_round_trip"] = ORACLES["iforest_frozen_scores"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerpulse.operators.neighbours import PartitionTree, distinct_points
-from ledgerpulse.operators.quantiles import exact_quantiles
+from ledgerpulse.operators.quantiles import exact_quantiles, order_statistics
 from ledgerpulse.session import cut_lineage
 
 
@@ -320,9 +320,10 @@ class OneClassSvm(OutlierModel):
         self.directions = rng.normal(0.0, math.sqrt(2.0 * gamma), (n, self.frequencies))
         self.phases = rng.uniform(0.0, 2.0 * math.pi, self.frequencies)
         self.weights = self._mean_image(train)
+        place = max(0, math.ceil(self.nu * train.count()) - 1)
         for _ in range(self.MOST_STEPS):
             scored = train.withColumn("_margin", self._margin()).persist()
-            edge = scored.agg(F.percentile_approx("_margin", F.lit(self.nu), 10_000)).first()[0]
+            edge = order_statistics(scored, "_margin", [place])[0]
             pull = self._mean_image(scored.filter(F.col("_margin") <= F.lit(edge)))
             scored.unpersist()
             apart = self.weights - pull

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,9 +14,8 @@ def _as_rows(one_row: DataFrame) -> DataFrame:
     return one_row.unpivot([], one_row.columns, "check_name", "violations")
 
 
-def _violations(condition):
-    """Rows that break a rule; a null on which the rule cannot hold counts."""
-    return F.count_if(~F.coalesce(condition, F.lit(False)))
+def _broken(condition: Column) -> Column:
+    return ~F.coalesce(condition, F.lit(False))
 
 
 def duplicate_keys(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -26,29 +25,41 @@ def duplicate_keys(df: DataFrame, key: str, name: str) -> DataFrame:
         F.lit(name).alias("check_name"), "violations")
 
 
+def _transaction_rules(min_amount: float = 0.0) -> dict[str, Column]:
+    """By check: whether a row breaks it; a null on which a rule cannot hold breaks it."""
+    success, no_code = F.col("status") == "SUCCESS", F.col("decline_code").isNull()
+    return {
+        "status_domain": _broken(F.col("status").isin(*STATUSES)), "currency_domain": _broken(F.col("currency") == "INR"),
+        "success_with_code": success & ~no_code, "decline_without_code": ~success & no_code,
+        "amount_positive": _broken(F.col("amount") > min_amount), "amount_at_least_50": _broken(F.col("amount") >= 50)}
+
+
+def _log_rules() -> dict[str, Column]:
+    return {
+        "event_type_domain": _broken(F.col("event_type").isin(*EVENT_TYPES)), "attempts_at_least_1": _broken(F.col("delivery_attempts") >= 1),
+        "latency_positive": _broken(F.col("latency_ms") > 0)}
+
+
+def _merchant_rules() -> dict[str, Column]:
+    return {
+        "merchant_id_format": _broken(F.col("merchant_id").rlike(r"^merchant_id_\d+$")),
+        "webhook_url_https": _broken(F.col("webhook_url").startswith("https://"))}
+
+
+def _counted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    return _as_rows(df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()]))
+
+
 def transaction_checks(transactions: DataFrame, min_amount: float = 0.0) -> DataFrame:
-    success = F.col("status") == "SUCCESS"
-    no_code = F.col("decline_code").isNull()
-    return _as_rows(transactions.agg(
-        _violations(F.col("status").isin(*STATUSES)).alias("status_domain"),
-        _violations(F.col("currency") == "INR").alias("currency_domain"),
-        F.count_if(success & ~no_code).alias("success_with_code"),
-        F.count_if(~success & no_code).alias("decline_without_code"),
-        _violations(F.col("amount") > min_amount).alias("amount_positive"),
-        _violations(F.col("amount") >= 50).alias("amount_at_least_50")))
+    return _counted(transactions, _transaction_rules(min_amount))
 
 
 def log_checks(logs: DataFrame) -> DataFrame:
-    return _as_rows(logs.agg(
-        _violations(F.col("event_type").isin(*EVENT_TYPES)).alias("event_type_domain"),
-        _violations(F.col("delivery_attempts") >= 1).alias("attempts_at_least_1"),
-        _violations(F.col("latency_ms") > 0).alias("latency_positive")))
+    return _counted(logs, _log_rules())
 
 
 def merchant_checks(merchants: DataFrame) -> DataFrame:
-    return _as_rows(merchants.agg(
-        _violations(F.col("merchant_id").rlike(r"^merchant_id_\d+$")).alias("merchant_id_format"),
-        _violations(F.col("webhook_url").startswith("https://")).alias("webhook_url_https")))
+    return _counted(merchants, _merchant_rules())
 
 
 def error_code_only_when_failed(events: DataFrame) -> DataFrame:
@@ -66,14 +77,27 @@ def log_per_transaction(transactions: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def quality_report(merchants: DataFrame, transactions: DataFrame, logs: DataFrame) -> DataFrame:
-    parts = [
-        duplicate_keys(merchants, "merchant_id", "duplicate_merchant_id"),
-        duplicate_keys(transactions, "transaction_id", "duplicate_transaction_id"),
-        duplicate_keys(logs, "log_id", "duplicate_log_id"),
-        transaction_checks(transactions), log_checks(logs), merchant_checks(merchants),
-        log_per_transaction(transactions, logs),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    """All checks with one scan per table and one shuffle.
+
+    Every row gives a record for each key it has, the first with the rules it breaks. One aggregation by key counts rows, logs
+    and broken rules; it is combined on the map side, so a key with very many rows sends one record per task.
+    """
+    tables = {
+        "merchant_id": (merchants, _merchant_rules(), ["merchant_id"]), "transaction_id": (transactions, _transaction_rules(), ["transaction_id"]),
+        "log_id": (logs, _log_rules(), ["log_id", "transaction_id"])}
+    names = [name for _, rules, _ in tables.values() for name in rules]
+    records = None
+    for own, (table, rules, keys) in tables.items():
+        entries = F.array(*[
+            F.struct(F.lit(key).alias("kind"), F.col(key).cast("string").alias("key"), F.lit(int(key == own)).alias("rows"), F.lit(int(key != own)).alias("logs"),
+                     *[(rules[n] if n in rules and key == own else F.lit(False)).cast("int").alias(n) for n in names])
+            for key in keys])
+        part = table.select(F.inline(entries))
+        records = part if records is None else records.unionByName(part)
+    by_key = (records.filter("rows = 1 or key is not null").groupBy("kind", "key")
+              .agg(*[F.sum(c).alias(c) for c in ("rows", "logs", *names)]))
+    none = F.lit(0)
+    spare = {key: F.coalesce(F.sum(F.when(F.col("kind") == key, F.greatest(F.col("rows") - 1, none))), none) for key in tables}
+    return _as_rows(by_key.agg(
+        *[spare[key].alias(f"duplicate_{key}") for key in tables], *[F.coalesce(F.sum(n), none).alias(n) for n in names],
+        F.coalesce(F.sum(F.when((F.col("kind") == "transaction_id") & (F.col("logs") != 1), F.col("rows"))), none).alias("one_log_per_transaction")))

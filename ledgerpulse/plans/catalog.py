@@ -29,6 +29,7 @@ from ledgerpulse.session import cut_lineage, fresh_folder
 from ledgerpulse.sources import files, messages
 from ledgerpulse.sources.alert_table import append_alerts, read_alerts
 from ledgerpulse.sources.files import is_folder
+from ledgerpulse.sources.keyed_table import KeyedTable
 from ledgerpulse.streaming import ledger, scoring, windows
 
 QUERIES: dict = {}
@@ -182,6 +183,28 @@ def webhook_update(spark, d):
     return lookups.update_http_status(_logs(spark, d), _updates(spark, d))
 
 
+@query
+def webhook_update_stored(spark, d):
+    """The same update of a stored table, run twice, and read back."""
+    logs = _logs(spark, d)
+    held = KeyedTable(spark, fresh_folder(spark, "logs"), logs.schema, "log_id", 16)
+    held.upsert(logs)
+    for _ in range(2):
+        held.update(_updates(spark, d).select("log_id", F.col("new_http_status").alias("http_status")))
+    return held.read()
+
+
+@query
+def bulk_retry_stored(spark, d):
+    """Every retryable delivery of a stored table sent again, run twice, and read back."""
+    logs = _logs(spark, d)
+    held = KeyedTable(spark, fresh_folder(spark, "retried"), logs.schema, "log_id", 16)
+    held.upsert(logs)
+    for _ in range(2):
+        held.update(detectors.retryable_logs(_txns(spark, d), held.read()).withColumn("http_status", F.lit(200)))
+    return held.read().select("log_id", "http_status", "delivery_attempts")
+
+
 @query
 def webhook_update_unmatched(spark, d):
     return lookups.unmatched_updates(_logs(spark, d), _updates(spark, d))
