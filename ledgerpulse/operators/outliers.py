@@ -261,86 +261,122 @@ def fit_linear_autoencoder(train: DataFrame, features, contamination: float = 0.
 
 # ---- one-class SVM ---------------------------------------------------------
 
-class OneClassSvm(OutlierModel):
-    """RBF one-class SVM on random Fourier features.
+def nearest_to_origin(atoms: np.ndarray, rounds: int = 10_000, tolerance: float = 1e-12) -> np.ndarray:
+    """Weights of the point of least norm in the convex hull of the rows of `atoms`: pairwise steps of exact length."""
+    gram = atoms @ atoms.T
+    weights = np.zeros(len(atoms))
+    weights[int(np.argmin(np.diag(gram)))] = 1.0
+    along = gram @ weights
+    for _ in range(rounds):
+        best = int(np.argmin(along))
+        held = np.flatnonzero(weights > 0)
+        worst = int(held[np.argmax(along[held])])
+        gap = along[worst] - along[best]
+        if gap <= tolerance * max(float(weights @ along), 1e-300):
+            break
+        curve = gram[best, best] + gram[worst, worst] - 2 * gram[best, worst]
+        step = weights[worst] if curve <= 0 else min(weights[worst], gap / curve)
+        weights[best] += step
+        weights[worst] = 0.0 if step == weights[worst] else weights[worst] - step
+        along += step * (gram[best] - gram[worst])
+    return weights
+
 
-    The weights are the point of least norm among the means of a share `nu` of the rows. Each step moves
-    towards the mean of the rows with the lowest margin by the best length; the steps end when the
-    duality gap is at most `TOLERANCE` of the squared norm. `MOST_STEPS` only guards against numbers that
-    cannot get nearer.
+class OneClassSvm(OutlierModel):
+    """One-class SVM with an RBF kernel, on landmarks.
+
+    The kernel is that of the projections on `landmarks` points (Nystroem): exact between landmarks, and with as many landmarks as
+    different rows everywhere. The weights are the point of least norm among the means of a share `nu` of the rows, which
+    is the dual of the SVM. Each step adds the mean of the rows with the lowest margins, found with an exact order
+    statistic, to the means held so far, and takes the nearest point of their hull. The steps end when the duality gap
+    is at most `TOLERANCE` of the squared norm; the margins are then within the root of the gap of the optimal ones. Weights
+    and means have one number per landmark; no rows are held but the landmarks.
     """
 
-    TOLERANCE, MOST_STEPS = 0.02, 200
+    TOLERANCE, MOST_STEPS = 1e-4, 400
 
-    def __init__(self, features, nu: float, frequencies: int, seed: int) -> None:
-        self.features, self.nu = list(features), nu
-        self.frequencies, self.seed = frequencies, seed
-        self.directions = self.phases = self.weights = None
+    def __init__(self, features, nu: float, landmarks: int) -> None:
+        self.features, self.nu, self.landmarks = list(features), nu, landmarks
+        self.points = self.lift = self.weights = None
+        self.gamma = self.gap = 0.0
 
     def _map(self):
-        directions, phases = self.directions, self.phases
-        size = math.sqrt(2.0 / len(phases))
-        return lambda block: size * np.cos(block @ directions + phases)
+        points, lift, gamma = self.points, self.lift, self.gamma
+
+        def image(block: np.ndarray) -> np.ndarray:
+            apart = (block ** 2).sum(axis=1)[:, None] + (points ** 2).sum(axis=1)[None, :] - 2 * block @ points.T
+            return np.exp(-gamma * np.maximum(apart, 0.0)) @ lift
+        return image
 
     def _mean_image(self, rows: DataFrame) -> np.ndarray:
         """Mean feature image of the rows: each batch is summed before the shuffle."""
-        lift, features, count = self._map(), self.features, self.frequencies
+        image, features, count = self._map(), self.features, self.lift.shape[1]
 
         def sums(batches):
             total, rows_seen = np.zeros(count), 0
             for batch in batches:
-                total += lift(batch[features].to_numpy(dtype=float)).sum(axis=0)
+                total += image(batch[features].to_numpy(dtype=float)).sum(axis=0)
                 rows_seen += len(batch)
             yield pd.DataFrame({"slot": np.arange(count + 1), "part": np.append(total, rows_seen)})
 
         table = (rows.select(*features).mapInPandas(sums, "slot int, part double")
                  .groupBy("slot").agg(F.sum("part").alias("total")).collect())
         by_slot = {r["slot"]: r["total"] for r in table}
-        seen = by_slot[count]
-        return np.array([by_slot[i] for i in range(count)]) / max(seen, 1.0)
+        return np.array([by_slot[i] for i in range(count)]) / max(by_slot[count], 1.0)
 
     def _margin(self) -> Column:
-        lift, weights = self._map(), self.weights
+        image, weights = self._map(), self.weights
 
         @pandas_udf("double")
         def margin(*columns: pd.Series) -> pd.Series:
             block = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(lift(block) @ weights)
+            return pd.Series(image(block) @ weights)
         return margin(*[F.col(c).cast("double") for c in self.features])
 
     def fit(self, train: DataFrame) -> "OneClassSvm":
-        train = train.select(*[F.col(c).cast("double").alias(c) for c in self.features]).persist()
-        moments = train.agg(*[F.avg(c) for c in self.features],
-                            *[F.avg(F.col(c) * F.col(c)) for c in self.features]).first()
+        train = cut_lineage(train.select(*[F.col(c).cast("double").alias(c) for c in self.features]))
+        total, *moments = train.agg(F.count("*"), *[F.avg(c) for c in self.features],
+                                    *[F.avg(F.col(c) * F.col(c)) for c in self.features]).first()
         n = len(self.features)
         mean, square = np.array(moments[:n], dtype=float), np.array(moments[n:], dtype=float)
         variance = square.mean() - mean.mean() ** 2  # over all entries of the matrix
-        gamma = 1.0 / (n * variance) if variance > 0 else 1.0 / n
-        rng = np.random.default_rng(self.seed)
-        self.directions = rng.normal(0.0, math.sqrt(2.0 * gamma), (n, self.frequencies))
-        self.phases = rng.uniform(0.0, 2.0 * math.pi, self.frequencies)
-        self.weights = self._mean_image(train)
-        place = max(0, math.ceil(self.nu * train.count()) - 1)
+        self.gamma = 1.0 / (n * variance) if variance > 0 else 1.0 / n
+        # different points with the smallest hashes: at most `landmarks` of them
+        chosen = train.withColumn("_place", F.xxhash64(*self.features)).distinct().orderBy("_place", *self.features).limit(self.landmarks)
+        self.points = chosen.drop("_place").toPandas().to_numpy(dtype=float).reshape(-1, n)
+        self.lift = np.eye(len(self.points))
+        values, vectors = np.linalg.eigh(self._map()(self.points))
+        kept = values > 1e-12 * values.max()
+        self.lift = vectors[:, kept] / np.sqrt(values[kept])
+        place = max(0, math.ceil(self.nu * total) - 1)
+        atoms = [self._mean_image(train)]
+        self.weights = atoms[0]
         for _ in range(self.MOST_STEPS):
             scored = train.withColumn("_margin", self._margin()).persist()
             edge = order_statistics(scored, "_margin", [place])[0]
-            pull = self._mean_image(scored.filter(F.col("_margin") <= F.lit(edge)))
+            # of the rows on the edge as many as fill the share, all alike
+            below, on = scored.agg(F.count_if(F.col("_margin") < edge), F.count_if(F.col("_margin") == edge)).first()
+            parts = [(below, F.col("_margin") < edge), (on, F.col("_margin") == edge)]
+            images = [(size, self._mean_image(scored.filter(condition))) for size, condition in parts if size]
             scored.unpersist()
-            apart = self.weights - pull
-            gap = float(self.weights @ apart)
-            if gap <= self.TOLERANCE * float(self.weights @ self.weights):
+            wanted = self.nu * total
+            pull = images[-1][1] if not below else (below * images[0][1] + (wanted - below) * images[1][1]) / wanted
+            self.gap = float(self.weights @ (self.weights - pull))
+            if self.gap <= self.TOLERANCE * float(self.weights @ self.weights):
                 break
-            self.weights = self.weights - apart * min(1.0, gap / float(apart @ apart))
+            atoms.append(pull)
+            shares = nearest_to_origin(np.array(atoms))
+            self.weights = shares @ np.array(atoms)
+            atoms = [a for a, s in zip(atoms, shares) if s > 0]
         self.set_threshold(train, self.nu)
-        train.unpersist()
         return self
 
     def with_score(self, df: DataFrame) -> DataFrame:
         return df.withColumn("outlier_score", -self._margin())
 
 
-def fit_one_class_svm(train: DataFrame, features, nu: float = 0.2, frequencies: int = 128, seed: int = 42) -> OneClassSvm:
-    return OneClassSvm(features, nu, frequencies, seed).fit(train)
+def fit_one_class_svm(train: DataFrame, features, nu: float = 0.2, landmarks: int = 256) -> OneClassSvm:
+    return OneClassSvm(features, nu, landmarks).fit(train)
 
 
 # ---- local outlier factor --------------------------------------------------

@@ -38,7 +38,7 @@ def predictions(scaled: DataFrame, contamination: float = 0.2, seed: int = 42) -
     models = {
         "IsolationForest": IsolationForest(COMPARISON_FEATURES, n_trees=50, contamination=contamination,
                                            seed=seed, key=("transaction_id",)).fit(normal),
-        "OneClassSVM": fit_one_class_svm(normal, features, nu=contamination, seed=seed),
+        "OneClassSVM": fit_one_class_svm(normal, features, nu=contamination),
         "LocalOutlierFactor": fit_local_outlier_factor(normal, features, k=2, contamination=contamination),
         "EllipticEnvelope": fit_elliptic_envelope(normal, features, contamination),
         "AutoEncoder": fit_linear_autoencoder(normal, features, contamination),

@@ -301,6 +301,40 @@ def test_robust_covariance_with_many_outliers(spark):
     assert np.allclose(found.outlier_score, ((centred @ np.linalg.inv(model.gaussian.covariance)) * centred).sum(axis=1))
 
 
+def dense_one_class(kernel, nu, rounds=200_000):
+    """The dual on the whole kernel matrix by pairwise steps: shares of at most 1 / (nu n)."""
+    n = len(kernel)
+    most = 1 / (nu * n)
+    alpha = np.full(n, 1 / n)
+    along = kernel @ alpha
+    for _ in range(rounds):
+        i = int(np.argmin(np.where(alpha < most - 1e-15, along, np.inf)))
+        j = int(np.argmax(np.where(alpha > 1e-15, along, -np.inf)))
+        if along[j] - along[i] < 1e-10:
+            break
+        step = min((along[j] - along[i]) / max(kernel[i, i] + kernel[j, j] - 2 * kernel[i, j], 1e-12), most - alpha[i], alpha[j])
+        alpha[i] += step
+        alpha[j] -= step
+        along += step * (kernel[i] - kernel[j])
+    return along
+
+
+def test_one_class_svm_equals_a_dense_solver(spark):
+    rng = np.random.default_rng(3)
+    points = np.vstack([rng.normal(size=(300, 2)), rng.normal(size=(180, 2)) * 0.4 + [3.0, 3.0], rng.uniform(-6, 6, (20, 2))])
+    frame = spark.createDataFrame(pd.DataFrame(points, columns=["a", "b"]).assign(id=range(500))).cache()
+    model = fit_one_class_svm(frame, ["a", "b"], nu=0.2, landmarks=500)
+    gamma = 1 / (2 * points.var())
+    kernel = np.exp(-gamma * ((points[:, None] - points[None]) ** 2).sum(axis=2))
+    dense = dense_one_class(kernel, 0.2)
+    found = model.transform(frame).toPandas().sort_values("id")
+    assert np.abs(-found.outlier_score.to_numpy() - dense).max() <= np.sqrt(max(model.gap, 0)) + 1e-6
+    assert found.prediction.sum() == 100
+    fewer = fit_one_class_svm(frame, ["a", "b"], nu=0.2, landmarks=60).transform(frame).toPandas().sort_values("id")
+    apart = np.abs(fewer.outlier_score.to_numpy() - found.outlier_score.to_numpy())
+    assert np.median(apart) < 0.002 and apart.max() < 0.1  # far points have no landmark beside them
+
+
 def test_comparison_on_small_tables(comparison_tables):
     labelled = comparison.labelled_features(*comparison_tables)
     assert sorted(r.transaction_id for r in labelled.filter("y_true = 1").collect()) == ["TXN-004", "TXN-005"]
