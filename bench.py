@@ -23,7 +23,7 @@ HEADLINES = [
     "table_summary", "recent_txns_topn", "recent_logs_topn", "merchant_diagnostics", "detect_risk_block",
     "detect_auth_failure", "detect_overload", "webhook_update", "ingest_validated", "iforest_frozen_scores",
     "iforest_fit_predict", "lof_scores", "topk_vectors", "chunk_documents", "transcript_audit", "transcript_repair",
-    "stream_features", "stream_scoring",
+    "stream_features", "stream_scoring", "detect_risk_block_sliding", "kb_search_documents", "quality_report", "webhook_update_stored",
 ]
 
 
