@@ -27,7 +27,9 @@ from ledgerpulse.llm.common import Sent, blank_words, held_out, least_step, stor
 
 VOCABULARY = 60_000
 STATES = 4
-ROUNDS = 2
+ROUNDS = 3
+#: Share with which a state follows itself before the first round.
+STAY = 0.99
 SEGMENT = 64
 SMOOTHING = 1.0
 #: Longer words are never symbols of their own, so the broadcast stays bounded.
@@ -117,11 +119,15 @@ class HiddenMarkovModel:
 
     @classmethod
     def initial(cls, unigram: np.ndarray, states: int) -> "HiddenMarkovModel":
-        """Near the unigram shares, each state leaning to its own part of the symbols."""
+        """Near the unigram shares, each state leaning to its own part of the symbols.
+
+        States stay with share `STAY`, so that a text is mostly told by one of them and states become kinds of texts.
+        """
         lean = np.array([[xxhash.xxh32_intdigest(f"{k} {s}") for s in range(states)] for k in range(len(unigram))]) / 2.0 ** 32
         emit = unigram[:, None] * (0.25 + lean) ** 2
-        move = 1.0 + np.array([[xxhash.xxh32_intdigest(f"{a} to {b}") for b in range(states)] for a in range(states)]) / 2.0 ** 32
-        return cls(np.full(states, 1.0 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+        move = np.full((states, states), (1 - STAY) / max(1, states - 1))
+        np.fill_diagonal(move, STAY if states > 1 else 1.0)
+        return cls(np.full(states, 1.0 / states), move, emit / emit.sum(0))
 
     def _segments(self, ids: list[np.ndarray]):
         """Padded symbols (pad -1) of all segments, owner of each, and whether it begins a text."""

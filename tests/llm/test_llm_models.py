@@ -239,3 +239,13 @@ def test_every_character_of_a_long_word_counts():
     assert set(quality.features(noise)[0]) - set(quality.features(clean)[0])
     a, b = (set(quality.features("x" * 70 + end)[0]) for end in ("9", "#"))
     assert len(a ^ b) > 4
+
+
+def test_hidden_states_tell_two_kinds_of_texts_apart(spark):
+    draw = np.random.default_rng(2)
+    kinds = [[f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]]
+    rows = [(i, " ".join(draw.choice(kinds[i % 2], 60)), i % 7 == 2) for i in range(210)]
+    scored = score_documents(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).filter("held_out").toPandas()
+    # a text draws from half of the words: the model should find nearly all of that bit per word
+    gain = (scored.score - scored.base_score).sum() / scored.n_tokens.sum()
+    assert gain > 0.8 * np.log10(2)
