@@ -259,6 +259,140 @@ def fit_linear_autoencoder(train: DataFrame, features, contamination: float = 0.
     return _Expression(Gaussian.fit(train, features).reconstruction_error(width)).set_threshold(train, contamination)
 
 
+# ---- auto-encoder with hidden layers ---------------------------------------
+
+class AutoEncoder(OutlierModel):
+    """Reconstruction error of a network: features, hidden layer, narrow layer, hidden layer, features (tanh, linear ends).
+
+    Loss and gradient of all rows are summed over the partitions in one pass; a few hundred numbers come back, and a limited-memory
+    quasi-Newton step (L-BFGS) moves the weights. A tenth of the rows, by their hash, is held out: steps end when its
+    loss has not fallen for `PATIENCE` steps, and the weights with its lowest loss stay. Features are standardised inside.
+    """
+
+    PATIENCE, MOST_STEPS, MEMORY = 10, 300, 12
+
+    def __init__(self, features, hidden: int, width: int, seed: int) -> None:
+        self.features, self.seed = list(features), seed
+        n = len(self.features)
+        self.shapes = [(n, hidden), (hidden,), (hidden, width), (width,), (width, hidden), (hidden,), (hidden, n), (n,)]
+        self.mean, self.scale = np.zeros(n), np.ones(n)
+        self.weights = np.zeros(sum(math.prod(s) for s in self.shapes))
+        self.steps = 0
+
+    def _network(self):
+        shapes, mean, scale = self.shapes, self.mean, self.scale
+
+        def layers(weights: np.ndarray) -> list[np.ndarray]:
+            at, out = 0, []
+            for shape in shapes:
+                out.append(weights[at:at + math.prod(shape)].reshape(shape))
+                at += math.prod(shape)
+            return out
+
+        def forward(weights: np.ndarray, rows: np.ndarray):
+            w1, b1, w2, b2, w3, b3, w4, b4 = layers(weights)
+            x = (rows - mean) / scale
+            first = np.tanh(x @ w1 + b1)
+            narrow = np.tanh(first @ w2 + b2)
+            second = np.tanh(narrow @ w3 + b3)
+            return x, first, narrow, second, second @ w4 + b4 - x
+
+        def gradient(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            _, _, w2, _, w3, _, w4, _ = layers(weights)
+            x, first, narrow, second, error = forward(weights, rows)
+            back = [2 * error]
+            for output, w in ((second, w4), (narrow, w3), (first, w2)):
+                back.append(back[-1] @ w.T * (1 - output * output))
+            parts = []
+            for given, delta in zip((x, first, narrow, second), reversed(back)):
+                parts += [(given.T @ delta).ravel(), delta.sum(axis=0)]
+            return np.concatenate(parts)
+
+        return forward, gradient
+
+    def _pass(self, rows: DataFrame, weights: np.ndarray) -> tuple[float, float, np.ndarray]:
+        """Mean loss of the training rows and of the held-out ones, and the gradient of the former."""
+        forward, gradient = self._network()
+        features, size = self.features, len(weights)
+
+        def sums(batches):
+            total = np.zeros(size + 4)
+            for batch in batches:
+                x, held = batch[features].to_numpy(dtype=float), batch["_held"].to_numpy(dtype=bool)
+                losses = (forward(weights, x)[-1] ** 2).sum(axis=1)
+                total[:4] += [(~held).sum(), losses[~held].sum(), held.sum(), losses[held].sum()]
+                total[4:] += gradient(weights, x[~held])
+            yield pd.DataFrame({"slot": np.arange(size + 4), "part": total})
+
+        found = rows.mapInPandas(sums, "slot int, part double").groupBy("slot").agg(F.sum("part").alias("v")).toPandas()
+        total = np.zeros(size + 4)
+        total[found["slot"]] = found["v"]
+        seen = max(total[0], 1.0)
+        return total[1] / seen, total[3] / total[2] if total[2] else total[1] / seen, total[4:] / seen
+
+    def fit(self, train: DataFrame, contamination: float) -> "AutoEncoder":
+        rows = train.select(*[F.col(c).cast("double").alias(c) for c in self.features])
+        held = F.pmod(F.xxhash64(*self.features, F.lit(self.seed)), F.lit(10)) == 0
+        rows = cut_lineage(rows.withColumn("_held", held))
+        scaler = Scaler.fit(rows, self.features)
+        self.mean, self.scale = np.array(scaler.mean), np.array(scaler.scale)
+        rng = np.random.default_rng(self.seed)
+        weights = np.concatenate([rng.normal(0, 1 / math.sqrt(s[0]), s).ravel() if len(s) == 2 else np.zeros(s) for s in self.shapes])
+        loss, outside, slope = self._pass(rows, weights)
+        best, self.weights, waited, pairs = outside, weights, 0, []
+        while waited < self.PATIENCE and self.steps < self.MOST_STEPS:
+            direction = -self._curved(slope, pairs)
+            reach = float(direction @ slope)
+            if reach >= 0:
+                direction, pairs, reach = -slope, [], -float(slope @ slope)
+            length = 1.0 if pairs else 1.0 / max(1.0, math.sqrt(-reach))
+            while True:
+                moved = self._pass(rows, weights + length * direction)
+                if moved[0] <= loss + 1e-4 * length * reach or length < 1e-8:
+                    break
+                length /= 2
+            self.steps += 1
+            change, turn = length * direction, moved[2] - slope
+            if change @ turn > 1e-12:
+                pairs = [*pairs, (change, turn)][-self.MEMORY:]
+            weights, (loss, outside, slope) = weights + change, moved
+            waited = 0 if outside < best * (1 - 1e-3) else waited + 1
+            if outside < best:
+                best, self.weights = outside, weights
+            if length < 1e-8:
+                break
+        return self.set_threshold(rows, contamination)
+
+    @staticmethod
+    def _curved(slope: np.ndarray, pairs: list) -> np.ndarray:
+        """The slope times the inverse curvature that the last moves tell (two-loop recursion)."""
+        q, used = slope.copy(), []
+        for s, y in reversed(pairs):
+            a = (s @ q) / (s @ y)
+            used.append(a)
+            q = q - a * y
+        if pairs:
+            s, y = pairs[-1]
+            q = q * ((s @ y) / (y @ y))
+        for (s, y), a in zip(pairs, reversed(used)):
+            q = q + s * (a - (y @ q) / (s @ y))
+        return q
+
+    def with_score(self, df: DataFrame) -> DataFrame:
+        (forward, _), weights = self._network(), self.weights
+
+        @pandas_udf("double")
+        def error(*columns: pd.Series) -> pd.Series:
+            block = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            return pd.Series((forward(weights, block)[-1] ** 2).sum(axis=1))
+        return df.withColumn("outlier_score", error(*[F.col(c).cast("double") for c in self.features]))
+
+
+def fit_autoencoder(train: DataFrame, features, contamination: float = 0.1, hidden: int = 16, width: int | None = None, seed: int = 42) -> AutoEncoder:
+    features = list(features)
+    return AutoEncoder(features, hidden, width or max(1, len(features) - 1), seed).fit(train, contamination)
+
+
 # ---- one-class SVM ---------------------------------------------------------
 
 def nearest_to_origin(atoms: np.ndarray, rounds: int = 10_000, tolerance: float = 1e-12) -> np.ndarray:

@@ -335,6 +335,25 @@ def test_one_class_svm_equals_a_dense_solver(spark):
     assert np.median(apart) < 0.002 and apart.max() < 0.1  # far points have no landmark beside them
 
 
+def test_a_network_follows_a_curve_that_a_plane_cannot(spark):
+    rng = np.random.default_rng(5)
+    angle = rng.uniform(0.3, 2 * np.pi - 0.3, 600)
+    arc = np.column_stack([np.cos(angle), np.sin(angle)]) + rng.normal(size=(600, 2)) * 0.02
+    planted = np.column_stack([rng.uniform(-0.25, 0.25, 30), rng.uniform(-0.25, 0.25, 30)])  # inside the arc, near its mean
+    frame = spark.createDataFrame(pd.DataFrame(np.vstack([arc, planted]), columns=["a", "b"]).assign(id=range(630))).cache()
+    normal = frame.filter("id < 600")
+    network = outliers.fit_autoencoder(normal, ["a", "b"], 0.05, width=1)
+    found = network.transform(frame).toPandas()
+    assert found[found.id >= 600].prediction.mean() > 0.9 and found[found.id < 600].prediction.mean() <= 0.051
+    line = fit_linear_autoencoder(normal, ["a", "b"], 0.05, components=1).transform(frame).toPandas()
+    assert line[line.id >= 600].prediction.mean() < 0.1
+    x = rng.normal(size=(7, 2))
+    _, gradient = network._network()
+    loss = lambda w: float((network._network()[0](w, x)[-1] ** 2).sum())
+    step = rng.normal(size=len(network.weights))
+    assert (loss(network.weights + 1e-6 * step) - loss(network.weights - 1e-6 * step)) / 2e-6 == pytest.approx(gradient(network.weights, x) @ step, rel=1e-4)
+
+
 def test_comparison_on_small_tables(comparison_tables):
     labelled = comparison.labelled_features(*comparison_tables)
     assert sorted(r.transaction_id for r in labelled.filter("y_true = 1").collect()) == ["TXN-004", "TXN-005"]
