@@ -29,7 +29,7 @@ ROUNDS = 3
 #: A word of more characters also counts as n-grams of `LONG_GRAM` characters.
 LONG_WORD, LONG_GRAM = 64, 3
 #: Short words whose hashes a worker remembers.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 40_000
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-3
 _RUNS = re.compile(r"([A-ZÀ-ÖØ-Þ]+)|([^\W\d_]+)|(\d+)|(\W|_)\4*")
