@@ -83,7 +83,7 @@ def document_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     if len(known) > KEPT_TERMS:
                         known.clear()
                     counts = Counter(words)
-                    for t in counts.keys() - known.keys():
+                    for t in [t for t in counts if t not in known]:
                         place = xxhash.xxh64_intdigest(t) % FILTER_BITS
                         known[t] = bool(held[place >> 6] >> (place & 63) & 1)
                     some = [t for t in counts if known[t]]
