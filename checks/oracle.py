@@ -432,7 +432,7 @@ ORACLES: dict[str, str] = {
         86400, "small_txns >= 2", ["small_txns", "test_codes"])),
     "detect_issuer_outage_sliding": _sql("t", _bursts("select * from t", "card_bin",
         {"txns": "1", "issuer_down": "cast(coalesce(decline_code = '91_Issuer_Switch_Inoperative', false) as int)"},
-        7200, "txns >= 5 and issuer_down / txns::double >= 0.1", ["issuer_down"])),
+        86400, "txns >= 5 and issuer_down / txns::double >= 0.1", ["issuer_down"])),
     "detect_overload_sliding": _sql("j", _bursts("""select merchant_id, "timestamp", log_id is not null as has_log,
  coalesce(http_status = 504 and latency_ms > 5000, false) as over from j""", "merchant_id",
         {"txns": "1", "logs": "cast(has_log as int)", "overloaded": "cast(over as int)"}, 86400,

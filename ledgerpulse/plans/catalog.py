@@ -588,7 +588,7 @@ def detect_card_testing_sliding(spark, d):
 
 @query
 def detect_issuer_outage_sliding(spark, d):
-    return _plain_times(sliding.issuer_outage_bursts(_txns(spark, d), "2 hours", 5, 0.1))
+    return _plain_times(sliding.issuer_outage_bursts(_txns(spark, d), "1 day", 5, 0.1))
 
 
 @query
