@@ -15,6 +15,7 @@ from below and removes pairs that cannot be similar inside the join.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -255,13 +256,59 @@ def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame,
     return both.filter(F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * percent).select("a", "b")
 
 
+class GramFilter(IdFilter):
+    """The test for n-grams: their upper bits are their place, as they are hashes already."""
+
+    def place(self, column: Column) -> Column:
+        return F.shiftrightunsigned(column, 65 - self.bits.bit_length())
+
+    def holds_grams(self, grams: np.ndarray) -> np.ndarray:
+        return self.holds((grams.view(np.uint64) >> np.uint64(65 - self.bits.bit_length())).astype(np.int64))
+
+
+def _holders(classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, gram, and the columns of `wanted`) for the wanted n-grams; others do not leave their task, as far as a filter can tell."""
+    test = GramFilter(wanted, "gram")
+    schema = pa.schema([("c", pa.int64()), ("gram", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(1)
+            grams = prefix.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(batch.column(0).to_numpy(), prefix.value_lengths().to_numpy(zero_copy_only=False))
+            kept = test.holds_grams(grams)
+            yield pa.RecordBatch.from_arrays([pa.array(owner[kept]), pa.array(grams[kept])], schema=schema)
+
+    return classes.select("c", "prefix").mapInArrow(run, "c long, gram long").join(wanted, "gram")
+
+
+def _near(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (c, leader) that sizes and sketches allow to be similar, with their distance as a share of both sizes.
+
+    Sizes go first, so that few pairs carry sketches.
+    """
+    n_x, n_y = known.select("c", F.col("n").alias("n_c")), known.select(F.col("c").alias("leader"), F.col("n").alias("n_leader"))
+    like = pairs.select("c", "leader").join(n_x, "c").join(n_y, "leader").filter(_similar("n_c", "n_leader", F.lit(0), percent))
+    x, y = known.alias("x"), known.withColumnRenamed("c", "leader").alias("y")
+    return (like.select("c", "leader").join(y, "leader").join(x, "c").withColumn("distance", _distance("x", "y"))
+            .filter(_similar("x.n", "y.n", F.col("distance"), percent))
+            .select("c", "leader", (F.col("distance") / (F.col("x.n") + F.col("y.n"))).alias("distance")))
+
+
 def _class_components(docs: DataFrame, classes: DataFrame, sets: DataFrame, sent, words: int, percent: int) -> DataFrame:
-    """(c, root) of the sets that link with another one."""
+    """(c, root) of the sets that link with another one.
+
+    An n-gram of two sets is one pair, which the count of its sets names at once. Only n-grams of three sets or more need
+    the list of their sets.
+    """
     spark = docs.sparkSession
     grams = classes.select("c", F.explode("prefix").alias("gram"))
-    shared = grams.groupBy("gram").agg(F.count("c").alias("held_by")).filter("held_by > 1")
-    hits = stored(grams.join(shared, "gram"), "shingle-hits")
-    known = stored(classes.select("c", "n", *_SKETCH).join(hits.select("c").distinct(), "c", "left_semi"), "shingle-sizes")
+    shared = stored(grams.groupBy("gram").agg(F.count("c").alias("held_by"), F.min("c").alias("low"), F.max("c").alias("high"))
+                    .filter("held_by > 1"), "shingle-shared-grams")
+    known = classes.select("c", "n", *_SKETCH)
+    couples = stored(_near(shared.filter("held_by = 2").select(F.col("high").alias("c"), F.col("low").alias("leader")).distinct(),
+                           known, percent), "shingle-couples")
+    hits = stored(_holders(classes, shared.filter("held_by > 2").select("gram", "held_by")), "shingle-hits")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "c long, root long")
 
@@ -275,29 +322,31 @@ def _class_components(docs: DataFrame, classes: DataFrame, sets: DataFrame, sent
         met = (hits.join(leaders, "gram").filter("c <> leader").groupBy("c", "leader").agg(F.max("held_by").alias("held_by"))
                .withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("held_by"), F.xxhash64("leader", F.lit(turn)))))
                .filter(F.col("k") <= LEADERS))
-        near = _apart(met.select("c", "leader"), labels)
-        x, y = known.alias("x"), known.withColumnRenamed("c", "leader").alias("y")
-        near = (near.join(x, "c").join(y, "leader").withColumn("distance", _distance("x", "y"))
-                .filter(_similar("x.n", "y.n", F.col("distance"), percent))
-                .groupBy("c").agg(F.min_by("leader", F.col("distance") / (F.col("x.n") + F.col("y.n"))).alias("leader")))
+        near = (_near(_apart(met, labels), known, percent).unionByName(_apart(couples, labels))
+                .groupBy("c").agg(F.min_by("leader", "distance").alias("leader")))
         one_way = near.groupBy(F.least("c", "leader").alias("low"), F.greatest("c", "leader").alias("high")).agg(F.min("leader").alias("b"))
         links, labels = verified(one_way.select(F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("a"), "b"))
-    # every pair that is still in two components
+    # every pair that is still in two components; lists are cut by size, so that a common n-gram is many small joins
     rooted = hits.select("gram", "c").join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
     open_grams = rooted.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("gram")
-    left_over = stored(rooted.join(open_grams, "gram", "left_semi").join(known, "c"), "shingle-open")
-    x, y = left_over.alias("x"), left_over.alias("y")
-    return verified(
-        x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") > F.col("y.c")) & (F.col("x.root") != F.col("y.root"))
-               & _similar("x.n", "y.n", _distance("x", "y"), percent))
-        .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct())[1]
+    # similar sets are less than one step apart, rounding included
+    step = F.floor(F.log(F.col("n").cast("double")) * ((1 - 1e-9) / math.log(max(100 / percent, 1.01)))).cast("int")
+    left_over = stored(rooted.join(open_grams, "gram", "left_semi").join(known, "c").withColumn("step", step), "shingle-open")
+    x = left_over.alias("x")
+    y = left_over.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") + 1))).alias("y")
+    rest = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.step") == F.col("y.step")) & (F.col("x.root") != F.col("y.root"))
+                   & ((F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.c") > F.col("y.c")))
+                   & _similar("x.n", "y.n", _distance("x", "y"), percent))
+            .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
+    return verified(rest.unionByName(_apart(couples, labels).select(F.col("c").alias("a"), F.col("leader").alias("b"))).distinct())[1]
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (c, leader) that are not in one component yet."""
+    """The pairs (c, leader) that are not in one component yet."""
+    columns = pairs.columns
     mine, other = labels, labels.select(F.col("c").alias("leader"), F.col("root").alias("other_root"))
     return (pairs.join(mine, "c", "left").join(other, "leader", "left")
-            .filter(F.coalesce("root", "c") != F.coalesce("other_root", "leader")).select("c", "leader"))
+            .filter(F.coalesce("root", "c") != F.coalesce("other_root", "leader")).select(*columns))
 
 
 def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -141,3 +141,24 @@ def test_packed_grams():
     grams = np.random.default_rng(1).integers(0, 2 ** 63, 100).astype(np.uint64)
     assert (ngram_join._unpacked(ngram_join._packed(grams)) == np.sort(grams >> np.uint64(16))).all()
     assert len(ngram_join._unpacked(b"")) == 0
+
+
+def test_a_common_passage_of_texts_of_many_lengths(spark):
+    """The n-grams of the passage are in nearly all prefixes, and only texts of like length are similar."""
+    draw = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"t{draw.randint(0, 10 ** 6)}" for _ in range(i % 40)]), "en") for i in range(60)]
+    assert _result(similarity_components(documents(spark, rows))) == brute_force(rows)
+
+
+@pytest.mark.parametrize("percent", [60, 100])
+def test_other_thresholds(spark, percent):
+    rows = near_copies(5, groups=3, members=5)
+    assert _result(similarity_components(documents(spark, rows), percent=percent)) == brute_force(rows, percent)
+
+
+def test_the_filter_of_grams_lets_all_through(spark):
+    grams = shingles(" ".join(f"w{i}" for i in range(3000))).view(np.int64)
+    wanted = spark.createDataFrame([(int(g),) for g in grams[::9]], "gram long")
+    kept = ngram_join.GramFilter(wanted, "gram").holds_grams(grams)
+    assert kept[::9].all() and kept.mean() < 0.3
