@@ -40,6 +40,8 @@ _CHUNK = 8192
 LEADERS = 12
 ROUNDS = 2
 _SKETCH = [f"s{i}" for i in range(8)]
+#: Sets from this size on have a wide sketch besides, as theirs differ in more n-grams than 512 parities can show.
+WIDE_FROM = 1000
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -84,9 +86,9 @@ class GlobalOrder:
         return hashes[order], np.searchsorted(self.pivots, rank[order], side="right")
 
 
-def sketch_of(hashes: np.ndarray) -> np.ndarray:
-    """512 parities of the set; the Hamming distance of two sketches never exceeds their sets' difference."""
-    odd = (np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+def sketch_of(hashes: np.ndarray, bits: int = 9) -> np.ndarray:
+    """512 (2^bits) parities of the set; the Hamming distance of two sketches never exceeds their sets' difference."""
+    odd = (np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(">i8").astype(np.int64)
 
 
@@ -149,12 +151,12 @@ def _representatives(rows: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int, percent: int) -> DataFrame:
-    """(c, n, sketch, prefix) of every set.
+    """(c, n, sketch, wide sketch or null, prefix) of every set.
 
     Most documents are alone with their set and carry its number themselves. Copies and rows that share a
     doc_id find theirs in a join; the others never leave their task.
     """
-    kinds = [("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), *[(k, pa.int64()) for k in _SKETCH]]
+    kinds = [("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), *[(k, pa.int64()) for k in _SKETCH]]
     schema = pa.schema(kinds)
 
     copies = rows.join(sets.select("class", F.col("doc_id").alias("first")), "class").filter("doc_id <> first").select("doc_id")
@@ -165,7 +167,7 @@ def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                ids, classes, sizes, prefixes, sketches = [], [], [], [], []
+                ids, classes, sizes, prefixes, wide, sketches = [], [], [], [], [], []
                 for i in np.flatnonzero(shared.holds(batch.column(2).to_numpy()) == held).tolist():
                     doc_id, found = batch.column(0)[i], shingles(batch.column(1)[i].as_py(), words)
                     if len(found):
@@ -173,15 +175,16 @@ def _classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, sent, words: int
                         classes.append(_class_of(found))
                         sizes.append(len(found))
                         prefixes.append(sent.value.sort(found)[0][:len(found) - needed(len(found), percent) + 1].view(np.int64))
+                        wide.append(sketch_of(found, 12) if len(found) >= WIDE_FROM else None)
                         sketches.append(sketch_of(found))
                 marks = np.array(sketches, np.int64).reshape(-1, 8)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(ids, pa.int64()), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64())),
                     *[pa.array(marks[:, i]) for i in range(8)]], schema=schema)
 
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", shared.place(F.col("doc_id")))
-    kind = "doc_id long, class binary, n long, prefix array<long>, " + ", ".join(f"{k} long" for k in _SKETCH)
-    columns = ["c", "n", *_SKETCH, "prefix"]
+    kind = "doc_id long, class binary, n long, prefix array<long>, wide array<long>, " + ", ".join(f"{k} long" for k in _SKETCH)
+    columns = ["c", "n", *_SKETCH, "wide", "prefix"]
     alone = texts.mapInArrow(lambda batches: run(batches, False), kind).withColumnRenamed("doc_id", "c").select(*columns)
     others = texts.mapInArrow(lambda batches: run(batches, True), kind).join(sets.select("c", "class", "doc_id"), ["doc_id", "class"]).dropDuplicates(["c"])
     return stored(alone.unionByName(others.select(*columns)), "shingle-classes")
@@ -233,6 +236,11 @@ def _distance(a: str, b: str) -> Column:
     return total
 
 
+def _wide_distance(a: str, b: str) -> Column:
+    """Distance of the wide sketches; null if a set has none."""
+    return F.aggregate(F.zip_with(f"{a}.wide", f"{b}.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, n: total + n)
+
+
 def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame, sent, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar: partial overlaps of each fragment, summed per pair.
 
@@ -290,7 +298,7 @@ def _near(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     n_x, n_y = known.select("c", F.col("n").alias("n_c")), known.select(F.col("c").alias("leader"), F.col("n").alias("n_leader"))
     like = pairs.select("c", "leader").join(n_x, "c").join(n_y, "leader").filter(_similar("n_c", "n_leader", F.lit(0), percent))
     x, y = known.alias("x"), known.withColumnRenamed("c", "leader").alias("y")
-    return (like.select("c", "leader").join(y, "leader").join(x, "c").withColumn("distance", _distance("x", "y"))
+    return (like.select("c", "leader").join(y, "leader").join(x, "c").withColumn("distance", F.greatest(_distance("x", "y"), _wide_distance("x", "y")))
             .filter(_similar("x.n", "y.n", F.col("distance"), percent))
             .select("c", "leader", (F.col("distance") / (F.col("x.n") + F.col("y.n"))).alias("distance")))
 
@@ -305,7 +313,7 @@ def _class_components(docs: DataFrame, classes: DataFrame, sets: DataFrame, sent
     grams = classes.select("c", F.explode("prefix").alias("gram"))
     shared = stored(grams.groupBy("gram").agg(F.count("c").alias("held_by"), F.min("c").alias("low"), F.max("c").alias("high"))
                     .filter("held_by > 1"), "shingle-shared-grams")
-    known = classes.select("c", "n", *_SKETCH)
+    known = classes.select("c", "n", *_SKETCH, "wide")
     couples = stored(_near(shared.filter("held_by = 2").select(F.col("high").alias("c"), F.col("low").alias("leader")).distinct(),
                            known, percent), "shingle-couples")
     hits = stored(_holders(classes, shared.filter("held_by > 2").select("gram", "held_by")), "shingle-hits")
@@ -331,14 +339,15 @@ def _class_components(docs: DataFrame, classes: DataFrame, sets: DataFrame, sent
     open_grams = rooted.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("gram")
     # similar sets are less than one step apart, rounding included
     step = F.floor(F.log(F.col("n").cast("double")) * ((1 - 1e-9) / math.log(max(100 / percent, 1.01)))).cast("int")
-    left_over = stored(rooted.join(open_grams, "gram", "left_semi").join(known, "c").withColumn("step", step), "shingle-open")
+    left_over = stored(rooted.join(open_grams, "gram", "left_semi").join(known.drop("wide"), "c").withColumn("step", step), "shingle-open")
     x = left_over.alias("x")
     y = left_over.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") + 1))).alias("y")
     rest = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.step") == F.col("y.step")) & (F.col("x.root") != F.col("y.root"))
                    & ((F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.c") > F.col("y.c")))
                    & _similar("x.n", "y.n", _distance("x", "y"), percent))
-            .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
-    return verified(rest.unionByName(_apart(couples, labels).select(F.col("c").alias("a"), F.col("leader").alias("b"))).distinct())[1]
+            .select(F.col("x.c").alias("c"), F.col("y.c").alias("leader")).distinct())
+    last = _near(rest, known, percent).unionByName(_apart(couples, labels))
+    return verified(last.select(F.col("c").alias("a"), F.col("leader").alias("b")).distinct())[1]
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

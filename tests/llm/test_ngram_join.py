@@ -162,3 +162,18 @@ def test_the_filter_of_grams_lets_all_through(spark):
     wanted = spark.createDataFrame([(int(g),) for g in grams[::9]], "gram long")
     kept = ngram_join.GramFilter(wanted, "gram").holds_grams(grams)
     assert kept[::9].all() and kept.mean() < 0.3
+
+
+def test_long_texts_with_wide_sketches(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "WIDE_FROM", 1300)
+    draw = random.Random(3)
+    rows = []
+    for k in range(4):
+        base = [f"w{draw.randint(0, 5000)}" for _ in range(1200 + 100 * k)]
+        for m in range(4):
+            words = list(base)
+            for _ in range(12 * m):
+                words[draw.randrange(len(words))] = f"e{draw.randint(0, 9999)}"
+            rows.append((len(rows), " ".join(words + ["a", "shared", "end", "of", "every", "text"]), "en"))
+    expected = brute_force(rows)
+    assert _result(similarity_components(documents(spark, rows))) == expected
