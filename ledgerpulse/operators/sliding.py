@@ -2,8 +2,9 @@
 
 Events are first summed per key and second, so a key that holds most rows sends at most one row per second and map task.
 Seconds are dealt to (key, bucket) groups, a bucket being some windows long; those of the last window before a bucket's
-end also go to the next bucket as a halo. A range frame inside a group then sees every second its windows
-need, no group has more rows than a bucket and a window have seconds, and a hot key is spread over its buckets.
+end also go to the next bucket as a halo. Every second enters a group's running total with its numbers and leaves it one
+window later with their negatives, so a window's total is the running one: one step per row, however many seconds a window
+has. No group has more than two rows for each second of a bucket and a window, and a hot key is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -43,8 +44,12 @@ def sliding_totals(events: DataFrame, key: str, sums: dict[str, Column], window:
     reaches_next = F.col("at") + width - 1 >= (bucket + 1) * span
     dealt = seconds.withColumn("halo", F.explode(F.when(reaches_next, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).withColumn(
         "bucket", bucket + F.col("halo"))
-    frame = Window.partitionBy(key, "bucket").orderBy("at").rangeBetween(1 - width, 0)
-    return dealt.select(key, "at", "halo", *[F.sum(name).over(frame).alias(name) for name in sums]).filter("halo = 0").drop("halo")
+    # a frame that moves would be summed anew for every row; whole numbers leave no remainder
+    come = F.struct(F.col("at"), (F.col("halo") == 0).alias("asked"), *sums)
+    go = F.struct((F.col("at") + width).alias("at"), F.lit(False).alias("asked"), *[(-F.col(name)).alias(name) for name in sums])
+    moves = dealt.select(key, "bucket", F.inline(F.array(come, go)))
+    frame = Window.partitionBy(key, "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return moves.select(key, "at", "asked", *[F.sum(name).over(frame).alias(name) for name in sums]).filter("asked").drop("asked")
 
 
 def bursts(totals: DataFrame, key: str, condition: Column, window: str, peaks: list[str]) -> DataFrame:

@@ -67,3 +67,12 @@ def test_windows_that_touch_are_one_burst(spark):
     totals = sliding.sliding_totals(events, "k", {"n": F.lit(1)}, "10 seconds")
     found = sliding.bursts(totals, "k", F.col("n") >= 1, "10 seconds", ["n"]).orderBy("burst_start").collect()
     assert [(r.burst_start.second, r.burst_end.second, r.windows, r.peak_n) for r in found] == [(51, 10, 2, 1), (12, 22, 2, 2)]
+
+
+def test_a_full_day_takes_one_step_per_second(spark):
+    """A frame that moves is summed anew for every row: a day of seconds would be 86,400 sums of up to 86,400 rows."""
+    events = spark.range(0, 3 * 86_400, 2).select(F.lit("a").alias("k"), F.timestamp_seconds("id").alias("timestamp"))
+    totals = sliding.sliding_totals(events, "k", {"n": F.lit(1)}, "1 day")
+    plan = totals._jdf.queryExecution().analyzed().toString()
+    assert "unboundedpreceding" in plan and "RangeFrame, -" not in plan
+    assert totals.filter(F.col("n") != F.least(F.floor(F.col("at") / 2) + 1, F.lit(43_200))).count() == 0 and totals.count() == 3 * 43_200
