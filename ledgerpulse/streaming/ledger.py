@@ -19,8 +19,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerpulse.functions.expressions import safe_divide
 from ledgerpulse.operators.sliding import window_seconds
@@ -37,64 +37,52 @@ _EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class LedgerProcessor(StatefulProcessor):
-    """The state of one key; times are seconds since 1970."""
+class LedgerProcessor:
+    """What becomes of the rows of one key; times are seconds since 1970.
+
+    The state goes to the task and back with the rows, as one value per key: asking the store for each transaction by
+    itself takes far longer than judging it.
+    """
+
+    #: Newest event time; transactions and the processing time (ms) until which each is known; open windows and their totals.
+    STATE = "clock long, seen array<string>, until array<long>, starts array<long>, totals array<long>"
 
     def __init__(self, window: int, delay: int, remember_ms: int, quiet_ms: int, slow_ms: int) -> None:
         self.window, self.delay, self.slow_ms = window, delay, slow_ms
-        self.remember_ms, self.quiet_ms = remember_ms, quiet_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getMapState("seen", "transaction_id string", "at long", ttlDurationMs=self.remember_ms)
-        self.clock = handle.getValueState("clock", "at long")
-        self.timer = handle.getValueState("timer", "expiry long")
-        self.open = handle.getMapState("open", "window_start long", ", ".join(f"{t} long" for t in _TOTALS))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        before = self.clock.get()[0] if self.clock.exists() else None
-        newest, added = before, {}
-        for part in rows:
-            kinds = []
-            for row in part.itertuples():
-                name = (row.transaction_id,)
-                if self.seen.containsKey(name):
-                    kinds.append("duplicate")
-                elif before is not None and row.at < before - self.delay:
-                    kinds.append("late")
-                else:
-                    kinds.append("event")
-                    self.seen.updateValue(name, (int(row.at),))
-                    newest = int(row.at) if newest is None else max(newest, int(row.at))
-                    status, latency = row.http_status, row.latency_ms
-                    totals = added.setdefault(int(row.at) // self.window * self.window, [0] * len(_TOTALS))
-                    for i, counts in enumerate((True, not pd.isna(status), status == 401, status == 504 and latency > self.slow_ms)):
-                        totals[i] += bool(counts)
-            yield part.assign(kind=kinds, **dict.fromkeys(["window_start", *_TOTALS]))[_COLUMNS]
-        if newest is not None:
-            self.clock.update((newest,))
-        for start, totals in added.items():
-            held = self.open.getValue((start,)) if self.open.containsKey((start,)) else [0] * len(_TOTALS)
-            self.open.updateValue((start,), tuple(a + b for a, b in zip(held, totals)))
-        expiry = timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms
-        self.handle.registerTimer(expiry)
-        self.timer.update((expiry,))
-        yield self._close(key, newest)
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.timer.exists() and self.timer.get()[0] == expiredTimerInfo.getExpiryTimeInMs():  # later rows have set a later one
-            yield self._close(key, None)
-
-    def _close(self, key, newest: int | None) -> pd.DataFrame:
-        """Takes the windows out that the key's time has passed, or all of them."""
-        done = [(k[0], tuple(v)) for k, v in self.open.iterator() if newest is None or k[0] + self.window + self.delay <= newest]
-        for start, _ in done:
-            self.open.removeKey((start,))
-        out = pd.DataFrame([["window", key[0], key[1], None, None, None, None, start, *totals] for start, totals in done], columns=_COLUMNS)
-        return out.astype({c: "Int64" for c in ("at", "http_status", "latency_ms", "window_start", *_TOTALS)})
-
-    def close(self) -> None:
-        pass
+        self.remember_ms, self.quiet_ms = remember_ms, max(1, quiet_ms)
+
+    def __call__(self, key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, width = state.getCurrentProcessingTimeMs(), len(_TOTALS)
+        before, ids, until, starts, held = state.get if state.exists else (None, [], [], [], [])
+        seen = {name: end for name, end in zip(ids, until) if end > now}
+        windows = {start: list(held[i * width:(i + 1) * width]) for i, start in enumerate(starts)}
+        newest, out = before, []
+        if not state.hasTimedOut:
+            for part in rows:
+                for name, at, status, latency in zip(*(part[c].tolist() for c in ("transaction_id", "at", "http_status", "latency_ms"))):
+                    at, status, latency = int(at), None if pd.isna(status) else int(status), None if pd.isna(latency) else int(latency)
+                    if name in seen:
+                        kind = "duplicate"
+                    elif before is not None and at < before - self.delay:
+                        kind = "late"
+                    else:
+                        kind = "event"
+                        seen[name] = now + self.remember_ms
+                        newest = at if newest is None else max(newest, at)
+                        totals = windows.setdefault(at // self.window * self.window, [0] * width)
+                        for i, counts in enumerate((True, status is not None, status == 401, status == 504 and latency is not None and latency > self.slow_ms)):
+                            totals[i] += counts
+                    out.append((kind, *key, name, at, status, latency, None, *[None] * width))
+        # the windows that the key's time has passed, or all of them
+        for start in [s for s in windows if state.hasTimedOut or newest is not None and s + self.window + self.delay <= newest]:
+            out.append(("window", *key, None, None, None, None, start, *windows.pop(start)))
+        state.update((newest, list(seen), list(seen.values()), list(windows), [n for totals in windows.values() for n in totals]))
+        if not state.hasTimedOut:
+            state.setTimeoutDuration(self.quiet_ms)
+        elif seen:  # nothing is open: come back when the last transaction is forgotten
+            state.setTimeoutDuration(max(1, max(seen.values()) - now))
+        if out:
+            yield pd.DataFrame(out, columns=_COLUMNS, dtype=object)
 
 
 def shard_of(transaction_id: str = "transaction_id") -> Column:
@@ -113,13 +101,14 @@ def ledger_rows(deliveries: DataFrame, window: str = "1 hour", delay: str = "10
         F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / 1_000_000).alias("at"), F.col("http_status").cast("int"), F.col("latency_ms").cast("int"))
     processor = LedgerProcessor(window_seconds(window), window_seconds(delay), 1000 * window_seconds(remember), 1000 * quiet_seconds, slow_ms)
     return (rows.filter("transaction_id is not null and merchant_id is not null and at is not null")
-            .groupBy("merchant_id", "shard").transformWithStateInPandas(processor, _ROW, "Append", "ProcessingTime"))
+            .groupBy("merchant_id", "shard")
+            .applyInPandasWithState(lambda key, parts, state: processor(key, parts, state), _ROW, processor.STATE, "append", GroupStateTimeout.ProcessingTimeTimeout))
 
 
 def start_ledger(rows: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Store ledger rows by kind, each batch in a folder of its own: a batch that is run again replaces what it stored.
 
-    The query keeps its state in RocksDB, as timers and expiry need; other queries of the session are not touched. With a
+    The query keeps its state in RocksDB, on disk beside the tasks; other queries of the session are not touched. With a
     trigger that ends (availableNow) timers go off in batches that have new files; without end also in empty ones.
     """
     spark = rows.sparkSession

@@ -44,3 +44,40 @@ def test_every_row_comes_out_once(spark, tmp_path):
 def test_nothing_stored_yet(spark, tmp_path):
     assert ledger.read_ledger(spark, str(tmp_path / "none")).count() == 0
     assert ledger.live_windows(ledger.read_ledger(spark, str(tmp_path / "none"))).count() == 0
+
+
+class OneValue:
+    """The state of a key as the task sees it; counts how often it is fetched and stored."""
+
+    def __init__(self, held=None, now=1_000, hasTimedOut=False):
+        self.held, self.now, self.hasTimedOut, self.stored, self.timeout = held, now, hasTimedOut, 0, None
+
+    exists = property(lambda self: self.held is not None)
+    get = property(lambda self: self.held)
+
+    def update(self, value):
+        self.held, self.stored = value, self.stored + 1
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+
+def test_the_state_is_stored_once_however_many_rows_come():
+    import pandas as pd
+
+    judge = ledger.LedgerProcessor(600, 300, 10_000, 0, 5000)
+    part = pd.DataFrame({"transaction_id": [f"T{i}" for i in range(20_000)], "at": 60, "http_status": 200, "latency_ms": [None] * 20_000})
+    state = OneValue()
+    out = pd.concat(judge(("m", 0), iter([part, part.head(5)]), state))
+    assert state.stored == 1 and out["kind"].value_counts().to_dict() == {"event": 20_000, "duplicate": 5}
+    state = OneValue(state.held, now=2_000, hasTimedOut=True)
+    out = pd.concat(judge(("m", 0), iter([]), state))
+    assert out[["kind", "window_start", "txns", "logs"]].values.tolist() == [["window", 0, 20_000, 20_000]]
+    assert state.timeout == 9_000  # comes back when the transactions are forgotten
+    state = OneValue(state.held, now=11_000, hasTimedOut=True)
+    assert list(judge(("m", 0), iter([]), state)) == [] and state.held == (60, [], [], [], []) and state.timeout is None
+    late = judge(("m", 0), iter([part.head(1).assign(at=-241), part.head(1)]), OneValue(state.held, now=12_000))
+    assert pd.concat(late)["kind"].tolist() == ["late", "event"]
