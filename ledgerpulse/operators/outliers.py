@@ -18,9 +18,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerpulse.operators.neighbours import PartitionTree, distinct_points
-from ledgerpulse.operators.quantiles import exact_quantiles, order_statistics
+from ledgerpulse.operators.quantiles import exact_quantiles, weighted_order_statistics, weighted_quantiles
 from ledgerpulse.session import cut_lineage
 
+#: Number of equal rows that a row of a merged table stands for.
+COPIES = "_copies"
+
+
+def merged(train: DataFrame, features) -> DataFrame:
+    """Each point once with its number of copies, stored; fitting then reads as many rows as there are different points."""
+    points = distinct_points(train, list(features)).withColumnRenamed("w", COPIES)
+    return cut_lineage(points.sortWithinPartitions(*features))
+
+
+def _copies(df: DataFrame) -> Column:
+    return F.col(COPIES) if COPIES in df.columns else F.lit(1)
+
+
+def _quantile(df: DataFrame, column, probability: float) -> float | None:
+    if COPIES in df.columns:
+        return weighted_quantiles(df, column, COPIES, [probability])[0]
+    return exact_quantiles(df, column, [probability])[0]
+
 
 @dataclass
 class Scaler:
@@ -64,6 +83,23 @@ class Gaussian:
             cov[i, j] = cov[j, i] = value or 0.0
         return Gaussian(features, np.array([v or 0.0 for v in row[:n]], dtype=float), cov)
 
+    @staticmethod
+    def fit_merged(points: DataFrame, features, near) -> "Gaussian":
+        """The same of a merged table; `near`, some point near the mean, keeps the sums small."""
+        features, w = list(features), F.col(COPIES)
+        n = len(features)
+        x = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(features, near)]
+        pairs = [(i, j) for i in range(n) for j in range(i, n)]
+        total, *found = points.agg(F.sum(w), *[F.min(c) for c in features], *[F.max(c) for c in features],
+                                   *[F.sum(w * v) for v in x], *[F.sum(w * x[i] * x[j]) for i, j in pairs]).first()
+        found = np.array([v or 0.0 for v in found], dtype=float)
+        least, most, sums = found[:n], found[n:2 * n], found[2 * n:] / max(total or 0, 1)
+        same = least == most  # a constant column varies by exactly nothing
+        cov = np.zeros((n, n))
+        for (i, j), value in zip(pairs, sums[n:]):
+            cov[i, j] = cov[j, i] = 0.0 if same[i] or same[j] else value - sums[i] * sums[j]
+        return Gaussian(features, np.where(same, least, np.array(near, dtype=float) + sums[:n]), cov)
+
     def centred(self) -> list[Column]:
         return [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(self.features, self.mean)]
 
@@ -94,8 +130,9 @@ class OutlierModel:
         raise NotImplementedError
 
     def set_threshold(self, train: DataFrame, contamination: float) -> "OutlierModel":
-        scored = self.with_score(train).select("outlier_score").persist()
-        self.threshold = exact_quantiles(scored, "outlier_score", [1.0 - contamination])[0]
+        kept = [COPIES] if COPIES in train.columns else []
+        scored = self.with_score(train).select("outlier_score", *kept).persist()
+        self.threshold = _quantile(scored, "outlier_score", 1.0 - contamination)
         scored.unpersist()
         return self
 
@@ -162,20 +199,21 @@ def _shared_step(train: DataFrame, features: list[str], means: np.ndarray, preci
     def sums(batches):
         total = np.zeros((len(means), bins, width))
         for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
-            moments = np.hstack([np.ones((len(x), 1)), x, (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)])
+            x, w = batch[features].to_numpy(dtype=float), batch[COPIES].to_numpy(dtype=float)
+            moments = np.hstack([np.ones((len(x), 1)), x, (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)]) * w[:, None]
             for i, (mean, precision) in enumerate(zip(means, precisions)):
                 apart = x - mean
                 d2 = np.maximum(((apart @ precision) * apart).sum(axis=1), 2.0 ** -_DOUBLINGS)
                 place = np.clip(((np.log2(d2) + _DOUBLINGS) * _BINS).astype(int), 0, bins - 1)
-                np.add.at(total[i], place, moments)
+                for j in range(width):
+                    total[i, :, j] += np.bincount(place, moments[:, j], bins)
         used = np.argwhere(total[:, :, 0] > 0)
         yield pd.DataFrame({"start": used[:, 0].astype("int32"), "bin": used[:, 1].astype("int32"),
                             **{f"m{j}": total[used[:, 0], used[:, 1], j] for j in range(width)}})
 
     kinds = ", ".join(f"m{j} double" for j in range(width))
     # at most starts * bins rows come back, whatever the table holds
-    found = (train.select(*features).mapInPandas(sums, f"start int, bin int, {kinds}").groupBy("start", "bin")
+    found = (train.select(*features, _copies(train).alias(COPIES)).mapInPandas(sums, f"start int, bin int, {kinds}").groupBy("start", "bin")
              .agg(*[F.sum(f"m{j}").alias(f"m{j}") for j in range(width)]).toPandas().sort_values(["start", "bin"]))
     out = []
     for _, part in found.groupby("start"):
@@ -201,8 +239,12 @@ def _concentrate(train: DataFrame, gaussian: Gaussian, share: float) -> tuple[Ga
     volume = math.inf
     while True:
         distance = gaussian.squared_distance()
-        cut = exact_quantiles(train, distance, [share])[0]
-        gaussian = Gaussian.fit(train.filter(distance <= F.lit(cut)), gaussian.features)
+        cut = _quantile(train, distance, share)
+        inner = train.filter(distance <= F.lit(cut))
+        if COPIES in train.columns:
+            gaussian = Gaussian.fit_merged(inner, gaussian.features, gaussian.mean)
+        else:
+            gaussian = Gaussian.fit(inner, gaussian.features)
         now = _volume(gaussian)
         if not now < volume - 1e-9:
             return gaussian, now
@@ -217,9 +259,11 @@ def minimum_covariance(train: DataFrame, features) -> Gaussian:
     """
     features = list(features)
     n = len(features)
-    total = train.count()
+    if COPIES not in train.columns:
+        train = merged(train, features)
+    total, *means = train.agg(F.coalesce(F.sum(COPIES), F.lit(0)), *[F.avg(c) for c in features]).first()
     share = min(1.0, (total + n + 1) / 2 / max(total, 1))
-    plain = Gaussian.fit(train, features)
+    plain = Gaussian.fit_merged(train, features, [m or 0.0 for m in means])
     candidates = [plain]
     for points in _start_points(train, features, STARTS):
         spread = np.cov(points.T, bias=True).reshape(n, n)
@@ -239,13 +283,13 @@ def fit_elliptic_envelope(train: DataFrame, features, contamination: float = 0.1
     make the final mean and covariance.
     """
     features = list(features)
-    train = cut_lineage(train.select(*[F.col(c).cast("double").alias(c) for c in features]))
+    train = merged(train, features)
     half = minimum_covariance(train, features)
-    middle = exact_quantiles(train, half.squared_distance(), [0.5])[0] or 0.0
+    middle = _quantile(train, half.squared_distance(), 0.5) or 0.0
     if middle > 0:
         scaled = Gaussian(features, half.mean, half.covariance * (middle / chi2_quantile(0.5, len(features))))
         near = scaled.squared_distance() < F.lit(chi2_quantile(0.975, len(features)))
-        half = Gaussian.fit(train.filter(near), features)
+        half = Gaussian.fit_merged(train.filter(near), features, half.mean)
     model = _Expression(half.squared_distance()).set_threshold(train, contamination)
     model.gaussian = half
     return model
@@ -424,7 +468,7 @@ class OneClassSvm(OutlierModel):
     is the dual of the SVM. Each step adds the mean of the rows with the lowest margins, found with an exact order
     statistic, to the means held so far, and takes the nearest point of their hull. The steps end when the duality gap
     is at most `TOLERANCE` of the squared norm; the margins are then within the root of the gap of the optimal ones. Weights
-    and means have one number per landmark; no rows are held but the landmarks.
+    and means have one number per landmark; no rows are held but the landmarks. Equal rows are one row with a count.
     """
 
     TOLERANCE, MOST_STEPS = 1e-4, 400
@@ -434,67 +478,81 @@ class OneClassSvm(OutlierModel):
         self.points = self.lift = self.weights = None
         self.gamma = self.gap = 0.0
 
-    def _map(self):
-        points, lift, gamma = self.points, self.lift, self.gamma
+    def _kernel(self):
+        """Kernel values of a block of rows with the landmarks."""
+        points, gamma = self.points, self.gamma
 
-        def image(block: np.ndarray) -> np.ndarray:
+        def kernel(block: np.ndarray) -> np.ndarray:
             apart = (block ** 2).sum(axis=1)[:, None] + (points ** 2).sum(axis=1)[None, :] - 2 * block @ points.T
-            return np.exp(-gamma * np.maximum(apart, 0.0)) @ lift
-        return image
+            return np.exp(-gamma * np.maximum(apart, 0.0))
+        return kernel
 
-    def _mean_image(self, rows: DataFrame) -> np.ndarray:
-        """Mean feature image of the rows: each batch is summed before the shuffle."""
-        image, features, count = self._map(), self.features, self.lift.shape[1]
+    def _map(self):
+        kernel, lift = self._kernel(), self.lift
+        return lambda block: kernel(block) @ lift
+
+    def _image_sums(self, rows: DataFrame, group: Column) -> dict[int, tuple[float, np.ndarray]]:
+        """Per group its number of rows, copies included, and the sum of their feature images.
+
+        Kernel values are summed before the shuffle and go to feature space once. Sums of decimals do not depend on their order.
+        """
+        kernel, features, slots = self._kernel(), self.features, len(self.points) + 1
 
         def sums(batches):
-            total, rows_seen = np.zeros(count), 0
+            total: dict[int, np.ndarray] = {}
             for batch in batches:
-                total += image(batch[features].to_numpy(dtype=float)).sum(axis=0)
-                rows_seen += len(batch)
-            yield pd.DataFrame({"slot": np.arange(count + 1), "part": np.append(total, rows_seen)})
-
-        table = (rows.select(*features).mapInPandas(sums, "slot int, part double")
-                 .groupBy("slot").agg(F.sum("part").alias("total")).collect())
-        by_slot = {r["slot"]: r["total"] for r in table}
-        return np.array([by_slot[i] for i in range(count)]) / max(by_slot[count], 1.0)
+                of, w = batch["_group"].to_numpy(), batch[COPIES].to_numpy(dtype=float)
+                values = np.column_stack([kernel(batch[features].to_numpy(dtype=float)), np.ones(len(batch))])
+                for g in np.unique(of):
+                    total[int(g)] = total.get(int(g), np.zeros(slots)) + w[of == g] @ values[of == g]
+            for g, part in total.items():
+                yield pd.DataFrame({"of": g, "slot": np.arange(slots), "part": part})
+
+        table = (rows.select(*features, COPIES, group.cast("int").alias("_group")).mapInPandas(sums, "of int, slot int, part double")
+                 .groupBy("of", "slot").agg(F.sum(F.col("part").cast("decimal(38,16)")).cast("double").alias("total")).toPandas())
+        found = {}
+        for g, part in table.sort_values("slot").groupby("of"):
+            whole = part["total"].to_numpy(dtype=float)
+            found[int(g)] = (whole[-1], whole[:-1] @ self.lift)
+        return found
 
     def _margin(self) -> Column:
-        image, weights = self._map(), self.weights
+        kernel, weights = self._kernel(), self.lift @ self.weights
 
         @pandas_udf("double")
         def margin(*columns: pd.Series) -> pd.Series:
             block = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(image(block) @ weights)
+            return pd.Series(kernel(block) @ weights)
         return margin(*[F.col(c).cast("double") for c in self.features])
 
     def fit(self, train: DataFrame) -> "OneClassSvm":
-        train = cut_lineage(train.select(*[F.col(c).cast("double").alias(c) for c in self.features]))
-        total, *moments = train.agg(F.count("*"), *[F.avg(c) for c in self.features],
-                                    *[F.avg(F.col(c) * F.col(c)) for c in self.features]).first()
+        train = merged(train, self.features)
+        w = F.col(COPIES)
+        total, *moments = train.agg(F.sum(w), *[F.sum(w * F.col(c)) for c in self.features],
+                                    *[F.sum(w * F.col(c) * F.col(c)) for c in self.features]).first()
         n = len(self.features)
-        mean, square = np.array(moments[:n], dtype=float), np.array(moments[n:], dtype=float)
+        mean, square = np.array(moments[:n], dtype=float) / total, np.array(moments[n:], dtype=float) / total
         variance = square.mean() - mean.mean() ** 2  # over all entries of the matrix
         self.gamma = 1.0 / (n * variance) if variance > 0 else 1.0 / n
         # different points with the smallest hashes: at most `landmarks` of them
-        chosen = train.withColumn("_place", F.xxhash64(*self.features)).distinct().orderBy("_place", *self.features).limit(self.landmarks)
+        chosen = train.select(*self.features, F.xxhash64(*self.features).alias("_place")).orderBy("_place", *self.features).limit(self.landmarks)
         self.points = chosen.drop("_place").toPandas().to_numpy(dtype=float).reshape(-1, n)
-        self.lift = np.eye(len(self.points))
-        values, vectors = np.linalg.eigh(self._map()(self.points))
+        values, vectors = np.linalg.eigh(self._kernel()(self.points))
         kept = values > 1e-12 * values.max()
         self.lift = vectors[:, kept] / np.sqrt(values[kept])
         place = max(0, math.ceil(self.nu * total) - 1)
-        atoms = [self._mean_image(train)]
+        size, image = self._image_sums(train, F.lit(0))[0]
+        atoms = [image / size]
         self.weights = atoms[0]
         for _ in range(self.MOST_STEPS):
             scored = train.withColumn("_margin", self._margin()).persist()
-            edge = order_statistics(scored, "_margin", [place])[0]
+            edge = weighted_order_statistics(scored, "_margin", COPIES, [place])[0]
             # of the rows on the edge as many as fill the share, all alike
-            below, on = scored.agg(F.count_if(F.col("_margin") < edge), F.count_if(F.col("_margin") == edge)).first()
-            parts = [(below, F.col("_margin") < edge), (on, F.col("_margin") == edge)]
-            images = [(size, self._mean_image(scored.filter(condition))) for size, condition in parts if size]
+            parts = self._image_sums(scored.filter(F.col("_margin") <= edge), F.col("_margin") == edge)
             scored.unpersist()
             wanted = self.nu * total
-            pull = images[-1][1] if not below else (below * images[0][1] + (wanted - below) * images[1][1]) / wanted
+            (below, inner), (on, outer) = parts.get(0, (0, 0.0)), parts[1]
+            pull = outer / on if not below else (inner + (wanted - below) * (outer / on)) / wanted
             self.gap = float(self.weights @ (self.weights - pull))
             if self.gap <= self.TOLERANCE * float(self.weights @ self.weights):
                 break

@@ -10,12 +10,16 @@ two or three rounds leave few enough values to look at.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL = 20_000
 ACCURACY = 10_000
+#: Bins of equal width into which a round deals values that have weights.
+BINS = 4096
 
 
 def _select(values: DataFrame, ranks: list[int], count: int) -> dict[int, float]:
@@ -75,3 +79,56 @@ def exact_quantiles(df: DataFrame, column, probabilities: list[float]) -> list[f
         low = found[below]
         result.append(low if weight == 0 else low + (found[below + 1] - low) * weight)
     return result
+
+
+def _weighted_select(values: DataFrame, ranks: list[int], count: int, low: float, high: float) -> dict[int, float]:
+    """Value at each 0-based rank where every one of the `count` rows (v, n) between low and high stands for n equal values."""
+    if low == high:
+        return dict.fromkeys(ranks, low)
+    if count <= SMALL:
+        pairs = sorted(tuple(row) for row in values.select("v", "n").collect())
+        ends = list(accumulate(n for _, n in pairs))
+        return {r: pairs[bisect_right(ends, r)][0] for r in ranks}
+    v = F.col("v")
+    place = F.floor((v / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2) * BINS)  # halves, as the width may exceed a double
+    dealt = values.withColumn("_bin", F.least(place, F.lit(BINS - 1)))
+    sizes = dealt.groupBy("_bin").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+    found: dict[int, float] = {}
+    start = 0
+    for part in sorted(sizes.collect(), key=lambda r: r["_bin"]):  # at most BINS rows
+        inside = [r - start for r in ranks if start <= r < start + part["n"]]
+        if inside:
+            rows = dealt.filter(F.col("_bin") == part["_bin"]).select("v", "n")
+            deeper = _weighted_select(rows, inside, part["rows"], part["low"], part["high"])
+            found.update({r + start: x for r, x in deeper.items()})
+        start += part["n"]
+    return found
+
+
+def _weighted(df: DataFrame, column, weight: str) -> tuple[DataFrame, tuple]:
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    values = df.select(value.alias("v"), F.col(weight).alias("n")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    return values, tuple(values.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.min("v"), F.max("v")).first())
+
+
+def weighted_order_statistics(df: DataFrame, column, weight: str, ranks: list[int]) -> list[float]:
+    """Values at the given 0-based ranks where a row stands for as many equal values as the whole number `weight` says.
+
+    The values are finite. Reads `df` three times as a rule.
+    """
+    values, (total, count, low, high) = _weighted(df, column, weight)
+    if ranks and (max(ranks) >= total or min(ranks) < 0):
+        raise ValueError("rank outside the data")
+    found = _weighted_select(values, sorted(set(ranks)), count, low, high)
+    return [found[r] for r in ranks]
+
+
+def weighted_quantiles(df: DataFrame, column, weight: str, probabilities: list[float]) -> list[float | None]:
+    """Linearly interpolated quantiles of the same values; None for an empty column."""
+    values, (total, count, low, high) = _weighted(df, column, weight)
+    if not total:
+        return [None] * len(probabilities)
+    places = [(total - 1) * p for p in probabilities]
+    ranks = sorted({r for place in places for r in (math.floor(place), math.ceil(place))})
+    found = _weighted_select(values, ranks, count, low, high)
+    return [found[math.floor(p)] + (found[math.ceil(p)] - found[math.floor(p)]) * (p - math.floor(p)) for p in places]
