@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerpulse.operators.quantiles import exact_quantiles
+from ledgerpulse.operators.quantiles import exact_quantiles, weighted_quantiles
 from ledgerpulse.schemas import require_columns
 from ledgerpulse.session import cut_lineage
 
@@ -206,10 +206,10 @@ class IsolationForest:
         # (row, tree) pairs that may be among the psi smallest hashes of a tree
         limit = int(_HASH_RANGE * min(1.0, 1.5 * psi / total + 20.0 / total))
         mix = lambda t: F.pmod(F.xxhash64(F.lit(self.seed), F.col("_draw"), t), F.lit(_HASH_RANGE))
-        trees = F.filter(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), lambda t: mix(t) < limit)
+        trees = F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))).alias("tree")  # compiled, unlike a filter of an array
         tasks = min(self.n_trees, df.sparkSession.sparkContext.defaultParallelism)
         # one group per tree: few bytes, so the number of tasks is set by hand
-        pairs = self._hashed(df).select("*", F.explode(trees).alias("tree")).repartition(tasks, "tree")
+        pairs = self._hashed(df).select("*", trees).filter(mix(F.col("tree")) < limit).repartition(tasks, "tree")
         ranked = F.row_number().over(Window.partitionBy("tree").orderBy(mix(F.col("tree")), "_draw"))
         drawn = pairs.withColumn("_rank", ranked).filter(F.col("_rank") <= psi)
         features, seed = list(self.features), self.seed
@@ -226,9 +226,11 @@ class IsolationForest:
         return IsolationForestModel(features, nodes, psi, self.contamination)
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
+        """Equal rows are scored once, for the threshold."""
         model = self.grow(df)
-        scored = model.with_score(df).select("anomaly_score").persist()
-        self._set_threshold(model, scored)
+        points = df.select(*[_present(F.col(c)).alias(c) for c in self.features]).groupBy(*self.features).agg(F.count("*").alias("_copies"))
+        scored = model.with_score(points).select("anomaly_score", "_copies").persist()
+        model.offset = weighted_quantiles(scored, -F.col("anomaly_score"), "_copies", [self.contamination])[0]
         scored.unpersist()
         return model
 
@@ -236,12 +238,9 @@ class IsolationForest:
         """Fit on df and label its rows; scores are computed once and stored."""
         model = self.grow(df)
         scored = cut_lineage(model.with_score(df))
-        self._set_threshold(model, scored)
-        return model, model.with_labels(scored)
-
-    def _set_threshold(self, model: IsolationForestModel, scored: DataFrame) -> None:
-        """The share `contamination` of training rows lies below the threshold."""
+        # the share `contamination` of training rows lies below the threshold
         model.offset = exact_quantiles(scored, -F.col("anomaly_score"), [self.contamination])[0]
+        return model, model.with_labels(scored)
 
 
 def fixed_forest() -> IsolationForestModel:

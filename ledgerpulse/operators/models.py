@@ -55,8 +55,17 @@ def detect_anomalies(features: DataFrame, contamination: float = 0.1, random_sta
 def train_live_model(live_features: DataFrame, contamination: float = 0.05, random_state: int = 42,
                      n_trees: int = 200, key: tuple[str, ...] = ()) -> IsolationForestModel:
     """The model of the event scorer: six features, 200 trees."""
-    return IsolationForest(LIVE_FEATURES, n_trees=n_trees, contamination=contamination,
-                           seed=random_state, key=key).fit(live_features)
+    return _live_forest(contamination, random_state, n_trees, key).fit(live_features)
+
+
+def label_live_events(live_features: DataFrame, contamination: float = 0.05, random_state: int = 42, n_trees: int = 200,
+                      key: tuple[str, ...] = ()) -> tuple[IsolationForestModel, DataFrame]:
+    """The same model and the training rows with its labels; every row is scored once."""
+    return _live_forest(contamination, random_state, n_trees, key).fit_predict(live_features)
+
+
+def _live_forest(contamination: float, seed: int, n_trees: int, key: tuple[str, ...]) -> IsolationForest:
+    return IsolationForest(LIVE_FEATURES, n_trees=n_trees, contamination=contamination, seed=seed, key=key)
 
 
 class FraudDetector:

@@ -19,13 +19,13 @@ from ledgerpulse.operators import (
     alerts, detectors, evaluation, features, guardrails, joins, kpi, lookups, quality, ranking, retrieval, sets, sliding,
 )
 from ledgerpulse.operators.iforest import IsolationForest, IsolationForestModel, fixed_forest
-from ledgerpulse.operators.models import FraudDetector, MerchantHealthMonitor, detect_anomalies, train_live_model
+from ledgerpulse.operators.models import FraudDetector, MerchantHealthMonitor, detect_anomalies, label_live_events
 from ledgerpulse.operators.outliers import (
     Gaussian, Scaler, fit_elliptic_envelope, fit_linear_autoencoder, fit_local_outlier_factor, fit_one_class_svm,
 )
 from ledgerpulse.plans import comparison, views
 from ledgerpulse.schemas import COMPARISON_FEATURES, LIVE_FEATURES, MERCHANTS, WINDOW_FEATURES, numeric_columns
-from ledgerpulse.session import cut_lineage, fresh_folder
+from ledgerpulse.session import cut_lineage, dealt, fresh_folder
 from ledgerpulse.sources import files, messages
 from ledgerpulse.sources.alert_table import append_alerts, read_alerts
 from ledgerpulse.sources.files import is_folder
@@ -776,9 +776,10 @@ def iforest_reduced(spark, d):
 @query
 def iforest_live_model(spark, d):
     """A 200-tree model fitted on all live events and applied to them."""
-    events = cut_lineage(scoring.with_live_features(messages.parse_live_events(messages.as_messages(views.live_events(spark, d)))))
-    model = train_live_model(events, key=("transaction_id",))
-    return _scores(model.transform(events)).select("transaction_id", "anomaly_score", "decision", "prediction")
+    events = scoring.with_live_features(messages.parse_live_events(messages.as_messages(views.live_events(spark, d))))
+    events = cut_lineage(dealt(events.select("transaction_id", *LIVE_FEATURES)))
+    _, labelled = label_live_events(events, key=("transaction_id",))
+    return _scores(labelled).select("transaction_id", "anomaly_score", "decision", "prediction")
 
 
 @query

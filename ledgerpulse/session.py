@@ -63,3 +63,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = fresh_folder(spark, "stored")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly to a few tasks per core, for work that is heavy for its bytes, which Spark would leave to few tasks."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
