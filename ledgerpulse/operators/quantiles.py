@@ -90,7 +90,10 @@ def _weighted_select(values: DataFrame, ranks: list[int], count: int, low: float
         ends = list(accumulate(n for _, n in pairs))
         return {r: pairs[bisect_right(ends, r)][0] for r in ranks}
     v = F.col("v")
-    place = F.floor((v / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2) * BINS)  # halves, as the width may exceed a double
+    if math.isinf(low) or math.isinf(high):
+        place = F.when(v == -math.inf, 0).when(v == math.inf, 2).otherwise(1)
+    else:
+        place = F.floor((v / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2) * BINS)  # halves, as the width may exceed a double
     dealt = values.withColumn("_bin", F.least(place, F.lit(BINS - 1)))
     sizes = dealt.groupBy("_bin").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
     found: dict[int, float] = {}
@@ -114,7 +117,7 @@ def _weighted(df: DataFrame, column, weight: str) -> tuple[DataFrame, tuple]:
 def weighted_order_statistics(df: DataFrame, column, weight: str, ranks: list[int]) -> list[float]:
     """Values at the given 0-based ranks where a row stands for as many equal values as the whole number `weight` says.
 
-    The values are finite. Reads `df` three times as a rule.
+    Reads `df` three times as a rule.
     """
     values, (total, count, low, high) = _weighted(df, column, weight)
     if ranks and (max(ranks) >= total or min(ranks) < 0):
