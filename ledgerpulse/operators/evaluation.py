@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.expressions import safe_divide
@@ -10,11 +10,15 @@ from ledgerpulse.functions.expressions import safe_divide
 METRICS = {"Precision": "precision", "Recall": "recall", "F1-Score": "f1"}
 
 
-def confusion_counts(df: DataFrame, *by: str, actual: str = "y_true", predicted: str = "y_pred") -> DataFrame:
+def confusion_counts(df: DataFrame, *by: str, actual: str = "y_true", predicted: str = "y_pred", copies: str | None = None) -> DataFrame:
+    """Rows by actual and predicted value; `copies` names a column with the number of equal rows that a row stands for."""
     y, p = F.col(actual), F.col(predicted)
+
+    def number(condition: Column) -> Column:
+        return F.count_if(condition) if copies is None else F.coalesce(F.sum(F.when(condition, F.col(copies))), F.lit(0))
     return df.groupBy(*by).agg(
-        F.count_if((p == 1) & (y == 1)).alias("tp"), F.count_if((p == 1) & (y == 0)).alias("fp"),
-        F.count_if((p == 0) & (y == 1)).alias("fn"), F.count_if((p == 0) & (y == 0)).alias("tn"))
+        number((p == 1) & (y == 1)).alias("tp"), number((p == 1) & (y == 0)).alias("fp"),
+        number((p == 0) & (y == 1)).alias("fn"), number((p == 0) & (y == 0)).alias("tn"))
 
 
 def confusion_matrix(counts: DataFrame, *by: str) -> DataFrame:
