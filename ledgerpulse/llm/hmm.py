@@ -6,8 +6,8 @@ by add-one counts over all rare training words and one unseen word.
 
 Expected counts of states, moves and symbols are computed by the workers over all training texts and
 summed across partitions; a few numbers per state and symbol return to the driver. A text is cut into
-segments of `SEGMENT` symbols whose transfer matrices are multiplied, scaled at
-every step, so the likelihood of the whole text is exact and a long text costs no more per word.
+segments of `SEGMENT` symbols whose transfer matrices are multiplied, scaled every
+few steps, so the likelihood of the whole text is exact and a long text costs no more per word.
 
 Word counts stay a table: only the counts of the vocabulary are broadcast, rare words meet theirs in a join.
 """
@@ -36,6 +36,8 @@ SMOOTHING = 1.0
 SYMBOL_BYTES = 64
 #: Distinct words a task holds before it hands its counts on.
 HELD_WORDS = 100_000
+#: Steps after which a transfer matrix is scaled; a step lowers it by some ten decimal places at most.
+RESCALE = 4
 #: Segments worked on at a time.
 BATCH = 4096
 _ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, base double, known long, rare map<binary, int>"
@@ -163,11 +165,17 @@ class HiddenMarkovModel:
             if t == 0:
                 moved[begins] = m[begins]
             moved *= e[:, None, :]
-            scale = moved.sum((1, 2))
-            moved /= scale[:, None, None]
-            m = np.where(there[:, None, None], moved, m)
-            log += np.where(there, np.log(scale), 0.0)
-        return m, log
+            m = moved if there.all() else np.where(there[:, None, None], moved, m)
+            if t % RESCALE == RESCALE - 1:
+                log += self._scaled(m)
+        return m, log + self._scaled(m)
+
+    @staticmethod
+    def _scaled(m: np.ndarray) -> np.ndarray:
+        """Divides each matrix by its sum, in place; the logs of the sums."""
+        scale = m.sum((1, 2))
+        m /= scale[:, None, None]
+        return np.log(scale)
 
     def log10(self, ids: list[np.ndarray]) -> np.ndarray:
         """log10 likelihood of each symbol sequence."""
