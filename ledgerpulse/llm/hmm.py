@@ -5,8 +5,9 @@ text and one for every other word. A rare word then also costs its own share of
 by add-one counts over all rare training words and one unseen word.
 
 Expected counts of states, moves and symbols are computed by the workers over all training texts and
-summed across partitions; a few numbers per state and symbol return to the driver. A text is cut into
-segments of `SEGMENT` symbols whose transfer matrices are multiplied, scaled every
+summed across partitions; a few numbers per state and symbol return to the driver. Texts of at most `WHOLE` symbols
+go step by step together, longest first, each with one vector of states. A longer text is cut into
+segments of `SEGMENT` symbols whose transfer matrices are multiplied; its segments then go together like texts. States are scaled every
 few steps, so the likelihood of the whole text is exact and a long text costs no more per word.
 
 Word counts stay a table: only the counts of the vocabulary are broadcast, rare words meet theirs in a join.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,13 @@ SMOOTHING = 1.0
 SYMBOL_BYTES = 64
 #: Distinct words a task holds before it hands its counts on.
 HELD_WORDS = 100_000
-#: Steps after which a transfer matrix is scaled; a step lowers it by some ten decimal places at most.
+#: Texts of more symbols than this are cut into segments.
+WHOLE = 4096
+#: Texts taken from a batch of rows at a time.
+TEXTS = 4000
+#: Steps after which a transfer matrix or a state is scaled; a step lowers it by some ten decimal places at most.
 RESCALE = 4
-#: Segments worked on at a time.
+#: Segments, or texts of as many symbols, worked on at a time.
 BATCH = 4096
 _ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, ids binary, base double, known long, rare map<binary, int>"
 
@@ -100,13 +106,13 @@ def encode(docs: DataFrame, words: WordStatistics) -> DataFrame:
                 for text in batch.column(3):
                     tokens = blank_words(text.as_py())
                     get = w.symbols.get
-                    ids = np.fromiter((get(t, w.rare) for t in tokens), np.int64, len(tokens))
+                    ids = np.fromiter(map(get, tokens, repeat(w.rare)), np.int64, len(tokens))
                     symbols = ids[ids != w.rare]
                     sizes.append(len(tokens) + 1)
                     ids_of.append(np.append(ids, w.end).astype("<u4" if w.rare > 0xFFFF else "<u2").tobytes())
                     base.append(float(shares[symbols].sum() + end_share))
                     known.append(len(symbols) + end_known)
-                    rare.append(list(Counter(tokens[i] for i in np.flatnonzero(ids == w.rare)).items()))
+                    rare.append(list(Counter([tokens[i] for i in np.flatnonzero(ids == w.rare).tolist()]).items()))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(ids_of, pa.binary()),
                     pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(rare, pa.map_(pa.binary(), pa.int32()))], schema=schema)
@@ -179,8 +185,17 @@ class HiddenMarkovModel:
 
     def log10(self, ids: list[np.ndarray]) -> np.ndarray:
         """log10 likelihood of each symbol sequence."""
-        if not ids:
-            return np.zeros(0)
+        out = np.zeros(len(ids))
+        for group in _groups(ids):
+            some, n = [ids[i] for i in group], len(group)
+            if len(some[0]) > WHOLE:
+                out[group] = self._log_in_segments(some)
+            else:
+                steps = _Steps(some)
+                out[group[steps.order]] = self._forward(steps, np.ones(n, bool), np.tile(self.start, (n, 1)))[2]
+        return out / np.log(10)
+
+    def _log_in_segments(self, ids: list[np.ndarray]) -> np.ndarray:
         symbols, owners, begins = self._segments(ids)
         out = np.zeros(len(ids))
         state = self.start
@@ -192,12 +207,22 @@ class HiddenMarkovModel:
                 total = state.sum()
                 state = state / total
                 out[owners[j]] += log[i] + np.log(total)
-        return out / np.log(10)
+        return out
 
     def expected(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, moves and emissions over the sequences."""
         s = len(self.start)
-        starts, moves, emits = np.zeros(s), np.zeros((s, s)), np.zeros_like(self.emit)
+        sums = np.zeros(s), np.zeros((s, s)), np.zeros_like(self.emit)
+        for group in _groups(ids):
+            some, n = [ids[i] for i in group], len(group)
+            if len(some[0]) > WHOLE:
+                self._expected_in_segments(some, *sums)
+            else:
+                self._within(some, np.ones(n, bool), np.tile(self.start, (n, 1)), np.ones((n, s)), *sums)
+        return sums
+
+    def _expected_in_segments(self, ids: list[np.ndarray], starts, moves, emits) -> None:
+        s = len(self.start)
         symbols, owners, begins = self._segments(ids)
         n = len(symbols)
         ends = np.append(begins[1:], True)
@@ -215,43 +240,84 @@ class HiddenMarkovModel:
             weight /= weight.sum()
         for at in range(0, n, BATCH):
             part = slice(at, at + BATCH)
-            self._within(symbols[part], begins[part], before[part], after[part], starts, moves, emits)
-        return starts, moves, emits
+            self._within([x[x >= 0] for x in symbols[part]], begins[part], before[part], after[part], starts, moves, emits)
 
-    def _within(self, symbols, begins, before, after, starts, moves, emits) -> None:
-        s = len(self.start)
-        alphas, state = [], before
-        for t in range(SEGMENT):
-            e, there = self._steps(symbols, begins, t)
-            moved = state @ self.move
+    def _forward(self, steps: "_Steps", begins: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """States after each symbol, its emission weights, and the log likelihood of each sequence, in the order of `steps`.
+
+        What a state is divided by every few steps is taken off the emission weights as well, so a state always is the one before it,
+        moved, times the weights.
+        """
+        weights = self.emit[steps.symbols]
+        states, log, one = np.empty_like(weights), np.zeros(len(steps.order)), np.ones(len(self.start))
+        state = before
+        for t, (at, end) in enumerate(steps.spans):
+            moved = np.matmul(state[:end - at], self.move, out=states[at:end])
             if t == 0:
-                moved[begins] = state[begins]
-            moved = moved * e
-            total = moved.sum(1, keepdims=True)
-            state = np.where(there[:, None], moved / np.where(total > 0, total, 1), state)
-            alphas.append(state)
-        weight, gammas = after, np.zeros((SEGMENT, *before.shape))
-        for t in range(SEGMENT - 1, -1, -1):
-            e, there = self._steps(symbols, begins, t)
-            if not there.any():
-                continue
-            gamma = alphas[t] * weight
-            gammas[t] = gamma / gamma.sum(1, keepdims=True)
-            ahead = e * weight  # weight of being in a state at t, its symbol included
-            back = ahead @ self.move.T
-            inner = there if t else there & ~begins
-            prior = (alphas[t - 1] if t else before)[inner]
-            prior = prior / (prior * back[inner]).sum(1, keepdims=True)
-            moves += self.move * (prior.T @ ahead[inner])
-            weight = np.where(there[:, None], back / back.sum(1, keepdims=True), weight)
-        starts += gammas[0][begins].sum(0)
-        held = symbols.T >= 0
-        for k in range(s):
-            emits[:, k] += np.bincount(symbols.T[held], weights=gammas[:, :, k][held], minlength=len(emits))
+                moved[begins] = before[begins]
+            moved *= weights[at:end]
+            if t % RESCALE == RESCALE - 1:
+                scale = moved @ one
+                moved /= scale[:, None]
+                weights[at:end] /= scale[:, None]
+                log[:end - at] += np.log(scale)
+            state = moved
+        return states, weights, log + np.log(states[steps.last] @ one)
+
+    def _within(self, ids: list[np.ndarray], begins, before, after, starts, moves, emits) -> None:
+        """Adds the expected counts of pieces of texts, given the states ahead of and the weights behind each."""
+        steps = _Steps(ids)
+        begins, before, after = begins[steps.order], before[steps.order], after[steps.order]
+        states, weights, _ = self._forward(steps, begins, before)
+        after = after / (states[steps.last] * after).sum(1, keepdims=True)  # so that states times `behind` sum to 1 at every place
+        behind, pairs, back = np.empty_like(states), np.zeros_like(self.move), np.ascontiguousarray(self.move.T)
+        ahead = after[:0]  # weights of being in a state, its symbol included
+        for t in range(len(steps.spans) - 1, -1, -1):
+            at, end = steps.spans[t]
+            here = behind[at:end]
+            np.matmul(ahead, back, out=here[:len(ahead)])
+            here[len(ahead):] = after[len(ahead):end - at]
+            ahead = weights[at:end] * here
+            if t:
+                prior = steps.spans[t - 1][0]
+                pairs += states[prior:prior + end - at].T @ ahead
+            else:
+                pairs += before[~begins].T @ ahead[~begins]
+        moves += self.move * pairs
+        states *= behind
+        starts += states[:len(begins)][begins].sum(0)
+        for k in range(len(self.start)):
+            emits[:, k] += np.bincount(steps.symbols, weights=states[:, k], minlength=len(emits))
+
+
+class _Steps:
+    """Sequences laid out place by place, the longest first: those with a t-th symbol stand in `spans[t]`, always in the same order."""
+
+    def __init__(self, ids: list[np.ndarray]) -> None:
+        lengths = np.array([len(x) for x in ids])
+        self.order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[self.order]
+        at = np.append(0, np.cumsum(np.searchsorted(-lengths, -np.arange(lengths[0]))))
+        self.spans = list(zip(at[:-1].tolist(), at[1:].tolist()))
+        rank = np.arange(len(ids))
+        self.last = at[lengths - 1] + rank
+        place = np.arange(at[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.symbols = np.empty(at[-1], np.int64)
+        self.symbols[at[place] + np.repeat(rank, lengths)] = np.concatenate([ids[i] for i in self.order])
+
+
+def _groups(ids: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Places of all sequences that are not empty, like lengths together, in groups of about BATCH * SEGMENT symbols, none on both sides of `WHOLE`."""
+    lengths = np.array([len(x) for x in ids], np.int64)
+    order = np.argsort(lengths, kind="stable")
+    order = order[lengths[order] > 0]
+    group = (np.cumsum(lengths[order]) - 1) // (BATCH * SEGMENT)
+    cuts = (np.diff(group) > 0) | np.diff(lengths[order] > WHOLE)
+    return (part for part in np.split(order, np.flatnonzero(cuts) + 1) if len(part))
 
 
 def _ids(data: bytes, wide: bool) -> np.ndarray:
-    return np.frombuffer(data, "<u4" if wide else "<u2").astype(np.int64)
+    return np.frombuffer(data, "<u4" if wide else "<u2")
 
 
 def train(encoded: DataFrame, words: WordStatistics, states: int = STATES, rounds: int = ROUNDS) -> HiddenMarkovModel:
@@ -261,26 +327,29 @@ def train(encoded: DataFrame, words: WordStatistics, states: int = STATES, round
     unigram = unigram / unigram.sum()
     model = HiddenMarkovModel.initial(unigram, states)
     n, wide = len(unigram), words.rare > 0xFFFF
-    schema = pa.schema([("cell", pa.int64()), ("value", pa.float64())])
+    names = [f"s{k}" for k in range(states)]
+    schema = pa.schema([("symbol", pa.int64()), *((name, pa.float64()) for name in names)])
     for _ in range(rounds):
         sent = Sent(spark, model)
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(states + states * states + n * states)
+            total = np.zeros((n + states + 1, states))  # symbols, then moves, then starts
             for batch in batches:
-                for at in range(0, batch.num_rows, 200):
-                    ids = [_ids(x.as_py(), wide) for x in batch.column(0).slice(at, 200)]
+                for at in range(0, batch.num_rows, TEXTS):
+                    ids = [_ids(x.as_py(), wide) for x in batch.column(0).slice(at, TEXTS)]
                     if ids:
-                        total += np.concatenate([x.ravel() for x in sent.value.expected(ids)])
-            cells = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells], pa.float64())], schema=schema)
+                        starts, moves, emits = sent.value.expected(ids)
+                        total[:n] += emits
+                        total[n:] += np.vstack([moves, starts])
+            held = np.flatnonzero(total.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), *(pa.array(x, pa.float64()) for x in total[held].T)], schema=schema)
 
         # at most states * (symbols + states + 1) sums come back
-        sums = encoded.select("ids").mapInArrow(count, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-        total = np.zeros(states + states * states + n * states)
-        total[sums["cell"]] = sums["value"]
-        starts, moves, emits = np.split(total, [states, states + states * states])
-        moves, emits = moves.reshape(states, states) + SMOOTHING, emits.reshape(n, states)
+        sums = (encoded.select("ids").mapInArrow(count, ", ".join(["symbol long", *(f"{name} double" for name in names)]))
+                .groupBy("symbol").agg(*(F.sum(name).alias(name) for name in names)).toPandas())
+        total = np.zeros((n + states + 1, states))
+        total[sums["symbol"]] = sums[names]
+        emits, moves, starts = total[:n], total[n:-1] + SMOOTHING, total[-1]
         emits = emits + SMOOTHING * n * unigram[:, None] / 100
         model = HiddenMarkovModel((starts + SMOOTHING) / (starts + SMOOTHING).sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
     return model
@@ -289,16 +358,19 @@ def train(encoded: DataFrame, words: WordStatistics, states: int = STATES, round
 def score(encoded: DataFrame, counts: DataFrame, words: WordStatistics, model: HiddenMarkovModel) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every encoded text."""
     sent, wide = Sent(encoded.sparkSession, model), words.rare > 0xFFFF
-    schema = pa.schema([("row", pa.int64()), ("hmm", pa.float64())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                        ("base", pa.float64()), ("known", pa.int64()), ("hmm", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = sent.value.log10([_ids(x.as_py(), wide) for x in part.column(1)])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], schema=schema)
-
-    likely = encoded.select("row", "ids").mapInArrow(run, "row long, hmm double")
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                *others, ids = part.columns
+                found = sent.value.log10([_ids(x.as_py(), wide) for x in ids])
+                yield pa.RecordBatch.from_arrays([*others, pa.array(found, pa.float64())], schema=schema)
+
+    likely = encoded.select("row", "doc_id", "held_out", "n_tokens", "base", "known", "ids").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, base double, known long, hmm double")
     n = F.coalesce("n", F.lit(0))
     uses = encoded.select("row", F.explode("rare").alias("word", "uses"))
     rare = (uses.join(counts, "word", "left").groupBy("row").agg(
@@ -306,10 +378,10 @@ def score(encoded: DataFrame, counts: DataFrame, words: WordStatistics, model: H
         F.sum(F.col("uses") * F.log10((n + 1.0) / (words.tokens + words.kinds + 1.0))).alias("rare_base"),
         F.sum(F.col("uses") * F.log10((n + 1.0) / (words.rare_tokens + words.rare_kinds + 1.0))).alias("rare_share")))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return (encoded.drop("ids", "rare").join(likely, "row").join(rare, "row", "left").select(
+    return likely.join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + zero("rare_known")).alias("n_known"),
         F.lit(int(words.tokens)).cast("long").alias("train_tokens"), (F.col("base") + zero("rare_base")).alias("base_score"),
-        (F.col("hmm") + zero("rare_share")).alias("score")))
+        (F.col("hmm") + zero("rare_share")).alias("score"))
 
 
 def score_documents(docs: DataFrame, vocabulary: int = VOCABULARY, states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
